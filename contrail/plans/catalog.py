@@ -11,12 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contrail.functions import casts
+from contrail.operators import backfill as bf
 from contrail.operators import flatten as fl
 from contrail.operators import hourly as hr
 from contrail.operators import latest as lt
+from contrail.operators import runlog as rl
 from contrail.operators import serving as sv
 from contrail.plans import params as P
+from contrail.session import work_dir
+from contrail.sources import bronze as br
 from contrail.sources import fixtures
+from contrail.sources import sinks
 from contrail.sources.tables import read_table
 
 
@@ -134,6 +139,62 @@ def live_points(spark, sf_dir):
     return sv.live_points(lt.latest_by_watermark(_mart(spark, sf_dir)))
 
 
+def _stored_mart(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Flatten the fixture bronze into a mart table under ``root`` and read it."""
+    bf.backfill(spark, _bronze(spark, sf_dir), f"{root}/mart")
+    return bf.read_mart(spark, f"{root}/mart")
+
+
+def bronze_snapshots(spark, sf_dir):
+    root = work_dir(spark, "bronze_snapshots")
+    br.land_snapshots(fixtures.snapshot_parts(spark, sf_dir, P.STATES_PER_PART), f"{root}/landing")
+    br.load_landing(spark, f"{root}/landing", f"{root}/bronze", order_by="path")
+    return br.snapshot_sizes(br.read_bronze(spark, f"{root}/bronze"))
+
+
+def sink_latest_roundtrip(spark, sf_dir):
+    root = work_dir(spark, "sink_latest")
+    mart = _stored_mart(spark, sf_dir, root)
+    for snap in (lt.snapshot_as_of(mart, P.AS_OF), lt.latest_by_watermark(mart)):
+        version = snap.agg(F.max("load_id")).first()[0]
+        sinks.export_latest(snap, f"{root}/gold_latest", version)
+    return sinks.read_latest(spark, f"{root}/gold_latest")
+
+
+def sink_hourly_roundtrip(spark, sf_dir):
+    root = work_dir(spark, "sink_hourly")
+    mart = _stored_mart(spark, sf_dir, root)
+    sinks.export_hourly(hr.hourly(mart), f"{root}/gold_hourly")
+    start, end = hr.hour_bounds(P.AS_OF)  # re-run one hour: only it is replaced
+    sinks.export_hourly(hr.hourly(mart, start, end), f"{root}/gold_hourly")
+    return sinks.read_hourly(spark, f"{root}/gold_hourly")
+
+
+def backfill_no_dups(spark, sf_dir):
+    root = work_dir(spark, "backfill")
+    _bronze(spark, sf_dir).write.parquet(f"{root}/bronze")
+    staged = spark.read.schema(fl.schemas.BRONZE).parquet(f"{root}/bronze")
+    bf.backfill(spark, staged, f"{root}/mart")
+    bf.backfill(spark, staged, f"{root}/mart")  # manual re-run adds nothing
+    return bf.read_mart(spark, f"{root}/mart")
+
+
+def _stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{work_dir(spark, 'run_log')}/log"
+    rows = fixtures.run_log_rows(spark, sf_dir)
+    rl.append_log(rows.where(F.col("run_id") == "").drop("run_id"), path)  # before run_id existed
+    rl.append_log(rows.where(F.col("run_id") != ""), path)
+    return rl.read_log(spark, path)
+
+
+def run_log_recent(spark, sf_dir):
+    return rl.recent(_stored_log(spark, sf_dir))
+
+
+def alerts(spark, sf_dir):
+    return rl.alerts(_stored_log(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_states": flatten_states,
     "flatten_strict": flatten_strict,
@@ -151,4 +212,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "country_day_total": country_day_total,
     "countries": countries,
     "live_points": live_points,
+    "bronze_snapshots": bronze_snapshots,
+    "sink_latest_roundtrip": sink_latest_roundtrip,
+    "sink_hourly_roundtrip": sink_hourly_roundtrip,
+    "backfill_no_dups": backfill_no_dups,
+    "run_log_recent": run_log_recent,
+    "alerts": alerts,
 }

@@ -83,6 +83,20 @@ LATEST AS (
 """
 
 
+LOG = """
+WITH LOG AS (
+  SELECT date_trunc('second', ts) AS logged_at,
+         CASE event_type WHEN 'error' THEN CASE WHEN event_id % 7 = 0 THEN 'CRITICAL' ELSE 'ERROR' END
+                         WHEN 'signup' THEN 'WARNING' ELSE 'INFO' END AS level,
+         concat('flights loaded: ', CAST(event_id AS VARCHAR), ' ', props) AS message,
+         'root' AS logger, event_type AS func_name, CAST(event_id % 300 AS INT) AS line_no,
+         'etl/job.py' AS pathname,
+         CASE WHEN event_id < 5000 THEN '' ELSE lpad(CAST(user_id AS VARCHAR), 4, '0') END AS run_id
+  FROM events
+)
+"""
+
+
 def _q(body: str) -> str:
     return BASE + body
 
@@ -183,6 +197,18 @@ ORACLE_SQL: dict[str, str] = {
     "countries": _q("""SELECT DISTINCT origin_country FROM LATEST
                        WHERE latitude IS NOT NULL AND longitude IS NOT NULL
                          AND origin_country IS NOT NULL ORDER BY 1"""),
+    "bronze_snapshots": _q(f"""
+        SELECT CAST(row_number() OVER (ORDER BY load_id, part) AS BIGINT) AS load_id,
+               uploaded_at, n_states
+        FROM (SELECT load_id, event_id // {P.STATES_PER_PART} AS part, uploaded_at,
+                     count(*) AS n_states
+              FROM R GROUP BY 1, 2, 3)"""),
+    "sink_latest_roundtrip": _q("SELECT * FROM LATEST"),
+    "sink_hourly_roundtrip": _q("SELECT * FROM H"),
+    "backfill_no_dups": _q("SELECT * FROM F"),
+    "run_log_recent": LOG + "SELECT * FROM LOG ORDER BY logged_at DESC",
+    "alerts": LOG + """SELECT *, concat('[', level, '] Flight pipeline: ', substring(message, 1, 80)) AS subject
+                       FROM LOG WHERE level IN ('ERROR', 'CRITICAL')""",
     "live_points": _q("""SELECT * FROM LATEST
                          WHERE latitude IS NOT NULL AND longitude IS NOT NULL
                            AND origin_country IS NOT NULL"""),

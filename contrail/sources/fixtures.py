@@ -96,3 +96,22 @@ def snapshot_bronze(spark: SparkSession, sf_dir: str,
                     states_per_part: int = STATES_PER_PART) -> DataFrame:
     """Bronze table ``(load_id, ingest_time, data)`` as ingestion would leave it."""
     return snapshot_parts(spark, sf_dir, states_per_part).drop("part")
+
+
+def run_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log records derived from ``events`` (``run_id`` '' marks the old layout)."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"])
+    e = F.col("event_id")
+    level = (F.when(F.col("event_type") == "error",
+                    F.when(e % 7 == 0, "CRITICAL").otherwise("ERROR"))
+             .when(F.col("event_type") == "signup", "WARNING").otherwise("INFO"))
+    return ev.select(
+        seconds_to_ntz(ntz_to_seconds(F.col("ts"))).alias("logged_at"),
+        level.alias("level"),
+        F.concat(F.lit("flights loaded: "), e.cast("string"), F.lit(" "), F.col("props")).alias("message"),
+        F.lit("root").alias("logger"),
+        F.col("event_type").alias("func_name"),
+        (e % 300).cast("int").alias("line_no"),
+        F.lit("etl/job.py").alias("pathname"),
+        F.when(e < 5000, F.lit("")).otherwise(F.lpad(F.col("user_id").cast("string"), 4, "0")).alias("run_id"),
+    )
