@@ -97,6 +97,24 @@ WITH LOG AS (
 """
 
 
+_OPF = 5000  # orders per ingest fixture file
+FILES = f"""
+WITH O AS (SELECT o_orderkey % 4 AS split, o_orderkey // {_OPF} AS g FROM orders GROUP BY 1, 2),
+K AS (
+  SELECT 'json' AS ext, 'json/orders-' || CAST(g AS VARCHAR) || CASE WHEN g % 2 = 1 THEN '.JSON' ELSE '.json' END AS file_key,
+         'SUCCESS' AS status, 1 AS n FROM O WHERE split = 0
+  UNION ALL SELECT 'ndjson', 'ndjson/orders-' || CAST(g AS VARCHAR) || '.ndjson', 'SUCCESS', 2 FROM O WHERE split = 1
+  UNION ALL SELECT 'csv', 'csv/orders-' || CAST(g AS VARCHAR) || '.csv', 'SUCCESS', 1 FROM O WHERE split = 2
+  UNION ALL SELECT 'csv', 'csv/bad/orders-' || CAST(g AS VARCHAR) || '-bad.csv', 'FAILED', 1 FROM O WHERE split = 2
+  UNION ALL SELECT 'parquet', 'parquet/g=' || CAST(g AS VARCHAR) || '/part.parquet', 'SUCCESS', 1 FROM O WHERE split = 3
+),
+C AS (SELECT sum(CASE WHEN status = 'SUCCESS' THEN 1 ELSE 0 END) AS good,
+             sum(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END) AS bad,
+             sum(CASE WHEN ext = 'ndjson' THEN 1 ELSE 0 END) AS nd FROM K),
+N AS (SELECT count(*) AS n_rows, count(*) FILTER (WHERE o_orderkey % 4 = 1) AS nd_rows FROM orders)
+"""
+
+
 def _q(body: str) -> str:
     return BASE + body
 
@@ -209,6 +227,24 @@ ORACLE_SQL: dict[str, str] = {
     "run_log_recent": LOG + "SELECT * FROM LOG ORDER BY logged_at DESC",
     "alerts": LOG + """SELECT *, concat('[', level, '] Flight pipeline: ', substring(message, 1, 80)) AS subject
                        FROM LOG WHERE level IN ('ERROR', 'CRITICAL')""",
+    "ingest_listing": FILES + """
+        SELECT p.file_type, K.ext, count(*) AS n_files
+        FROM K JOIN (VALUES ('all', 'json'), ('all', 'ndjson'), ('all', 'csv'), ('all', 'parquet'),
+                            ('json', 'json'), ('json', 'ndjson'), (' .CSV', 'csv'),
+                            ('parquet', 'parquet')) p(file_type, ext) ON p.ext = K.ext
+        GROUP BY 1, 2""",
+    "ingest_formats": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+                                o_orderpriority FROM orders""",
+    "ingest_summary": FILES + """
+        SELECT 1 AS run, CAST(good AS INTEGER) AS files_processed, 0 AS files_skipped,
+               CAST(bad AS INTEGER) AS files_failed, n_rows AS rows_added FROM C, N
+        UNION ALL SELECT 2, 0, CAST(good AS INTEGER), CAST(bad AS INTEGER), 0 FROM C
+        UNION ALL SELECT 3, CAST(nd AS INTEGER), CAST(good - nd AS INTEGER), CAST(bad AS INTEGER), nd_rows
+        FROM C, N""",
+    "ingest_ledger_skip": FILES + "SELECT file_key FROM K WHERE status = 'SUCCESS'",
+    "ingest_failures": FILES + """SELECT file_key, 'invalid value for column o_custkey' AS error_message,
+                                         CAST(3 AS BIGINT) AS n_attempts FROM K WHERE status = 'FAILED'""",
+    "ledger_current": FILES + "SELECT file_key, status, CAST(n AS BIGINT) AS n_etags FROM K",
     "live_points": _q("""SELECT * FROM LATEST
                          WHERE latitude IS NOT NULL AND longitude IS NOT NULL
                            AND origin_country IS NOT NULL"""),

@@ -58,6 +58,14 @@ def _shared_base(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make sure ``Dataset.checkpoint()`` has a (shared) folder to write to."""
+    base = _shared_base(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(base)
+    return base
+
+
 def work_dir(spark: SparkSession, name: str, fresh: bool = True) -> str:
     """A folder under the shared checkpoint dir; a new one per call if fresh."""
     base = _shared_base(spark)

@@ -115,3 +115,81 @@ def run_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("etl/job.py").alias("pathname"),
         F.when(e < 5000, F.lit("")).otherwise(F.lpad(F.col("user_id").cast("string"), 4, "0")).alias("run_id"),
     )
+
+
+# Orders per ingest fixture file (files never grow past it).
+ORDERS_PER_FILE = 5_000
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def write_named_files(files: DataFrame) -> None:
+    """Write each ``(path, content)`` row as one file, from the executors.
+
+    Names are deterministic, so a retried task rewrites the same files.
+    """
+    def _write(rows):
+        from pyarrow import fs as pafs
+        for r in rows:
+            filesystem, p = pafs.FileSystem.from_uri(r["path"]) if "://" in r["path"] \
+                else (pafs.LocalFileSystem(), r["path"])
+            filesystem.create_dir(p.rsplit("/", 1)[0], recursive=True)
+            with filesystem.open_output_stream(p) as out:
+                out.write(r["content"].encode("utf-8"))
+    files.foreachPartition(_write)
+
+
+def ingest_source_files(spark: SparkSession, sf_dir: str, root: str, rewrite: bool = False) -> None:
+    """``orders`` split into files of four formats (plus traps) under ``root``.
+
+    split = o_orderkey % 4, file group g = o_orderkey div ORDERS_PER_FILE:
+    0 -> json/orders-g.json (top-level list; .JSON for odd g) and other/orders-g.txt (ignored)
+    1 -> ndjson/orders-g.ndjson (with a blank line)
+    2 -> csv/orders-g.csv (header) and csv/bad/orders-g-bad.csv (o_custkey not a number)
+    3 -> parquet/g=g/part-*.parquet (Spark's writer, one file per group)
+    With ``rewrite`` only the ndjson files are written again with new content.
+    """
+    orders = read_table(spark, sf_dir, "orders", ORDER_COLUMNS)
+    keyed = orders.withColumns({"split": F.col("o_orderkey") % 4,
+                                "g": F.floor(F.col("o_orderkey") / ORDERS_PER_FILE)})
+    obj = F.to_json(F.struct(*ORDER_COLUMNS))
+    line_csv = F.to_csv(F.struct(*ORDER_COLUMNS))
+    bad_csv = F.to_csv(F.struct(*[F.concat(F.col(c).cast("string"), F.lit("x")).alias(c) if c == "o_custkey"
+                                  else F.col(c) for c in ORDER_COLUMNS]))
+    header = ",".join(ORDER_COLUMNS)
+
+    def lines(expr):  # sorted within one bounded file group
+        return F.transform(F.array_sort(F.collect_list(F.struct(F.col("o_orderkey"), expr.alias("v")))),
+                           lambda x: x.getField("v"))
+
+    g = F.col("g").cast("string")
+    base = F.lit(root.rstrip("/") + "/")
+    specs = []
+    if not rewrite:
+        specs += [
+            (0, F.concat(base, F.lit("json/orders-"), g, F.when(F.col("g") % 2 == 1, ".JSON").otherwise(".json")),
+             lambda: F.concat(F.lit("["), F.concat_ws(",", lines(obj)), F.lit("]"))),
+            (0, F.concat(base, F.lit("other/orders-"), g, F.lit(".txt")),
+             lambda: F.concat_ws("\n", lines(obj))),
+            (1, F.concat(base, F.lit("ndjson/orders-"), g, F.lit(".ndjson")),
+             lambda: F.concat(F.lit("\n"), F.concat_ws("\n", lines(obj)), F.lit("\n"))),
+            (2, F.concat(base, F.lit("csv/orders-"), g, F.lit(".csv")),
+             lambda: F.concat(F.lit(header + "\n"), F.concat_ws("\n", lines(line_csv)), F.lit("\n"))),
+            (2, F.concat(base, F.lit("csv/bad/orders-"), g, F.lit("-bad.csv")),
+             lambda: F.concat(F.lit(header + "\n"), F.concat_ws("\n", lines(bad_csv)), F.lit("\n"))),
+        ]
+    else:
+        specs += [
+            (1, F.concat(base, F.lit("ndjson/orders-"), g, F.lit(".ndjson")),
+             lambda: F.concat(F.concat_ws("\n", F.reverse(lines(obj))), F.lit("\n\n\n"))),
+        ]
+    frames = [keyed.where(F.col("split") == split).groupBy("g")
+              .agg(content().alias("content")).select(path.alias("path"), "content")
+              for split, path, content in specs]
+    files = frames[0]
+    for fr in frames[1:]:
+        files = files.unionByName(fr)
+    write_named_files(files)
+    if not rewrite:
+        pq = keyed.where(F.col("split") == 3)
+        (pq.repartition("g").select(*ORDER_COLUMNS, "g").write.mode("overwrite")
+         .partitionBy("g").parquet(f"{root.rstrip('/')}/parquet"))
