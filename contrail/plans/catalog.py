@@ -26,6 +26,8 @@ from contrail.sources import fixtures
 from contrail.sources import ingest as ig
 from contrail.sources import sinks
 from contrail.sources.tables import read_table
+from contrail import streaming as st
+from contrail.streaming.jobs import heartbeat_row, read_stream_bronze
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,6 +200,56 @@ def alerts(spark, sf_dir):
     return rl.alerts(_stored_log(spark, sf_dir))
 
 
+# --- streaming ---------------------------------------------------------------
+
+def _staged_bronze(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Fixture bronze written in the stored bronze layout (by ingest date)."""
+    path = f"{root}/bronze"
+    (_bronze(spark, sf_dir).withColumns({"source_file": F.lit(None).cast("string"),
+                                         "ingest_date": F.to_date("ingest_time")})
+     .write.partitionBy("ingest_date").parquet(path))
+    return path
+
+
+def _await(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def stream_bronze(spark, sf_dir):
+    root = work_dir(spark, "stream_bronze")
+    br.land_snapshots(fixtures.snapshot_parts(spark, sf_dir, P.STATES_PER_PART), f"{root}/landing")
+    _await(st.bronze_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ckpt",
+                            trigger="available_now", order_by="path"))
+    return br.snapshot_sizes(read_stream_bronze(spark, f"{root}/bronze"))
+
+
+def stream_flatten(spark, sf_dir):
+    root = work_dir(spark, "stream_flatten")
+    bronze = _staged_bronze(spark, sf_dir, root)
+    _await(st.flatten_stream(spark, bronze, f"{root}/mart", f"{root}/ckpt", trigger="available_now"))
+    return bf.read_mart(spark, f"{root}/mart")
+
+
+def stream_hourly(spark, sf_dir):
+    root = work_dir(spark, "stream_hourly")
+    bf.backfill(spark, _bronze(spark, sf_dir), f"{root}/mart")
+    bf.write_mart(heartbeat_row(spark, "2030-01-01 00:00:00"), f"{root}/mart")  # arrives last
+    _await(st.hourly_stream(spark, f"{root}/mart", f"{root}/gold", f"{root}/ckpt",
+                            delay="60 days", trigger="available_now"))
+    return sinks.read_hourly(spark, f"{root}/gold")
+
+
+def stream_latest(spark, sf_dir):
+    root = work_dir(spark, "stream_latest")
+    bronze = _staged_bronze(spark, sf_dir, root)
+    _await(st.flatten_stream(spark, bronze, f"{root}/mart", f"{root}/ckpt_mart", trigger="available_now"))
+    _await(st.latest_refresh_stream(spark, f"{root}/mart", f"{root}/gold", f"{root}/ckpt_gold",
+                                    trigger="available_now"))
+    return sinks.read_latest(spark, f"{root}/gold")
+
+
 # --- file ingestion -------------------------------------------------------
 
 INGEST_TARGET = "external_storage.orders_stage"
@@ -316,4 +368,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_ledger_skip": ingest_ledger_skip,
     "ingest_failures": ingest_failures,
     "ledger_current": ledger_current,
+    "stream_bronze": stream_bronze,
+    "stream_flatten": stream_flatten,
+    "stream_hourly": stream_hourly,
+    "stream_latest": stream_latest,
 }

@@ -150,7 +150,8 @@ _TOKENS = [
 _TOKENS_SQL = "\nUNION ALL\n".join(
     f"SELECT event_id, {i + 1} AS token_no, {t} AS token FROM events" for i, t in enumerate(_TOKENS))
 
-ORACLE_SQL: dict[str, str] = {
+ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL.update({
     "flatten_states": _q("SELECT * FROM F"),
     "flatten_strict": _q("SELECT * FROM F"),
     "flatten_cdc": _q("""SELECT *, CAST(0 AS SMALLINT) AS _peerdb_is_deleted,
@@ -245,7 +246,11 @@ ORACLE_SQL: dict[str, str] = {
     "ingest_failures": FILES + """SELECT file_key, 'invalid value for column o_custkey' AS error_message,
                                          CAST(3 AS BIGINT) AS n_attempts FROM K WHERE status = 'FAILED'""",
     "ledger_current": FILES + "SELECT file_key, status, CAST(n AS BIGINT) AS n_etags FROM K",
+    "stream_flatten": _q("SELECT * FROM F"),
+    "stream_hourly": _q("SELECT * FROM H"),
+    "stream_latest": _q("SELECT * FROM LATEST"),
     "live_points": _q("""SELECT * FROM LATEST
                          WHERE latitude IS NOT NULL AND longitude IS NOT NULL
                            AND origin_country IS NOT NULL"""),
-}
+})
+ORACLE_SQL["stream_bronze"] = ORACLE_SQL["bronze_snapshots"]
