@@ -15,6 +15,9 @@ NUMBER_RE = r"^ *[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)? *$"
 INTEGER_RE = r"^ *[+-]?[0-9]+ *$"
 UINT32_MAX = 4294967295
 UINT8_MAX = 255
+INT32_MIN, INT32_MAX = -2147483648, 2147483647
+TRUE_WORDS = ("t", "true", "y", "yes", "1")
+FALSE_WORDS = ("f", "false", "n", "no", "0")
 
 
 def _c(col: Column | str) -> Column:
@@ -27,26 +30,34 @@ def f64_or_null(col: Column | str) -> Column:
     return F.when(c.rlike(NUMBER_RE), c.try_cast("double"))
 
 
+def _as_long(c: Column) -> Column:
+    """Plain integer text of at most 18 digits -> bigint, else NULL.
+
+    Only text that cannot overflow reaches the cast, so no row goes through
+    the (slow) exception path of a failing ``try_cast``.
+    """
+    return F.when(c.rlike(INTEGER_RE) & (F.length(F.trim(c)) <= 19), c.try_cast("bigint"))
+
+
 def i32_or_null(col: Column | str) -> Column:
     """Text -> int, NULL when not an integer or out of int range."""
-    c = _c(col)
-    return F.when(c.rlike(INTEGER_RE), c.try_cast("int"))
+    v = _as_long(_c(col))
+    return F.when(v.between(INT32_MIN, INT32_MAX), v.cast("int"))
+
+
+def u32_or_null(col: Column | str) -> Column:
+    """Text -> unsigned 32-bit as bigint, NULL on failure."""
+    v = _as_long(_c(col))
+    return F.when(v.between(0, UINT32_MAX), v)
 
 
 def _unsigned_or_zero(c: Column, hi: int) -> Column:
-    as_long = F.when(c.rlike(INTEGER_RE), c.try_cast("bigint"))
-    in_range = F.when(as_long.between(0, hi), as_long)
+    v = _as_long(c)
+    in_range = F.when(v.between(0, hi), v)
     # NULL stays NULL; anything unparsable or out of range becomes 0.
     return F.when(c.isNull(), F.lit(None).cast("bigint")).otherwise(F.coalesce(in_range, F.lit(0).cast("bigint")))
 
 
-def u32_or_null(col: Column | str) -> Column:
-    """Text -> unsigned 32-bit as bigint, NULL on failure."""
-    c = _c(col)
-    as_long = F.when(c.rlike(INTEGER_RE), c.try_cast("bigint"))
-    return F.when(as_long.between(0, UINT32_MAX), as_long)
-
-
 def u32_or_zero(col: Column | str) -> Column:
     """Text -> unsigned 32-bit as bigint, 0 on failure, NULL on NULL."""
     return _unsigned_or_zero(_c(col), UINT32_MAX)
@@ -60,13 +71,15 @@ def u8_or_zero(col: Column | str) -> Column:
 def to_bool(col: Column | str, mode: str = "cast") -> Column:
     """Text -> boolean.
 
-    ``cast``: true/false/t/f/yes/no/y/n/1/0 (trimmed, any case), else NULL.
+    ``cast``: true/false/t/f/yes/no/y/n/1/0 (blank-trimmed, any case), else
+    NULL - a word lookup, so bad values cost no exception.
     ``uint8_or_zero``: the number-only reading, where the text ``true`` is 0
     and therefore false.
     """
     c = _c(col)
     if mode == "cast":
-        return c.try_cast("boolean")
+        w = F.lower(F.trim(c))
+        return F.when(w.isin(*TRUE_WORDS), F.lit(True)).when(w.isin(*FALSE_WORDS), F.lit(False))
     if mode == "uint8_or_zero":
         return u8_or_zero(c) != 0
     raise ValueError(f"unknown bool mode {mode!r}")

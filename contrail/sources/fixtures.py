@@ -21,11 +21,6 @@ from contrail.sources.tables import read_table
 STATES_PER_PART = 10_000
 
 
-def _json_value(c: Column) -> Column:
-    """Render one value as JSON text (string quoted, null as null)."""
-    return F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
-
-
 def _null_when(cond: Column, value: Column) -> Column:
     return F.when(~cond, value)
 
@@ -66,11 +61,16 @@ def flight_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def state_json(reports: DataFrame) -> Column:
-    """The 17-element state vector of a report, as JSON text."""
+    """The 17-element state vector of a report, as JSON text.
+
+    Values keep their JSON types (text quoted, numbers and booleans bare, the
+    sensor list nested, null as null): each is cast to VARIANT and the array
+    is rendered by one ``to_json`` call.
+    """
     order = ["icao24", "callsign", "origin_country", "time_position_s", "last_contact_s",
              "longitude", "latitude", "baro_altitude", "on_ground", "velocity", "true_track",
              "vertical_rate", "sensors", "geo_altitude", "squawk", "spi", "position_source"]
-    return F.concat(F.lit("["), F.concat_ws(",", *[_json_value(F.col(c)) for c in order]), F.lit("]"))
+    return F.to_json(F.array(*[F.col(c).cast("variant") for c in order]))
 
 
 def snapshot_parts(spark: SparkSession, sf_dir: str,
