@@ -21,3 +21,8 @@ def spark():
 @pytest.fixture()
 def tmp_dir(tmp_path):
     return str(tmp_path)
+
+
+def sorted_rows(df):
+    """Rows as tuples in a NULL-safe order, for multiset comparisons."""
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))

@@ -8,11 +8,11 @@ from contrail.sources import bronze as br
 from contrail.sources import fixtures, sinks
 from contrail import streaming as st
 from contrail.streaming.jobs import heartbeat_row, read_stream_bronze
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, sorted_rows
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted_rows(df)
 
 
 def test_stream_flatten_equals_batch_and_is_incremental(spark, tmp_dir):
