@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contrail import schemas
+from contrail.session import ensure_checkpoint_dir
 from contrail.sources import fs
 
 _VERSION = "version="
@@ -46,10 +47,19 @@ def read_latest(spark: SparkSession, root: str) -> DataFrame:
 def export_hourly(hourly: DataFrame, root: str) -> None:
     """Write hourly rows into their (fly_date, fly_hour) partitions.
 
-    Only the partitions present in ``hourly`` are replaced. Rows are grouped
-    by partition first so each hour is written as one file.
+    Only the partitions present in ``hourly`` are replaced. The aggregated
+    rows (a few hundred per hour) are checkpointed first: lineage is cut, so
+    a failed write task never recomputes the aggregation over the mart, and
+    the number of hours is known. Rows are then hash-partitioned by hour over
+    ``min(hours, cores)`` tasks: one file per hour, written in parallel.
     """
-    (hourly.repartition("fly_date", "fly_hour")
+    ensure_checkpoint_dir(hourly.sparkSession)
+    hourly = hourly.checkpoint()
+    n_hours = hourly.select("fly_date", "fly_hour").distinct().count()
+    if n_hours == 0:
+        return
+    n = max(1, min(n_hours, hourly.sparkSession.sparkContext.defaultParallelism))
+    (hourly.repartition(n, "fly_date", "fly_hour")
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("compression", "snappy")
