@@ -21,6 +21,23 @@ def read_mart(spark: SparkSession, mart_root: str) -> DataFrame:
     return df.select(*schemas.MART_COLUMNS)
 
 
+def read_latest_day(spark: SparkSession, mart_root: str) -> DataFrame:
+    """Mart rows of the newest ``upload_date`` folder that holds rows.
+
+    ``upload_date`` is ``to_date(uploaded_at)``, so the latest snapshot is in
+    the newest date folder: the folder listing (metadata only) prunes the
+    scan to one day instead of reading ``uploaded_at`` across the whole mart.
+    """
+    days = sorted((n.split("=", 1)[1] for n in fs.list_dirs(spark, mart_root)
+                   if n.startswith("upload_date=")), reverse=True)
+    mart = spark.read.schema(MART_STORED).parquet(mart_root)
+    for day in days:
+        one = mart.where(F.col("upload_date") == F.lit(day).cast("date"))
+        if one.limit(1).count():  # a folder can hold only uncommitted stream files
+            return one.select(*schemas.MART_COLUMNS)
+    return mart.select(*schemas.MART_COLUMNS)
+
+
 def write_mart(mart: DataFrame, mart_root: str) -> None:
     """Append mart rows partitioned by upload date, sorted for row-group stats."""
     (mart.withColumn("upload_date", F.to_date("uploaded_at"))

@@ -38,6 +38,14 @@ def _mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fl.flatten(_bronze(spark, sf_dir))
 
 
+def _mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart materialised once (reliable checkpoint in the shared folder)
+    for queries that scan it twice (a max subquery plus the filtered scan)."""
+    from contrail.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return _mart(spark, sf_dir).checkpoint()
+
+
 def flatten_states(spark, sf_dir):
     return _mart(spark, sf_dir)
 
@@ -105,15 +113,15 @@ def cast_lenient(spark, sf_dir):
 
 
 def latest_watermark(spark, sf_dir):
-    return lt.latest_by_watermark(_mart(spark, sf_dir))
+    return lt.latest_by_watermark(_mart_table(spark, sf_dir))
 
 
 def latest_rank(spark, sf_dir):
-    return lt.latest_by_rank(_mart(spark, sf_dir))
+    return lt.latest_by_rank(_mart_table(spark, sf_dir))
 
 
 def snapshot_asof(spark, sf_dir):
-    return lt.snapshot_as_of(_mart(spark, sf_dir), P.AS_OF)
+    return lt.snapshot_as_of(_mart_table(spark, sf_dir), P.AS_OF)
 
 
 def hourly_prev(spark, sf_dir):
@@ -137,11 +145,11 @@ def country_day_total(spark, sf_dir):
 
 
 def countries(spark, sf_dir):
-    return sv.countries(lt.latest_by_watermark(_mart(spark, sf_dir)))
+    return sv.countries(lt.latest_by_watermark(_mart_table(spark, sf_dir)))
 
 
 def live_points(spark, sf_dir):
-    return sv.live_points(lt.latest_by_watermark(_mart(spark, sf_dir)))
+    return sv.live_points(lt.latest_by_watermark(_mart_table(spark, sf_dir)))
 
 
 def _stored_mart(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
@@ -160,7 +168,8 @@ def bronze_snapshots(spark, sf_dir):
 def sink_latest_roundtrip(spark, sf_dir):
     root = work_dir(spark, "sink_latest")
     mart = _stored_mart(spark, sf_dir, root)
-    for snap in (lt.snapshot_as_of(mart, P.AS_OF), lt.latest_by_watermark(mart)):
+    newest_day = bf.read_latest_day(spark, f"{root}/mart")  # prunes the scan to one day
+    for snap in (lt.snapshot_as_of(mart, P.AS_OF), lt.latest_by_watermark(newest_day)):
         version = snap.agg(F.max("load_id")).first()[0]
         sinks.export_latest(snap, f"{root}/gold_latest", version)
     return sinks.read_latest(spark, f"{root}/gold_latest")

@@ -13,12 +13,16 @@ never sorted or funnelled through one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from contrail.functions.time import instant_to_ntz, seconds_to_ntz
 from contrail.operators.flatten import state_count
 from contrail.sources import fs
 
+log = logging.getLogger("contrail.bronze")
+
 BRONZE_STORED = T.StructType([
     T.StructField("load_id", T.LongType(), False),
     T.StructField("ingest_time", T.TimestampNTZType(), False),
@@ -99,7 +103,13 @@ def load_landing(spark: SparkSession, landing_root: str, bronze_root: str,
         t = file_time
     out = rows.select("load_id", t.alias("ingest_time"), "data", "source_file",
                       F.to_date(t).alias("ingest_date"))
+    # Snapshot and state counts of this load, gathered during the write itself.
+    obs = Observation("landing_load")
+    out = out.observe(obs, F.count(F.lit(1)).alias("snapshots"),
+                      F.sum(state_count(F.col("data"))).alias("states"))
     out.write.mode("append").partitionBy("ingest_date").parquet(bronze_root)
+    stats = obs.get
+    log.info("SUCCESS - Loaded %s flights | %s snapshots", stats.get("states"), stats.get("snapshots"))
     return n_new
 
 

@@ -115,3 +115,31 @@ def test_backfill_rerun_adds_nothing(spark, tmp_dir):
     n = bf.read_mart(spark, f"{tmp_dir}/m").count()
     bf.backfill(spark, staged, f"{tmp_dir}/m")
     assert bf.read_mart(spark, f"{tmp_dir}/m").count() == n == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+
+
+def test_views_and_parameterised_sql(spark, mart):
+    from contrail.operators import views
+    hourly = hr.hourly(mart)
+    views.register_views(spark, mart, hourly)
+    assert _rows(spark.table(views.LATEST_VIEW)) == _rows(lt.latest_by_watermark(mart))
+    assert _rows(spark.table(views.LATEST_RANKED_VIEW)) == _rows(lt.latest_by_rank(mart))
+    day = hourly.first()
+    a = views.country_day_sql(spark, day["origin_country"], day["fly_date"])
+    b = sv.country_day(hourly, day["origin_country"], day["fly_date"])
+    assert _rows(a) == _rows(b) and a.count() > 0
+    assert views.country_day_sql(spark, "x' OR '1'='1", day["fly_date"]).count() == 0
+
+
+def test_latest_day_reader_prunes_to_one_day(spark, tmp_dir):
+    bf.backfill(spark, fixtures.snapshot_bronze(spark, SF_SMALL), f"{tmp_dir}/m")
+    full = bf.read_mart(spark, f"{tmp_dir}/m")
+    day = bf.read_latest_day(spark, f"{tmp_dir}/m")
+    assert _rows(lt.latest_by_watermark(day)) == _rows(lt.latest_by_watermark(full))
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(upload_date" in plan
+
+
+def test_sql_frame_counts_rows_while_running(spark):
+    from contrail.sources.tables import sql_frame
+    df, obs = sql_frame(spark, "SELECT id FROM range(10) WHERE id < :n", {"n": 7})
+    assert df.count() == 7 and obs.get["rows"] == 7
