@@ -49,6 +49,10 @@ def backfill(spark: SparkSession, bronze: DataFrame, mart_root: str, **flatten_o
     """Flatten every bronze snapshot not yet in the mart and append it."""
     todo = bronze.select("load_id", "ingest_time", "data")
     if fs.exists(spark, mart_root):
-        done = read_mart(spark, mart_root).select("load_id").distinct()
+        # A snapshot's mart rows sit in the upload_date of its ingest time, so
+        # only those date folders are compared (one row per snapshot id).
+        dates = todo.select(F.to_date("ingest_time").alias("upload_date")).distinct()
+        stored = spark.read.schema(MART_STORED).parquet(mart_root).select("load_id", "upload_date")
+        done = stored.join(dates, "upload_date", "left_semi").select("load_id").distinct()
         todo = todo.join(done, "load_id", "left_anti")
     write_mart(flatten(todo, **flatten_opts), mart_root)

@@ -145,13 +145,18 @@ def ingest_files(spark: SparkSession, target_table: str, target_schema: T.Struct
     todo = listing.join(done.select(*keys), keys, "left_anti").checkpoint()
     n_skipped = listing.join(done.select(*keys), keys, "left_semi").count()
 
-    todo_files = todo.select("file_key", "ext").orderBy("file_key").collect()  # paths only
+    # Paths only, streamed partition by partition: the driver holds at most
+    # one batch of file names, never the listing as a whole, never rows.
     n_processed = n_failed = 0
-    for i in range(0, len(todo_files), MAX_FILES_PER_BATCH):
-        batch = todo_files[i:i + MAX_FILES_PER_BATCH]
+    batch: list[tuple[str, str]] = []
+    for r in todo.select("file_key", "ext").orderBy("file_key").toLocalIterator():
+        batch.append((r[0], r[1]))
+        if len(batch) == MAX_FILES_PER_BATCH:
+            p, f = _ingest_batch(spark, batch, cols, types, todo, target_path, ledger_path, loaded_at)
+            n_processed, n_failed, batch = n_processed + p, n_failed + f, []
+    if batch:
         p, f = _ingest_batch(spark, batch, cols, types, todo, target_path, ledger_path, loaded_at)
-        n_processed += p
-        n_failed += f
+        n_processed, n_failed = n_processed + p, n_failed + f
     return spark.createDataFrame([(n_processed, n_skipped, n_failed)],
                                  "files_processed int, files_skipped int, files_failed int")
 

@@ -44,10 +44,17 @@ def _bronze_batch(spark: SparkSession, bronze_root: str, order_by: str):
     keys = ["_mtime", "source_file"] if order_by == "mtime" else ["source_file"]
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        # Ids grow with batch ids: the previous maximum is in the newest earlier
+        # batch folder, found by listing (metadata) - no scan of older batches.
         prev = 0
-        if fs.exists(spark, bronze_root):
-            done = spark.read.parquet(bronze_root).where(F.col("batch_id") < batch_id)
-            prev = done.agg(F.max("load_id")).first()[0] or 0
+        earlier = sorted((int(n.split("=", 1)[1]) for n in fs.list_dirs(spark, bronze_root)
+                          if n.startswith("batch_id=") and int(n.split("=", 1)[1]) < batch_id), reverse=True)
+        for b in earlier:
+            path = f"{bronze_root}/batch_id={b}"
+            if fs.is_committed(spark, path):
+                prev = spark.read.parquet(path).agg(F.max("load_id")).first()[0] or prev
+                if prev:
+                    break
         files = batch.select("source_file", "_mtime").distinct()
         ordered = files.orderBy(*keys).select("source_file")
         ids = spark.createDataFrame(

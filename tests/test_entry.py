@@ -34,3 +34,15 @@ FAST = ["flatten_states", "flatten_strict", "flatten_cdc", "snapshot_counts", "j
 def test_oracle_parity_small(spark, name):
     import oracle_check
     assert oracle_check.compare(spark, SF_SMALL, {name})
+
+
+BANNED = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
+          "WindowGroupLimit")
+
+
+@pytest.mark.parametrize("name", FAST)
+def test_registered_plans_stay_jvm_side(spark, name):
+    df = entry.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in BANNED:
+        assert node not in plan, (name, node)
