@@ -60,34 +60,40 @@ def flight_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("vertical_rate", F.col("vertical_rate_num") / 4).drop("vertical_rate_num")
 
 
-def state_json(reports: DataFrame) -> Column:
-    """The 17-element state vector of a report, as JSON text.
+STATE_FIELDS = ["icao24", "callsign", "origin_country", "time_position_s", "last_contact_s",
+                "longitude", "latitude", "baro_altitude", "on_ground", "velocity", "true_track",
+                "vertical_rate", "sensors", "geo_altitude", "squawk", "spi", "position_source"]
+
+
+def state_json(st: Column) -> Column:
+    """The 17-element state vector in struct ``st``, as JSON text.
 
     Values keep their JSON types (text quoted, numbers and booleans bare, the
     sensor list nested, null as null): each is cast to VARIANT and the array
     is rendered by one ``to_json`` call.
     """
-    order = ["icao24", "callsign", "origin_country", "time_position_s", "last_contact_s",
-             "longitude", "latitude", "baro_altitude", "on_ground", "velocity", "true_track",
-             "vertical_rate", "sensors", "geo_altitude", "squawk", "spi", "position_source"]
-    return F.to_json(F.array(*[F.col(c).cast("variant") for c in order]))
+    return F.to_json(F.array(*[st.getField(c).cast("variant") for c in STATE_FIELDS]))
 
 
 def snapshot_parts(spark: SparkSession, sf_dir: str,
                    states_per_part: int = STATES_PER_PART) -> DataFrame:
-    """Bronze-shaped rows ``(load_id, part, ingest_time, data)``, one per bounded part."""
+    """Bronze-shaped rows ``(load_id, part, ingest_time, data)``, one per bounded part.
+
+    The shuffle carries typed report fields; each part renders its own JSON
+    after the shuffle, so rendering runs in parallel across parts.
+    """
     reports = flight_reports(spark, sf_dir)
     rows = reports.select(
         "load_id", "uploaded_at",
         F.floor(F.col("event_id") / states_per_part).alias("part"),
-        F.struct(F.col("event_id"), state_json(reports).alias("s")).alias("st"),
+        F.struct("event_id", *STATE_FIELDS).alias("st"),
     )
     parts = rows.groupBy("load_id", "part", "uploaded_at").agg(
         # Sorting is within one part only (bounded), for a stable payload text.
-        F.transform(F.array_sort(F.collect_list("st")), lambda x: x.getField("s")).alias("states"))
+        F.array_sort(F.collect_list("st")).alias("sts"))
     payload = F.concat(
         F.lit('{"time":'), ntz_to_seconds(F.col("uploaded_at")).cast("string"),
-        F.lit(',"states":['), F.concat_ws(",", F.col("states")), F.lit("]}"))
+        F.lit(',"states":['), F.concat_ws(",", F.transform("sts", state_json)), F.lit("]}"))
     return parts.select("load_id", "part", F.col("uploaded_at").alias("ingest_time"),
                         payload.alias("data"))
 
