@@ -16,8 +16,12 @@ from contrail.sources import fs
 MART_STORED = T.StructType(schemas.MART.fields + [T.StructField("upload_date", T.DateType(), True)])
 
 
-def read_mart(spark: SparkSession, mart_root: str) -> DataFrame:
+def read_mart(spark: SparkSession, mart_root: str, until=None) -> DataFrame:
+    """The stored mart; with ``until`` (a datetime), only upload dates up to
+    its date are listed and read (partition pruning for as-of reads)."""
     df = spark.read.schema(MART_STORED).parquet(mart_root)
+    if until is not None:
+        df = df.where(F.col("upload_date") <= F.lit(until.date().isoformat()).cast("date"))
     return df.select(*schemas.MART_COLUMNS)
 
 

@@ -38,12 +38,12 @@ def _mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fl.flatten(_bronze(spark, sf_dir))
 
 
-def _mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mart materialised once (reliable checkpoint in the shared folder)
-    for queries that scan it twice (a max subquery plus the filtered scan)."""
-    from contrail.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    return _mart(spark, sf_dir).checkpoint()
+def _mart_table(spark: SparkSession, sf_dir: str) -> str:
+    """Write the silver mart once (partitioned by upload date) and return its
+    folder; gold reads then prune to the folders they need, as in production."""
+    root = work_dir(spark, "mart")
+    bf.backfill(spark, _bronze(spark, sf_dir), f"{root}/mart")
+    return f"{root}/mart"
 
 
 def flatten_states(spark, sf_dir):
@@ -113,15 +113,16 @@ def cast_lenient(spark, sf_dir):
 
 
 def latest_watermark(spark, sf_dir):
-    return lt.latest_by_watermark(_mart_table(spark, sf_dir))
+    # The newest upload_date folder holds the newest snapshot: one day is read.
+    return lt.latest_by_watermark(bf.read_latest_day(spark, _mart_table(spark, sf_dir)))
 
 
 def latest_rank(spark, sf_dir):
-    return lt.latest_by_rank(_mart_table(spark, sf_dir))
+    return lt.latest_by_rank(bf.read_mart(spark, _mart_table(spark, sf_dir)))
 
 
 def snapshot_asof(spark, sf_dir):
-    return lt.snapshot_as_of(_mart_table(spark, sf_dir), P.AS_OF)
+    return lt.snapshot_as_of(bf.read_mart(spark, _mart_table(spark, sf_dir), until=P.AS_OF), P.AS_OF)
 
 
 def hourly_prev(spark, sf_dir):
@@ -145,11 +146,11 @@ def country_day_total(spark, sf_dir):
 
 
 def countries(spark, sf_dir):
-    return sv.countries(lt.latest_by_watermark(_mart_table(spark, sf_dir)))
+    return sv.countries(lt.latest_by_watermark(bf.read_latest_day(spark, _mart_table(spark, sf_dir))))
 
 
 def live_points(spark, sf_dir):
-    return sv.live_points(lt.latest_by_watermark(_mart_table(spark, sf_dir)))
+    return sv.live_points(lt.latest_by_watermark(bf.read_latest_day(spark, _mart_table(spark, sf_dir))))
 
 
 def _stored_mart(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
