@@ -7,11 +7,12 @@ real path: events -> snapshot JSON (bronze) -> flatten (silver) -> gold.
 from __future__ import annotations
 
 from collections.abc import Callable
-
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from contrail import schemas
+from contrail import streaming as st
 from contrail.functions import casts
 from contrail.operators import backfill as bf
 from contrail.operators import flatten as fl
@@ -26,7 +27,6 @@ from contrail.sources import fixtures
 from contrail.sources import ingest as ig
 from contrail.sources import sinks
 from contrail.sources.tables import read_table
-from contrail import streaming as st
 from contrail.streaming.jobs import heartbeat_row, read_stream_bronze
 
 
@@ -153,10 +153,8 @@ def live_points(spark, sf_dir):
     return sv.live_points(lt.latest_by_watermark(bf.read_latest_day(spark, _mart_table(spark, sf_dir))))
 
 
-def _stored_mart(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """Flatten the fixture bronze into a mart table under ``root`` and read it."""
-    bf.backfill(spark, _bronze(spark, sf_dir), f"{root}/mart")
-    return bf.read_mart(spark, f"{root}/mart")
+def _stored_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bf.read_mart(spark, _mart_table(spark, sf_dir))
 
 
 def bronze_snapshots(spark, sf_dir):
@@ -168,8 +166,9 @@ def bronze_snapshots(spark, sf_dir):
 
 def sink_latest_roundtrip(spark, sf_dir):
     root = work_dir(spark, "sink_latest")
-    mart = _stored_mart(spark, sf_dir, root)
-    newest_day = bf.read_latest_day(spark, f"{root}/mart")  # prunes the scan to one day
+    mart_root = _mart_table(spark, sf_dir)
+    mart = bf.read_mart(spark, mart_root)
+    newest_day = bf.read_latest_day(spark, mart_root)  # prunes the scan to one day
     for snap in (lt.snapshot_as_of(mart, P.AS_OF), lt.latest_by_watermark(newest_day)):
         version = snap.agg(F.max("load_id")).first()[0]
         sinks.export_latest(snap, f"{root}/gold_latest", version)
@@ -178,7 +177,7 @@ def sink_latest_roundtrip(spark, sf_dir):
 
 def sink_hourly_roundtrip(spark, sf_dir):
     root = work_dir(spark, "sink_hourly")
-    mart = _stored_mart(spark, sf_dir, root)
+    mart = _stored_mart(spark, sf_dir)
     sinks.export_hourly(hr.hourly(mart), f"{root}/gold_hourly")
     start, end = hr.hour_bounds(P.AS_OF)  # re-run one hour: only it is replaced
     sinks.export_hourly(hr.hourly(mart, start, end), f"{root}/gold_hourly")
@@ -188,7 +187,7 @@ def sink_hourly_roundtrip(spark, sf_dir):
 def backfill_no_dups(spark, sf_dir):
     root = work_dir(spark, "backfill")
     _bronze(spark, sf_dir).write.parquet(f"{root}/bronze")
-    staged = spark.read.schema(fl.schemas.BRONZE).parquet(f"{root}/bronze")
+    staged = spark.read.schema(schemas.BRONZE).parquet(f"{root}/bronze")
     bf.backfill(spark, staged, f"{root}/mart")
     bf.backfill(spark, staged, f"{root}/mart")  # manual re-run adds nothing
     return bf.read_mart(spark, f"{root}/mart")

@@ -31,22 +31,27 @@ BRONZE_STORED = T.StructType([
     T.StructField("ingest_date", T.DateType(), True),
 ])
 
-# Up to this many new files are read by explicit path; beyond it the folder
-# is scanned and joined with the new-file list instead.
+# New files are read by explicit path when they are few (at most this many,
+# and at most a quarter of the folder); otherwise the folder is scanned and
+# joined with the new-file list.
 EXPLICIT_PATHS_MAX = 10_000
 
 
 def land_snapshots(parts: DataFrame, landing_root: str) -> None:
-    """Write each bronze-shaped row ``(load_id, part, data)`` as one landing file.
+    """Drop each bronze-shaped row ``(load_id, part, data)`` as one landing file.
 
-    Files go to ``snap=<load_id>/part=<part>/`` (zero padded, so path order is
-    load order). Rows are unique per (load_id, part), so each folder gets
-    exactly one file without any extra shuffle.
+    This plays the producer (the API poller): every snapshot part becomes
+    ``<load_id>-<part>.json`` (zero padded, so path order is load order),
+    written by the executors straight to its final name. Names are
+    deterministic, so a retried task rewrites the same files.
     """
-    keyed = parts.select(F.lpad(F.col("load_id").cast("string"), 12, "0").alias("snap"),
-                         F.lpad(F.col("part").cast("string"), 8, "0").alias("part"), "data")
-    (keyed.write.mode("append")
-     .partitionBy("snap", "part").text(landing_root))
+    from contrail.sources.fixtures import write_named_files
+    root = landing_root.rstrip("/") + "/"
+    named = parts.select(
+        F.concat(F.lit(root), F.lpad(F.col("load_id").cast("string"), 12, "0"), F.lit("-"),
+                 F.lpad(F.col("part").cast("string"), 8, "0"), F.lit(".json")).alias("path"),
+        F.col("data").alias("content"))
+    write_named_files(named)
 
 
 def read_bronze(spark: SparkSession, bronze_root: str) -> DataFrame:
@@ -68,29 +73,39 @@ def _number(spark: SparkSession, new_files: DataFrame, order_by: str, start: int
 
 
 def load_landing(spark: SparkSession, landing_root: str, bronze_root: str,
-                 order_by: str = "mtime", time_source: str = "payload") -> int:
-    """Append new landing files to bronze; returns the number of files loaded."""
+                 order_by: str = "mtime", time_source: str = "payload",
+                 count_states: bool = False) -> int:
+    """Append new landing files to bronze; returns the number of files loaded.
+
+    The load logs how many snapshots it wrote (an ``observe`` metric of the
+    write itself). ``count_states`` also logs the number of state vectors,
+    at the price of parsing every payload once more.
+    """
     if order_by not in ("mtime", "path") or time_source not in ("payload", "file"):
         raise ValueError("order_by in (mtime, path), time_source in (payload, file)")
     listing = _listing(spark, landing_root)
     have_bronze = fs.exists(spark, bronze_root)
+    new_files = listing
     if have_bronze:
         bronze = read_bronze(spark, bronze_root)
-        listing = listing.join(bronze.select("source_file"), "source_file", "left_anti")
+        new_files = listing.join(bronze.select("source_file"), "source_file", "left_anti")
         prev_max = bronze.agg(F.max("load_id")).first()[0] or 0
     else:
         prev_max = 0
     # Reliable checkpoint (shared checkpoint dir): the numbering is computed
     # once and survives executor loss; never recomputed with other ids.
-    ids = _number(spark, listing, order_by, prev_max).checkpoint()
+    ids = _number(spark, new_files, order_by, prev_max).checkpoint()
     n_new = ids.count()
     if n_new == 0:
         return 0
+    n_all = listing.count() if have_bronze else n_new
     reader = spark.read.option("wholetext", "true")
-    if n_new <= EXPLICIT_PATHS_MAX:
+    if n_new <= EXPLICIT_PATHS_MAX and n_new * 4 <= n_all:
+        # A few new files in a big folder: name them (paths only on the driver).
         paths = [r[0] for r in ids.select("source_file").collect()]
         raw = reader.text(paths)
     else:
+        # Mostly new: one folder scan; the join below keeps the new files only.
         raw = reader.option("recursiveFileLookup", "true").text(landing_root)
     raw = raw.select(F.col("_metadata.file_path").alias("source_file"),
                      F.col("_metadata.file_modification_time").alias("_mtime"),
@@ -103,10 +118,12 @@ def load_landing(spark: SparkSession, landing_root: str, bronze_root: str,
         t = file_time
     out = rows.select("load_id", t.alias("ingest_time"), "data", "source_file",
                       F.to_date(t).alias("ingest_date"))
-    # Snapshot and state counts of this load, gathered during the write itself.
+    # Counts of this load, gathered during the write itself.
     obs = Observation("landing_load")
-    out = out.observe(obs, F.count(F.lit(1)).alias("snapshots"),
-                      F.sum(state_count(F.col("data"))).alias("states"))
+    metrics = [F.count(F.lit(1)).alias("snapshots")]
+    if count_states:
+        metrics.append(F.sum(state_count(F.col("data"))).alias("states"))
+    out = out.observe(obs, *metrics)
     out.write.mode("append").partitionBy("ingest_date").parquet(bronze_root)
     stats = obs.get
     log.info("SUCCESS - Loaded %s flights | %s snapshots", stats.get("states"), stats.get("snapshots"))
