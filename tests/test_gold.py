@@ -143,3 +143,18 @@ def test_sql_frame_counts_rows_while_running(spark):
     from contrail.sources.tables import sql_frame
     df, obs = sql_frame(spark, "SELECT id FROM range(10) WHERE id < :n", {"n": 7})
     assert df.count() == 7 and obs.get["rows"] == 7
+
+
+def test_batch_jobs_export_and_log(spark, tmp_dir):
+    from contrail.operators import runlog
+    from contrail.plans import jobs
+    bf.backfill(spark, fixtures.snapshot_bronze(spark, SF_SMALL), f"{tmp_dir}/m")
+    mart = bf.read_mart(spark, f"{tmp_dir}/m")
+    n = jobs.export_previous_hour(spark, f"{tmp_dir}/m", f"{tmp_dir}/hourly", AS_OF, f"{tmp_dir}/log")
+    assert n == hr.hourly_previous(mart, AS_OF).count()
+    v = jobs.export_latest_snapshot(spark, f"{tmp_dir}/m", f"{tmp_dir}/latest", f"{tmp_dir}/log")
+    assert v == lt.latest_by_watermark(mart).first()["load_id"]
+    assert _rows(sinks.read_latest(spark, f"{tmp_dir}/latest")) == _rows(lt.latest_by_watermark(mart))
+    logged = runlog.read_log(spark, f"{tmp_dir}/log")
+    assert logged.where("message LIKE 'SUCCESS%'").count() == 2
+    assert logged.select("run_id").distinct().count() == 2
