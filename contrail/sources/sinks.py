@@ -19,9 +19,15 @@ from contrail.sources import fs
 _VERSION = "version="
 
 
-def export_latest(latest: DataFrame, root: str, version: int) -> str:
-    """Write one snapshot as snappy Parquet under ``root/version=<n>``."""
-    path = f"{root.rstrip('/')}/{_VERSION}{version:020d}"
+def export_latest(latest: DataFrame, root: str, version: int, revision: int | None = None) -> str:
+    """Write one snapshot as snappy Parquet under ``root/version=<n>[-<rev>]``.
+
+    ``revision`` gives a re-export of the same snapshot (e.g. after more of
+    its parts arrived) its own, later-sorting folder, so a folder is never
+    rewritten while readers may use it.
+    """
+    name = f"{version:020d}" if revision is None else f"{version:020d}-{revision:010d}"
+    path = f"{root.rstrip('/')}/{_VERSION}{name}"
     (latest.write.mode("overwrite").option("compression", "snappy").parquet(path))
     return path
 

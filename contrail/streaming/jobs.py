@@ -134,23 +134,28 @@ def hourly_stream(spark: SparkSession, mart_root: str, gold_root: str, checkpoin
 # --- mart -> latest gold ------------------------------------------------------
 
 def latest_refresh_stream(spark: SparkSession, mart_root: str, gold_root: str, checkpoint: str,
-                          trigger: str = "300 seconds") -> StreamingQuery:
-    mart = spark.readStream.schema(MART_STORED).parquet(mart_root)
+                          trigger: str = "300 seconds",
+                          max_files_per_trigger: int | None = None) -> StreamingQuery:
+    reader = spark.readStream.schema(MART_STORED)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    mart = reader.parquet(mart_root)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         top = batch.agg(F.max("uploaded_at").alias("t"), F.max("load_id").alias("v")).first()
         if top is None or top["t"] is None:
             return
         current = sinks.read_latest(spark, gold_root).agg(F.max("uploaded_at")).first()[0]
-        if current is not None and current >= top["t"]:
-            return
+        if current is not None and current > top["t"]:
+            return  # the batch brought only older snapshots
+        # Equal: more parts of the served snapshot arrived; export it again.
         # Re-read the whole snapshot from the table: its parts may span batches.
         full = (spark.read.schema(MART_STORED).parquet(mart_root)
                 .where(F.col("upload_date") == F.lit(top["t"].date()))
                 .where(F.col("uploaded_at") == F.lit(top["t"].isoformat(sep=" ")).cast("timestamp_ntz"))
                 .select(*schemas.MART_COLUMNS))
         version = full.agg(F.max("load_id")).first()[0]
-        sinks.export_latest(full, gold_root, version)
+        sinks.export_latest(full, gold_root, version, revision=batch_id)
 
     w = mart.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return run_trigger(w, trigger).start()
