@@ -94,3 +94,34 @@ def test_run_log_handler_and_alerts(spark, tmp_dir):
     assert subjects == ["[CRITICAL] Flight pipeline: boom", "[ERROR] Flight pipeline: old " + "x" * 76]
     top = runlog.recent(rows, 1).first()
     assert top["level"] in ("INFO", "CRITICAL") and top["logged_at"] > dt.datetime(2024, 1, 1)
+
+
+def test_ingest_per_file_atomicity_and_md5_etag(spark, tmp_dir):
+    from pyspark.sql import types as T
+    src = f"{tmp_dir}/src"
+    os.makedirs(f"{src}/sub")
+    files = {
+        "good.json": '[{"id": 1, "name": "a"}, {"id": 2, "name": "b", "extra": true}]',
+        "one.json": '{"id": 3}',                                   # object -> one row, name absent -> NULL
+        "bad_value.json": '[{"id": 4, "name": "c"}, {"id": "x", "name": "d"}]',
+        "bad_line.ndjson": '{"id": 5, "name": "e"}\n{oops\n',
+        "sub/good.ndjson": '{"id": 6, "name": "f"}\n\n{"id": 7, "name": "g"}\n',
+        "skip.txt": "ignored",
+    }
+    for name, text in files.items():
+        with open(f"{src}/{name}", "w") as f:
+            f.write(text)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    run = lambda: ig.ingest_files(spark, "t", schema, "id,name", src, f"{tmp_dir}/t", f"{tmp_dir}/l",
+                                  etag_mode="md5").first()
+    assert tuple(run()) == (3, 0, 2)
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/t").collect())
+    assert got == [(1, "a"), (2, "b"), (3, None), (6, "f"), (7, "g")]
+    status = {r["file_key"].rsplit("/", 1)[1]: (r["status"], r["error_message"])
+              for r in ig.read_ledger(spark, f"{tmp_dir}/l").collect()}
+    assert status["bad_value.json"] == ("FAILED", "invalid value for column id")
+    assert status["bad_line.ndjson"] == ("FAILED", "unparsable record")
+    assert status["good.json"] == ("SUCCESS", None)
+    etags = {r["etag"] for r in ig.read_ledger(spark, f"{tmp_dir}/l").collect()}
+    assert all(len(e) == 32 for e in etags)  # md5 hex of the content
+    assert tuple(run()) == (0, 3, 2)  # good files skipped, bad ones retried
