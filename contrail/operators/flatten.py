@@ -48,9 +48,26 @@ def parse_payload(data: Column) -> Column:
     return F.from_json(data, schemas.PAYLOAD)
 
 
+def parse_states(data: Column) -> Column:
+    """``states`` as ``array<array<string>>``, robust to malformed elements.
+
+    The fast path is one typed parse. If any element is not an array (a
+    stray string or object), that parse yields NULL for the whole list; only
+    then does the fallback split ``states`` into raw element texts and parse
+    each on its own, so the bad element becomes NULL (a row of NULLs after
+    the explode) instead of losing the whole snapshot. ``coalesce`` only
+    evaluates the fallback when the fast parse failed.
+    """
+    fast = parse_payload(data).getField("states")
+    raw = F.from_json(data, "states array<string>").getField("states")
+    slow = F.transform(raw, lambda e: F.from_json(F.concat(F.lit('{"r":'), e, F.lit("}")),
+                                                  "r array<string>").getField("r"))
+    return F.coalesce(fast, slow)
+
+
 def state_count(data: Column) -> Column:
     """Number of state vectors in a payload; 0 for null/empty/missing/bad."""
-    return F.coalesce(F.size(parse_payload(data).getField("states")), F.lit(0))
+    return F.coalesce(F.size(parse_states(data)), F.lit(0))
 
 
 def _lenient(name: str, raw: Column, bool_mode: str, time_mode: str) -> Column:
@@ -104,7 +121,7 @@ def flatten(bronze: DataFrame, mode: str = "lenient", bool_mode: str = "cast",
     exploded = bronze.select(
         F.col("load_id").cast("bigint").alias(id_name),
         F.col("ingest_time").alias("uploaded_at"),
-        F.explode(parse_payload(F.col("data")).getField("states")).alias("_r"),
+        F.explode(parse_states(F.col("data"))).alias("_r"),
     )
     cols = [F.col(id_name), F.col("uploaded_at")]
     for name in schemas.MART_COLUMNS[2:]:

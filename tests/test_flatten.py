@@ -74,3 +74,16 @@ def test_cdc_variant_and_rename(bronze):
 def test_flatten_is_narrow(bronze):
     plan = flatten(bronze)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "PythonUDF" not in plan and "EvalPython" not in plan
+
+
+def test_malformed_element_keeps_the_rest_of_the_snapshot(spark):
+    data = ('{"time":1,"states":[["a00001","X1","France",1700000000],"bad",{"x":1},'
+            '["a00002","X2","Spain",null,null,1.5]]}')
+    b = spark.createDataFrame([(1, dt.datetime(2023, 11, 14), data)],
+                              "load_id long, ingest_time timestamp_ntz, data string")
+    rows = flatten(b).collect()
+    assert len(rows) == 4 and b.select(state_count(F.col("data"))).first()[0] == 4
+    assert sorted(r["icao24"] for r in rows if r["icao24"]) == ["a00001", "a00002"]
+    assert sum(1 for r in rows if r["icao24"] is None and r["origin_country"] is None) == 2
+    good = {r["icao24"]: r for r in rows if r["icao24"]}
+    assert good["a00002"]["longitude"] == 1.5 and good["a00001"]["origin_country"] == "France"
