@@ -142,8 +142,11 @@ def ingest_files(spark: SparkSession, target_table: str, target_schema: T.Struct
     listing = list_files(spark, path, file_type, etag_mode).withColumn("target_table", F.lit(target_table))
     done = current_ledger(read_ledger(spark, ledger_path)).where(F.col("status") == SUCCESS)
     keys = ["target_table", "file_key", "etag"]
-    todo = listing.join(done.select(*keys), keys, "left_anti").checkpoint()
-    n_skipped = listing.join(done.select(*keys), keys, "left_semi").count()
+    # One pass over the listing marks each file done or not (checkpointed:
+    # the folder is listed once per run).
+    marked = listing.join(done.select(*keys, F.lit(True).alias("_done")), keys, "left").checkpoint()
+    todo = marked.where(F.col("_done").isNull()).drop("_done")
+    n_skipped = marked.where(F.col("_done").isNotNull()).count()
 
     # Paths only, streamed partition by partition: the driver holds at most
     # one batch of file names, never the listing as a whole, never rows.
