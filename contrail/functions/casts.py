@@ -31,12 +31,14 @@ def f64_or_null(col: Column | str) -> Column:
 
 
 def _as_long(c: Column) -> Column:
-    """Plain integer text of at most 18 significant digits -> bigint, else NULL.
+    """Plain integer text (``INTEGER_RE``) of at most 18 significant digits
+    -> bigint, else NULL.
 
     Only text that cannot overflow reaches the cast, so no row goes through
     the (slow) exception path of a failing ``try_cast``.
     """
-    significant = F.regexp_extract(c, r"^ *[+-]?0*([0-9]*) *$", 1)  # digits after leading zeros
+    # Digits after blanks, sign and leading zeros (character trims).
+    significant = F.ltrim(F.ltrim(F.trim(c), F.lit("+-")), F.lit("0"))
     return F.when(c.rlike(INTEGER_RE) & (F.length(significant) <= 18), c.try_cast("bigint"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions import casts
 
-ALPHABET = "0123456789+-.eE tx"
+ALPHABET = "0123456789+-.eE txdnN\t"
 
 
 def model(x):
@@ -30,7 +30,7 @@ texts = st.one_of(st.none(), st.text(alphabet=ALPHABET, max_size=24),
                   st.sampled_from(["true", " FALSE ", "yes", "n", "0" * 22 + "7", "-0", "1e400"]))
 
 
-@settings(max_examples=6, deadline=None)
+@settings(max_examples=25, deadline=None)
 @given(st.lists(texts, min_size=50, max_size=200))
 def test_casts_match_model(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x string")
