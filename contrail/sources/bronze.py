@@ -60,16 +60,19 @@ def read_bronze(spark: SparkSession, bronze_root: str) -> DataFrame:
 
 def _listing(spark: SparkSession, landing_root: str) -> DataFrame:
     # binaryFile with only metadata columns selected never reads file content.
+    # source_file is the plain path; _src the (URL-encoded) form that file
+    # readers report in _metadata.file_path, used to match payloads to ids.
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
             .load(landing_root).select(F.col("path").alias("source_file"),
+                                       F.col("_metadata.file_path").alias("_src"),
                                        F.col("modificationTime").alias("mtime")))
 
 
 def _number(spark: SparkSession, new_files: DataFrame, order_by: str, start: int) -> DataFrame:
     keys = ["mtime", "source_file"] if order_by == "mtime" else ["source_file"]
-    ordered = new_files.orderBy(*keys).select("source_file")
-    indexed = ordered.rdd.zipWithIndex().map(lambda t: (t[0][0], t[1] + start + 1))
-    return spark.createDataFrame(indexed, "source_file string, load_id long")
+    ordered = new_files.orderBy(*keys).select("source_file", "_src")
+    indexed = ordered.rdd.zipWithIndex().map(lambda t: (t[0][0], t[0][1], t[1] + start + 1))
+    return spark.createDataFrame(indexed, "source_file string, _src string, load_id long")
 
 
 def load_landing(spark: SparkSession, landing_root: str, bronze_root: str,
@@ -107,10 +110,10 @@ def load_landing(spark: SparkSession, landing_root: str, bronze_root: str,
     else:
         # Mostly new: one folder scan; the join below keeps the new files only.
         raw = reader.option("recursiveFileLookup", "true").text(landing_root)
-    raw = raw.select(F.col("_metadata.file_path").alias("source_file"),
+    raw = raw.select(F.col("_metadata.file_path").alias("_src"),
                      F.col("_metadata.file_modification_time").alias("_mtime"),
                      F.col("value").alias("data"))
-    rows = raw.join(ids, "source_file")  # AQE broadcasts ids when they are small
+    rows = raw.join(ids, "_src")  # AQE broadcasts ids when they are small
     file_time = instant_to_ntz(F.col("_mtime"))
     if time_source == "payload":
         t = F.coalesce(seconds_to_ntz(F.get_json_object("data", "$.time").try_cast("bigint")), file_time)

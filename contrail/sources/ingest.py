@@ -82,8 +82,11 @@ def list_files(spark: SparkSession, path: str, file_type: str = "all",
         etag = F.md5(F.col("content"))
     else:
         raise ValueError(f"unknown etag mode {etag_mode!r}")
-    out = raw.select(F.col("path").alias("file_key"), ext.alias("ext"),
-                     F.col("length").alias("file_size"), etag.alias("etag"))
+    # file_key is the plain path (readable, used to read the file); _src is
+    # the file-source form that readers report in _metadata.file_path (URL
+    # encoded), used to match rows back to their file.
+    out = raw.select(F.col("path").alias("file_key"), F.col("_metadata.file_path").alias("_src"),
+                     ext.alias("ext"), F.col("length").alias("file_size"), etag.alias("etag"))
     return out.where(_accepts(F.col("ext"), requested))
 
 
@@ -119,7 +122,7 @@ def _read_text_columns(spark: SparkSession, ext: str, paths: list[str], cols: li
         raise ValueError(ext)
     present = set(df.columns)
     values = [(F.col(c) if c in present else F.lit(None)).cast("string").alias(c) for c in cols]
-    return df.select(F.col("_metadata.file_path").alias("file_key"), *values, corrupt.alias("_corrupt"))
+    return df.select(F.col("_metadata.file_path").alias("_src"), *values, corrupt.alias("_corrupt"))
 
 
 def _bad_value(c: str, dtype: T.DataType):
@@ -173,18 +176,19 @@ def _ingest_batch(spark, batch, cols, types, todo, target_path, ledger_path, loa
     for p in parts[1:]:
         rows = rows.unionByName(p)
 
-    # First offending column per file (hash aggregate: no file is gathered whole).
+    # One offending column per file, chosen deterministically (hash aggregate:
+    # no file is gathered whole).
     problem = F.coalesce(F.when(F.col("_corrupt"), F.lit("unparsable record")),
                          *[F.when(_bad_value(c, types[c]), F.lit(f"invalid value for column {c}")) for c in cols])
-    bad_files = (rows.select("file_key", problem.alias("problem")).where(F.col("problem").isNotNull())
-                 .groupBy("file_key").agg(F.min("problem").alias("error_message")).checkpoint())
+    bad_files = (rows.select("_src", problem.alias("problem")).where(F.col("problem").isNotNull())
+                 .groupBy("_src").agg(F.min("problem").alias("error_message")).checkpoint())
 
-    good = rows.join(bad_files.select("file_key"), "file_key", "left_anti")
+    good = rows.join(bad_files.select("_src"), "_src", "left_anti")
     good.select(*[F.col(c).cast(types[c]).alias(c) for c in cols]).write.mode("append").parquet(target_path)
 
     # Batches are consecutive runs of the sorted keys: a range selects one.
     batch_todo = todo.where(F.col("file_key").between(batch[0][0], batch[-1][0]))
-    ledger_rows = (batch_todo.join(bad_files, "file_key", "left")
+    ledger_rows = (batch_todo.join(bad_files, "_src", "left")
                    .select("target_table", "file_key", "etag", "file_size",
                            F.when(F.col("error_message").isNull(), F.lit(SUCCESS)).otherwise(F.lit(FAILED)).alias("status"),
                            "error_message", loaded_at.alias("loaded_at")))

@@ -125,3 +125,30 @@ def test_ingest_per_file_atomicity_and_md5_etag(spark, tmp_dir):
     etags = {r["etag"] for r in ig.read_ledger(spark, f"{tmp_dir}/l").collect()}
     assert all(len(e) == 32 for e in etags)  # md5 hex of the content
     assert tuple(run()) == (0, 3, 2)  # good files skipped, bad ones retried
+
+
+def test_file_names_needing_url_encoding(spark, tmp_dir):
+    """Readers report URL-encoded paths; matching must not lose or mislabel files."""
+    from pyspark.sql import types as T
+    src = f"{tmp_dir}/src"
+    os.makedirs(f"{src}/sub dir")
+    for name, text in {"a b.json": '[{"id": 1}]', "bad %20x.json": '[{"id": "zz"}]',
+                       "sub dir/c#1.ndjson": '{"id": 3}\n', "ü+.json": '{"id": 4}'}.items():
+        with open(f"{src}/{name}", "w") as f:
+            f.write(text)
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    run = lambda: tuple(ig.ingest_files(spark, "t", schema, "id", src, f"{tmp_dir}/t", f"{tmp_dir}/l").first())
+    assert run() == (3, 0, 1)
+    assert sorted(r[0] for r in spark.read.parquet(f"{tmp_dir}/t").collect()) == [1, 3, 4]
+    failed = [r.file_key for r in ig.read_ledger(spark, f"{tmp_dir}/l").where("status = 'FAILED'").collect()]
+    assert len(failed) == 1 and failed[0].endswith("bad %20x.json")
+    assert run() == (0, 3, 1)  # the bad file is retried, not skipped
+
+    land, bronze = f"{tmp_dir}/landing", f"{tmp_dir}/bronze"
+    os.makedirs(f"{land}/day 1")
+    for i, name in enumerate(["snap 1.json", "day 1/snap#2.json", "snap%3.json"]):
+        with open(f"{land}/{name}", "w") as f:
+            f.write('{"time": %d, "states": [["x"]]}' % (1700000000 + i))
+    assert br.load_landing(spark, land, bronze, order_by="path") == 3
+    assert br.read_bronze(spark, bronze).count() == 3
+    assert br.load_landing(spark, land, bronze) == 0
