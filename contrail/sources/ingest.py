@@ -27,6 +27,7 @@ import re
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.storagelevel import StorageLevel
 
 from contrail import schemas
 from contrail.functions.time import ntz_literal
@@ -175,6 +176,16 @@ def _ingest_batch(spark, batch, cols, types, todo, target_path, ledger_path, loa
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
+    # Rows are used twice (bad-file check, then the append): keep them (memory,
+    # then disk) so every file is read once; lost blocks are re-read.
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _check_and_append(rows, batch, cols, types, todo, target_path, ledger_path, loaded_at)
+    finally:
+        rows.unpersist()
+
+
+def _check_and_append(rows, batch, cols, types, todo, target_path, ledger_path, loaded_at):
 
     # One offending column per file, chosen deterministically (hash aggregate:
     # no file is gathered whole).

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from contrail import schemas
 from contrail.functions.casts import exact_avg, round_ch
@@ -55,16 +56,23 @@ def _bronze_batch(spark: SparkSession, bronze_root: str, order_by: str):
                 prev = spark.read.parquet(path).agg(F.max("load_id")).first()[0] or prev
                 if prev:
                     break
-        files = batch.select("source_file", "_mtime").distinct()
-        ordered = files.orderBy(*keys).select("source_file")
-        ids = spark.createDataFrame(
-            ordered.rdd.zipWithIndex().map(lambda t: (t[0][0], t[1] + prev + 1)),
-            "source_file string, load_id long")
-        t = F.coalesce(seconds_to_ntz(F.get_json_object("data", "$.time").try_cast("bigint")),
-                       instant_to_ntz(F.col("_mtime")))
-        out = batch.join(ids, "source_file").select(
-            "load_id", t.alias("ingest_time"), "data", "source_file", F.to_date(t).alias("ingest_date"))
-        out.write.mode("overwrite").parquet(f"{bronze_root}/batch_id={batch_id}")
+        # The batch is used three times (file list, numbering, join): keep it
+        # (memory, then disk) so its files are read once; lost blocks are
+        # recomputed from the files.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            files = batch.select("source_file", "_mtime").distinct()
+            ordered = files.orderBy(*keys).select("source_file")
+            ids = spark.createDataFrame(
+                ordered.rdd.zipWithIndex().map(lambda t: (t[0][0], t[1] + prev + 1)),
+                "source_file string, load_id long")
+            t = F.coalesce(seconds_to_ntz(F.get_json_object("data", "$.time").try_cast("bigint")),
+                           instant_to_ntz(F.col("_mtime")))
+            out = batch.join(ids, "source_file").select(
+                "load_id", t.alias("ingest_time"), "data", "source_file", F.to_date(t).alias("ingest_date"))
+            out.write.mode("overwrite").parquet(f"{bronze_root}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
     return on_batch
 
 
