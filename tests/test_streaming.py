@@ -67,3 +67,29 @@ def test_latest_refresh_picks_up_parts_in_later_batches(spark, tmp_dir):
                                             trigger="available_now", max_files_per_trigger=10))
     want = lt.latest_by_watermark(catalog._mart(spark, SF_SMALL))
     assert _rows(sinks.read_latest(spark, f"{tmp_dir}/gold")) == _rows(want)
+
+
+def test_late_report_dropped_by_stream_and_recovered_by_hour_rerun(spark, tmp_dir):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    mart_root = f"{tmp_dir}/mart"
+    bf.backfill(spark, fixtures.snapshot_bronze(spark, SF_SMALL), mart_root)
+    bf.write_mart(heartbeat_row(spark, "2030-01-01 00:00:00"), mart_root)
+    args = (spark, mart_root, f"{tmp_dir}/gold", f"{tmp_dir}/ckpt")
+    catalog._await(st.hourly_stream(*args, delay="60 days", trigger="available_now"))
+    before = {tuple(r[:3]): r["fly_count"] for r in sinks.read_hourly(spark, f"{tmp_dir}/gold").collect()}
+    # A late report for an hour that was already emitted, from a new aircraft.
+    mart = bf.read_mart(spark, mart_root).where("on_ground = false AND origin_country <> '__heartbeat__'")
+    one = mart.where(F.col("time_position").isNotNull()).orderBy("time_position").first()
+    late = mart.where(F.col("time_position") == one["time_position"]).limit(1).withColumn("icao24", F.lit("ffffff"))
+    bf.write_mart(late, mart_root)
+    catalog._await(st.hourly_stream(*args, delay="60 days", trigger="available_now"))
+    key = (one["origin_country"], one["time_position"].date(), one["time_position"].hour)
+    after_stream = {tuple(r[:3]): r["fly_count"] for r in sinks.read_hourly(spark, f"{tmp_dir}/gold").collect()}
+    assert after_stream == before  # late: never counted by the stream
+    start = dt.datetime.combine(key[1], dt.time(key[2]))
+    sinks.export_hourly(hr.hourly(bf.read_mart(spark, mart_root), start, start + dt.timedelta(hours=1)),
+                        f"{tmp_dir}/gold")
+    fixed = {tuple(r[:3]): r["fly_count"] for r in sinks.read_hourly(spark, f"{tmp_dir}/gold").collect()}
+    assert fixed[key] == before[key] + 1
+    assert {k: v for k, v in fixed.items() if k[1:] != key[1:]} == {k: v for k, v in before.items() if k[1:] != key[1:]}
