@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The accepted number grammars (surrounding blanks allowed).
+# The accepted number grammars (surrounding blanks allowed),
+# the unsigned / int ranges, and the boolean words (blank-trimmed, any case).
 NUMBER_RE = r"^ *[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)? *$"
 INTEGER_RE = r"^ *[+-]?[0-9]+ *$"
 UINT32_MAX = 4294967295

@@ -36,6 +36,9 @@ STATE_POSITIONS = {
     "position_source": 16,
 }
 
+# Names of the two constant change-data-capture marker columns.
+CDC_MARKERS = ("_peerdb_is_deleted", "_peerdb_version")
+
 _TEXT = ("icao24", "callsign", "origin_country", "squawk")
 _DOUBLE = ("longitude", "latitude", "baro_altitude", "velocity", "true_track",
            "vertical_rate", "geo_altitude")
@@ -129,8 +132,8 @@ def flatten(bronze: DataFrame, mode: str = "lenient", bool_mode: str = "cast",
         expr = _lenient(name, raw, bool_mode, time_mode) if mode == "lenient" else _strict(name, raw)
         cols.append(expr.alias(name))
     if cdc_markers:
-        cols.append(F.lit(0).cast("smallint").alias("_peerdb_is_deleted"))
-        cols.append(F.lit(0).cast("bigint").alias("_peerdb_version"))
+        cols.append(F.lit(0).cast("smallint").alias(CDC_MARKERS[0]))
+        cols.append(F.lit(0).cast("bigint").alias(CDC_MARKERS[1]))
     return exploded.select(*cols)
 
 

@@ -9,6 +9,7 @@ snapshot payloads. Means come from an exact decimal sum and are rounded with
 from __future__ import annotations
 
 from contrail.functions.casts import AVG_SCALE, INTEGER_RE, NUMBER_RE
+from contrail.operators.flatten import CDC_MARKERS
 from contrail.operators.hourly import AIRLINE_RE
 from contrail.plans import params as P
 
@@ -154,8 +155,8 @@ ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update({
     "flatten_states": _q("SELECT * FROM F"),
     "flatten_strict": _q("SELECT * FROM F"),
-    "flatten_cdc": _q("""SELECT *, CAST(0 AS SMALLINT) AS _peerdb_is_deleted,
-                                CAST(0 AS BIGINT) AS _peerdb_version FROM F"""),
+    "flatten_cdc": _q(f"""SELECT *, CAST(0 AS SMALLINT) AS {CDC_MARKERS[0]},
+                                 CAST(0 AS BIGINT) AS {CDC_MARKERS[1]} FROM F"""),
     "snapshot_counts": _q("""SELECT load_id, uploaded_at, count(*) AS n_states
                              FROM F GROUP BY load_id, uploaded_at"""),
     "json_access": _q(f"""
