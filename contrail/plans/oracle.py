@@ -12,6 +12,7 @@ from contrail.functions.casts import AVG_SCALE, INTEGER_RE, NUMBER_RE
 from contrail.operators.flatten import CDC_MARKERS
 from contrail.operators.hourly import AIRLINE_RE
 from contrail.plans import params as P
+from contrail.sources.fixtures import ORDERS_PER_FILE
 
 
 def avg(c: str) -> str:
@@ -98,7 +99,7 @@ WITH LOG AS (
 """
 
 
-_OPF = 5000  # orders per ingest fixture file
+_OPF = ORDERS_PER_FILE
 FILES = f"""
 WITH O AS (SELECT o_orderkey % 4 AS split, o_orderkey // {_OPF} AS g FROM orders GROUP BY 1, 2),
 K AS (
