@@ -25,21 +25,30 @@ def read_mart(spark: SparkSession, mart_root: str, until=None) -> DataFrame:
     return df.select(*schemas.MART_COLUMNS)
 
 
-def read_latest_day(spark: SparkSession, mart_root: str) -> DataFrame:
+def read_latest_day(spark: SparkSession, mart_root: str, until=None) -> DataFrame:
     """Mart rows of the newest ``upload_date`` folder that holds rows.
 
     ``upload_date`` is ``to_date(uploaded_at)``, so the latest snapshot is in
     the newest date folder: the folder listing (metadata only) prunes the
     scan to one day instead of reading ``uploaded_at`` across the whole mart.
+    With ``until`` (a datetime) it is the newest day holding rows uploaded at
+    or before ``until`` - the day of the snapshot that was latest then.
     """
     days = sorted((n.split("=", 1)[1] for n in fs.list_dirs(spark, mart_root)
                    if n.startswith("upload_date=")), reverse=True)
+    if until is not None:
+        days = [d for d in days if d <= until.date().isoformat()]
     mart = spark.read.schema(MART_STORED).parquet(mart_root)
     for day in days:
         one = mart.where(F.col("upload_date") == F.lit(day).cast("date"))
-        if one.limit(1).count():  # a folder can hold only uncommitted stream files
+        probe = one
+        if until is not None:
+            probe = one.where(F.col("uploaded_at") <= F.lit(until.isoformat(sep=" ")).cast("timestamp_ntz"))
+        if probe.limit(1).count():  # a folder can hold only uncommitted stream files
             return one.select(*schemas.MART_COLUMNS)
-    return mart.select(*schemas.MART_COLUMNS)
+    fallback = mart if until is None else mart.where(
+        F.col("upload_date") <= F.lit(until.date().isoformat()).cast("date"))
+    return fallback.select(*schemas.MART_COLUMNS)
 
 
 def write_mart(mart: DataFrame, mart_root: str) -> None:

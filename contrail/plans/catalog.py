@@ -122,7 +122,8 @@ def latest_rank(spark, sf_dir):
 
 
 def snapshot_asof(spark, sf_dir):
-    return lt.snapshot_as_of(bf.read_mart(spark, _mart_table(spark, sf_dir), until=P.AS_OF), P.AS_OF)
+    # Only the day of the snapshot that was latest at AS_OF is read.
+    return lt.snapshot_as_of(bf.read_latest_day(spark, _mart_table(spark, sf_dir), until=P.AS_OF), P.AS_OF)
 
 
 def hourly_prev(spark, sf_dir):

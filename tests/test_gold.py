@@ -158,3 +158,11 @@ def test_batch_jobs_export_and_log(spark, tmp_dir):
     logged = runlog.read_log(spark, f"{tmp_dir}/log")
     assert logged.where("message LIKE 'SUCCESS%'").count() == 2
     assert logged.select("run_id").distinct().count() == 2
+
+
+def test_as_of_reads_one_day(spark, tmp_dir):
+    bf.backfill(spark, fixtures.snapshot_bronze(spark, SF_SMALL), f"{tmp_dir}/m")
+    full = bf.read_mart(spark, f"{tmp_dir}/m")
+    for as_of in (AS_OF, dt.datetime(2024, 1, 15, 0, 30), dt.datetime(2024, 1, 1, 0, 0), dt.datetime(2030, 1, 1)):
+        day = bf.read_latest_day(spark, f"{tmp_dir}/m", until=as_of)
+        assert _rows(lt.snapshot_as_of(day, as_of)) == _rows(lt.snapshot_as_of(full, as_of)), as_of
