@@ -52,8 +52,13 @@ def read_latest_day(spark: SparkSession, mart_root: str, until=None) -> DataFram
 
 
 def write_mart(mart: DataFrame, mart_root: str) -> None:
-    """Append mart rows partitioned by upload date, sorted for row-group stats."""
+    """Append mart rows partitioned by upload date, sorted for row-group stats.
+
+    The ``rebalance`` hint lets AQE size the output per date folder: small
+    days are coalesced into few files, a hot day is split over many tasks.
+    """
     (mart.withColumn("upload_date", F.to_date("uploaded_at"))
+     .hint("rebalance", "upload_date")
      .sortWithinPartitions("uploaded_at")
      .write.mode("append").partitionBy("upload_date").parquet(mart_root))
 

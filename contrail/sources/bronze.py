@@ -127,7 +127,8 @@ def load_landing(spark: SparkSession, landing_root: str, bronze_root: str,
     if count_states:
         metrics.append(F.sum(state_count(F.col("data"))).alias("states"))
     out = out.observe(obs, *metrics)
-    out.write.mode("append").partitionBy("ingest_date").parquet(bronze_root)
+    # rebalance: AQE sizes files per date folder and splits a hot day.
+    out.hint("rebalance", "ingest_date").write.mode("append").partitionBy("ingest_date").parquet(bronze_root)
     stats = obs.get
     log.info("SUCCESS - Loaded %s flights | %s snapshots", stats.get("states"), stats.get("snapshots"))
     return n_new
