@@ -150,13 +150,18 @@ def ingest_files(spark: SparkSession, target_table: str, target_schema: T.Struct
     # the folder is listed once per run).
     marked = listing.join(done.select(*keys, F.lit(True).alias("_done")), keys, "left").checkpoint()
     todo = marked.where(F.col("_done").isNull()).drop("_done")
-    n_skipped = marked.where(F.col("_done").isNotNull()).count()
+    counts = marked.agg(F.count_if(F.col("_done").isNull()).alias("todo"),
+                        F.count_if(F.col("_done").isNotNull()).alias("skipped")).first()
+    n_todo, n_skipped = counts["todo"], counts["skipped"]
 
-    # Paths only, streamed partition by partition: the driver holds at most
-    # one batch of file names, never the listing as a whole, never rows.
+    # Paths only: the driver holds at most one batch of file names, never
+    # the listing as a whole, never rows. A single batch is fetched at once;
+    # more are streamed partition by partition.
     n_processed = n_failed = 0
     batch: list[tuple[str, str]] = []
-    for r in todo.select("file_key", "ext").orderBy("file_key").toLocalIterator():
+    ordered = todo.select("file_key", "ext").orderBy("file_key")
+    keys = ordered.collect() if n_todo <= MAX_FILES_PER_BATCH else ordered.toLocalIterator()
+    for r in keys:
         batch.append((r[0], r[1]))
         if len(batch) == MAX_FILES_PER_BATCH:
             p, f = _ingest_batch(spark, batch, cols, types, todo, target_path, ledger_path, loaded_at)
