@@ -134,10 +134,9 @@ def write_named_files(files: DataFrame) -> None:
     Names are deterministic, so a retried task rewrites the same files.
     """
     def _write(rows):
-        from pyarrow import fs as pafs
+        from contrail.sources.fs import arrow_fs
         for r in rows:
-            filesystem, p = pafs.FileSystem.from_uri(r["path"]) if "://" in r["path"] \
-                else (pafs.LocalFileSystem(), r["path"])
+            filesystem, p = arrow_fs(r["path"])
             filesystem.create_dir(p.rsplit("/", 1)[0], recursive=True)
             with filesystem.open_output_stream(p) as out:
                 out.write(r["content"].encode("utf-8"))

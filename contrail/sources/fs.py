@@ -27,3 +27,16 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 def is_committed(spark: SparkSession, path: str) -> bool:
     """True when a Spark write job committed ``path`` (``_SUCCESS`` marker)."""
     return exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
+def arrow_fs(path: str):
+    """(pyarrow FileSystem, path) for a Spark/Hadoop path string, for use
+    inside tasks. Local ``file:`` paths map to the local file system."""
+    import re
+
+    from pyarrow import fs as pafs
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), re.sub(r"^file:(//)?", "", path)
+    if "://" not in path:
+        return pafs.LocalFileSystem(), path
+    return pafs.FileSystem.from_uri(re.sub(r"^s3a?://", "s3://", path))

@@ -173,11 +173,57 @@ def ingest_files(spark: SparkSession, target_table: str, target_schema: T.Struct
                                  "files_processed int, files_skipped int, files_failed int")
 
 
+def _unreadable_parquet(files: DataFrame) -> DataFrame:
+    """(_src, error_message) of Parquet files whose footer cannot be read.
+
+    Footers are read inside tasks (pyarrow, distributed over the files), so
+    a truncated or non-Parquet file fails alone instead of failing the
+    whole read. Only Parquet-format errors count; if the file system itself
+    cannot be reached from pyarrow, Spark's reader decides as usual.
+    """
+    def check(batches):
+        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        from contrail.sources.fs import arrow_fs
+        for pdf in batches:
+            bad = []
+            for key, src in zip(pdf["file_key"], pdf["_src"]):
+                try:
+                    filesystem, path = arrow_fs(key)
+                    with filesystem.open_input_file(path) as f:
+                        pq.ParquetFile(f).metadata  # noqa: B018 - footer read
+                except pa.ArrowInvalid as e:
+                    bad.append((src, f"unreadable parquet file: {e}"[:500]))
+                except Exception:  # noqa: BLE001 - not a format error: let Spark decide
+                    pass
+            yield pd.DataFrame(bad, columns=["_src", "error_message"])
+    return files.select("file_key", "_src").mapInPandas(check, "_src string, error_message string")
+
+
 def _ingest_batch(spark, batch, cols, types, todo, target_path, ledger_path, loaded_at):
+    # Batches are consecutive runs of the sorted keys: a range selects one.
+    batch_todo = todo.where(F.col("file_key").between(batch[0][0], batch[-1][0]))
     by_reader: dict[str, list[str]] = {}
     for key, ext in batch:
         by_reader.setdefault("json" if ext == "json" else ext, []).append(key)
+    unreadable = None
+    if "parquet" in by_reader:
+        unreadable = _unreadable_parquet(batch_todo.where(F.col("ext") == "parquet")).checkpoint()
+        bad_src = {r[0] for r in unreadable.select("_src").collect()}  # bounded by the batch
+        if bad_src:
+            src_of = {r[0]: r[1] for r in batch_todo.where(F.col("ext") == "parquet")
+                      .select("file_key", "_src").collect()}
+            by_reader["parquet"] = [k for k in by_reader["parquet"] if src_of.get(k) not in bad_src]
+            if not by_reader["parquet"]:
+                del by_reader["parquet"]
     parts = [_read_text_columns(spark, ext, paths, cols) for ext, paths in sorted(by_reader.items())]
+    if not parts:  # only unreadable files in this batch
+        schema = T.StructType([T.StructField("_src", T.StringType())]
+                              + [T.StructField(c, T.StringType()) for c in cols]
+                              + [T.StructField("_corrupt", T.BooleanType())])
+        parts = [spark.createDataFrame([], schema)]
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
@@ -185,25 +231,26 @@ def _ingest_batch(spark, batch, cols, types, todo, target_path, ledger_path, loa
     # then disk) so every file is read once; lost blocks are re-read.
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _check_and_append(rows, batch, cols, types, todo, target_path, ledger_path, loaded_at)
+        return _check_and_append(rows, batch, cols, types, batch_todo, unreadable,
+                                 target_path, ledger_path, loaded_at)
     finally:
         rows.unpersist()
 
 
-def _check_and_append(rows, batch, cols, types, todo, target_path, ledger_path, loaded_at):
+def _check_and_append(rows, batch, cols, types, batch_todo, unreadable, target_path, ledger_path, loaded_at):
 
     # One offending column per file, chosen deterministically (hash aggregate:
     # no file is gathered whole).
     problem = F.coalesce(F.when(F.col("_corrupt"), F.lit("unparsable record")),
                          *[F.when(_bad_value(c, types[c]), F.lit(f"invalid value for column {c}")) for c in cols])
-    bad_files = (rows.select("_src", problem.alias("problem")).where(F.col("problem").isNotNull())
-                 .groupBy("_src").agg(F.min("problem").alias("error_message")).checkpoint())
+    problems = rows.select("_src", problem.alias("problem")).where(F.col("problem").isNotNull())
+    if unreadable is not None:
+        problems = problems.unionByName(unreadable.withColumnRenamed("error_message", "problem"))
+    bad_files = problems.groupBy("_src").agg(F.min("problem").alias("error_message")).checkpoint()
 
     good = rows.join(bad_files.select("_src"), "_src", "left_anti")
     good.select(*[F.col(c).cast(types[c]).alias(c) for c in cols]).write.mode("append").parquet(target_path)
 
-    # Batches are consecutive runs of the sorted keys: a range selects one.
-    batch_todo = todo.where(F.col("file_key").between(batch[0][0], batch[-1][0]))
     ledger_rows = (batch_todo.join(bad_files, "_src", "left")
                    .select("target_table", "file_key", "etag", "file_size",
                            F.when(F.col("error_message").isNull(), F.lit(SUCCESS)).otherwise(F.lit(FAILED)).alias("status"),

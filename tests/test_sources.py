@@ -152,3 +152,21 @@ def test_file_names_needing_url_encoding(spark, tmp_dir):
     assert br.load_landing(spark, land, bronze, order_by="path") == 3
     assert br.read_bronze(spark, bronze).count() == 3
     assert br.load_landing(spark, land, bronze) == 0
+
+
+def test_unreadable_parquet_fails_alone(spark, tmp_dir):
+    from pyspark.sql import types as T
+    src = f"{tmp_dir}/src"
+    spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string").coalesce(1).write.parquet(f"{src}/good")
+    os.makedirs(f"{src}/bad")
+    with open(f"{src}/bad/broken.parquet", "wb") as f:
+        f.write(b"PAR1 this is not a parquet file")
+    with open(f"{src}/rows.ndjson", "w") as f:
+        f.write('{"id": 3, "name": "c"}\n')
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    got = ig.ingest_files(spark, "t", schema, "id,name", src, f"{tmp_dir}/t", f"{tmp_dir}/l").first()
+    assert tuple(got) == (2, 0, 1)
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/t").collect()) == [(1, "a"), (2, "b"), (3, "c")]
+    failed = ig.read_ledger(spark, f"{tmp_dir}/l").where("status = 'FAILED'").collect()
+    assert len(failed) == 1 and failed[0].file_key.endswith("broken.parquet")
+    assert failed[0].error_message.startswith("unreadable parquet file")
