@@ -273,7 +273,7 @@ _SCENARIOS: dict[tuple, dict] = {}
 
 
 def _rel_key(col: str = "file_key"):
-    rel = F.regexp_extract(F.col(col), r"/src/(.*)$", 1)
+    rel = F.regexp_extract(F.col(col), r"^.*/src/(.*)$", 1)  # after the last /src/
     return F.regexp_replace(rel, r"part-[^/]+\.parquet$", "part.parquet")
 
 

@@ -83,6 +83,7 @@ def test_day_total_is_not_a_rollup(spark):
     assert t["avg_altitude"] == 150.5 and t["avg_velocity"] == 15.0  # 15.005 rounds half-even on binary
     empty = sv.with_total(rows.where("false"))
     assert empty.count() == 0
+    assert sv.labelled(sv.with_total(rows)).columns == list(sv.DAY_LABELS.values())
 
 
 def test_live_points_country_filter(mart):
