@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from contrail.functions.time import ntz_to_seconds, seconds_to_ntz
+from contrail.sources.fs import _by_value, arrow_fs
 from contrail.sources.tables import read_table
 
 # About the size of one real world-wide API response.
@@ -133,10 +134,11 @@ def write_named_files(files: DataFrame) -> None:
 
     Names are deterministic, so a retried task rewrites the same files.
     """
-    def _write(rows):
-        from contrail.sources.fs import arrow_fs
+    to_fs = _by_value(arrow_fs)
+
+    def _write(rows):  # runs in Python workers: references nothing of this package
         for r in rows:
-            filesystem, p = arrow_fs(r["path"])
+            filesystem, p = to_fs(r["path"])
             filesystem.create_dir(p.rsplit("/", 1)[0], recursive=True)
             with filesystem.open_output_stream(p) as out:
                 out.write(r["content"].encode("utf-8"))

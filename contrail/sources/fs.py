@@ -30,8 +30,12 @@ def is_committed(spark: SparkSession, path: str) -> bool:
 
 
 def arrow_fs(path: str):
-    """(pyarrow FileSystem, path) for a Spark/Hadoop path string, for use
-    inside tasks. Local ``file:`` paths map to the local file system."""
+    """(pyarrow FileSystem, path) for a Spark/Hadoop path string.
+
+    Self-contained (imports inside) so that functions shipped to Python
+    workers can carry it by value: executors never need this package.
+    Local ``file:`` paths map to the local file system.
+    """
     import re
 
     from pyarrow import fs as pafs
@@ -40,3 +44,10 @@ def arrow_fs(path: str):
     if "://" not in path:
         return pafs.LocalFileSystem(), path
     return pafs.FileSystem.from_uri(re.sub(r"^s3a?://", "s3://", path))
+
+
+def _by_value(fn):
+    """A copy of module-level ``fn`` that pickles by value (code, not import path)."""
+    import types
+    return types.FunctionType(fn.__code__, {"__builtins__": __builtins__}, fn.__name__,
+                              fn.__defaults__, fn.__closure__)

@@ -33,6 +33,7 @@ from contrail import schemas
 from contrail.functions.time import ntz_literal
 from contrail.session import ensure_checkpoint_dir
 from contrail.sources import fs
+from contrail.sources.fs import _by_value, arrow_fs
 
 # Accepted formats, identifier rules and the ledger statuses.
 FORMATS = ("json", "ndjson", "csv", "parquet")
@@ -181,17 +182,18 @@ def _unreadable_parquet(files: DataFrame) -> DataFrame:
     whole read. Only Parquet-format errors count; if the file system itself
     cannot be reached from pyarrow, Spark's reader decides as usual.
     """
-    def check(batches):
+    to_fs = _by_value(arrow_fs)
+
+    def check(batches):  # runs in Python workers: references nothing of this package
         import pandas as pd
         import pyarrow as pa
         import pyarrow.parquet as pq
 
-        from contrail.sources.fs import arrow_fs
         for pdf in batches:
             bad = []
             for key, src in zip(pdf["file_key"], pdf["_src"]):
                 try:
-                    filesystem, path = arrow_fs(key)
+                    filesystem, path = to_fs(key)
                     with filesystem.open_input_file(path) as f:
                         pq.ParquetFile(f).metadata  # noqa: B018 - footer read
                 except pa.ArrowInvalid as e:
