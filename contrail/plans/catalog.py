@@ -172,7 +172,8 @@ def sink_latest_roundtrip(spark, sf_dir):
     newest_day = bf.read_latest_day(spark, mart_root)  # prunes the scan to one day
     for snap in (lt.snapshot_as_of(mart, P.AS_OF), lt.latest_by_watermark(newest_day)):
         version = snap.agg(F.max("load_id")).first()[0]
-        sinks.export_latest(snap, f"{root}/gold_latest", version)
+        if version is not None:  # an empty snapshot is not exported
+            sinks.export_latest(snap, f"{root}/gold_latest", version)
     return sinks.read_latest(spark, f"{root}/gold_latest")
 
 
