@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from contrail import schemas
 from contrail.functions import casts
+from contrail.functions.memo import memo
 from contrail.functions.time import micros_to_ntz, seconds_to_ntz
 
 # 0-based position of each mart column inside a state vector.
@@ -121,11 +122,17 @@ def flatten(bronze: DataFrame, mode: str = "lenient", bool_mode: str = "cast",
     """
     if mode not in ("lenient", "strict"):
         raise ValueError(f"unknown mode {mode!r}")
-    exploded = bronze.select(
+    key = ("flatten", mode, bool_mode, time_mode, id_name, cdc_markers)
+    explode_cols, cols = memo(key, lambda: _projection(mode, bool_mode, time_mode, id_name, cdc_markers))
+    return bronze.select(*explode_cols).select(*cols)
+
+
+def _projection(mode, bool_mode, time_mode, id_name, cdc_markers):
+    explode_cols = [
         F.col("load_id").cast("bigint").alias(id_name),
         F.col("ingest_time").alias("uploaded_at"),
         F.explode(parse_states(F.col("data"))).alias("_r"),
-    )
+    ]
     cols = [F.col(id_name), F.col("uploaded_at")]
     for name in schemas.MART_COLUMNS[2:]:
         raw = F.get(F.col("_r"), STATE_POSITIONS[name])
@@ -134,7 +141,7 @@ def flatten(bronze: DataFrame, mode: str = "lenient", bool_mode: str = "cast",
     if cdc_markers:
         cols.append(F.lit(0).cast("smallint").alias(CDC_MARKERS[0]))
         cols.append(F.lit(0).cast("bigint").alias(CDC_MARKERS[1]))
-    return exploded.select(*cols)
+    return explode_cols, cols
 
 
 def rename_id(mart: DataFrame, old: str = "id", new: str = "load_id") -> DataFrame:

@@ -14,6 +14,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from contrail.functions.casts import exact_avg, round_ch
+from contrail.functions.memo import memo
 from contrail.functions.time import ntz_literal
 
 # Fixed value: an airline designator is three letters followed by a digit.
@@ -29,10 +30,10 @@ def _measures() -> list[Column]:
 
 
 def _grouped(mart: DataFrame, key: Column, key_name: str) -> DataFrame:
-    return (mart.groupBy(key.alias(key_name),
-                         F.to_date("time_position").alias("fly_date"),
-                         F.hour("time_position").alias("fly_hour"))
-            .agg(*_measures()))
+    date_hour, measures = memo(("hourly",), lambda: (
+        [F.to_date("time_position").alias("fly_date"), F.hour("time_position").alias("fly_hour")],
+        _measures()))
+    return mart.groupBy(key.alias(key_name), *date_hour).agg(*measures)
 
 
 def hour_bounds(as_of: datetime) -> tuple[datetime, datetime]:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from contrail import schemas
 from contrail import streaming as st
 from contrail.functions import casts
+from contrail.functions.memo import memo
 from contrail.operators import backfill as bf
 from contrail.operators import flatten as fl
 from contrail.operators import hourly as hr
@@ -80,6 +81,10 @@ def json_access(spark, sf_dir):
 
 def _tokens(spark, sf_dir) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "props"])
+    return ev.select("event_id", memo(("tokens",), _token_array))
+
+
+def _token_array():
     e = F.col("event_id")
     s = lambda c: c.cast("string")
     toks = [
@@ -97,19 +102,20 @@ def _tokens(spark, sf_dir) -> DataFrame:
         F.concat(F.lit("."), s(e % 10)),
     ]
     arr = F.array(*[F.struct(F.lit(i + 1).alias("token_no"), t.alias("token")) for i, t in enumerate(toks)])
-    return ev.select("event_id", F.inline(arr))
+    return F.inline(arr)
 
 
 def cast_lenient(spark, sf_dir):
-    t = _tokens(spark, sf_dir)
-    x = F.col("token")
-    return t.select("event_id", "token_no", "token",
-                    casts.f64_or_null(x).alias("f64"),
-                    casts.i32_or_null(x).alias("i32"),
-                    casts.u32_or_zero(x).alias("u32z"),
-                    casts.u8_or_zero(x).alias("u8z"),
-                    casts.to_bool(x).alias("bool_cast"),
-                    casts.to_bool(x, "uint8_or_zero").alias("bool_u8"))
+    def cols():
+        x = F.col("token")
+        return [F.col("event_id"), F.col("token_no"), x,
+                casts.f64_or_null(x).alias("f64"),
+                casts.i32_or_null(x).alias("i32"),
+                casts.u32_or_zero(x).alias("u32z"),
+                casts.u8_or_zero(x).alias("u8z"),
+                casts.to_bool(x).alias("bool_cast"),
+                casts.to_bool(x, "uint8_or_zero").alias("bool_u8")]
+    return _tokens(spark, sf_dir).select(*memo(("cast_lenient",), cols))
 
 
 def latest_watermark(spark, sf_dir):

@@ -71,3 +71,22 @@ LEDGER = T.StructType([
     T.StructField("error_message", T.StringType(), True),
     T.StructField("loaded_at", T.TimestampNTZType(), False),
 ])
+
+
+# Driver tables read by the registered queries (types as stored).
+DRIVER_TABLES = {
+    "events": T.StructType([
+        T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
+    ]),
+    "nation": T.StructType([
+        T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType()),
+        T.StructField("n_regionkey", T.IntegerType()),
+    ]),
+    "orders": T.StructType([
+        T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+        T.StructField("o_orderdate", T.TimestampNTZType()), T.StructField("o_orderpriority", T.StringType()),
+    ]),
+}

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from contrail.functions.memo import memo
 from contrail.functions.time import ntz_to_seconds, seconds_to_ntz
 from contrail.sources.fs import _by_value, arrow_fs
 from contrail.sources.tables import read_table
@@ -30,14 +31,20 @@ def flight_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event with the typed fields of its state vector."""
     events = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
+    join_on, cols, vertical = memo(("flight_reports",), _report_columns)
+    # nation is the fixed 25-row dimension; Spark's size estimate broadcasts it.
+    joined = events.join(nation, join_on)
+    return joined.select(*cols).withColumn("vertical_rate", vertical).drop("vertical_rate_num")
+
+
+def _report_columns():
     e = F.col("event_id")
     secs = ntz_to_seconds(F.col("ts"))
     airline = (F.when(F.col("user_id") % 5 == 0, "AAL").when(F.col("user_id") % 5 == 1, "DLH")
                .when(F.col("user_id") % 5 == 2, "AFR").when(F.col("user_id") % 5 == 3, "BAW")
                .otherwise("UAE"))
-    # nation is the fixed 25-row dimension; Spark's size estimate broadcasts it.
-    joined = events.join(nation, F.pmod(F.col("user_id"), F.lit(25)) == F.col("n_nationkey"))
-    return joined.select(
+    join_on = F.pmod(F.col("user_id"), F.lit(25)) == F.col("n_nationkey")
+    cols = [
         e.alias("event_id"),
         F.floor(secs / 3600).alias("load_id"),
         seconds_to_ntz((F.floor(secs / 3600) + 1) * 3600).alias("uploaded_at"),
@@ -58,7 +65,8 @@ def flight_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         _null_when(e % 3 == 0, F.lpad((e % 7778).cast("string"), 4, "0")).alias("squawk"),
         (e % 17 == 0).alias("spi"),
         (e % 4).cast("int").alias("position_source"),
-    ).withColumn("vertical_rate", F.col("vertical_rate_num") / 4).drop("vertical_rate_num")
+    ]
+    return join_on, cols, F.col("vertical_rate_num") / 4
 
 
 STATE_FIELDS = ["icao24", "callsign", "origin_country", "time_position_s", "last_contact_s",
@@ -84,19 +92,23 @@ def snapshot_parts(spark: SparkSession, sf_dir: str,
     after the shuffle, so rendering runs in parallel across parts.
     """
     reports = flight_reports(spark, sf_dir)
-    rows = reports.select(
-        "load_id", "uploaded_at",
-        F.floor(F.col("event_id") / states_per_part).alias("part"),
-        F.struct("event_id", *STATE_FIELDS).alias("st"),
-    )
-    parts = rows.groupBy("load_id", "part", "uploaded_at").agg(
-        # Sorting is within one part only (bounded), for a stable payload text.
-        F.array_sort(F.collect_list("st")).alias("sts"))
+    row_cols, agg_col, out_cols = memo(("snapshot_parts", states_per_part),
+                                       lambda: _parts_columns(states_per_part))
+    return reports.select(*row_cols).groupBy("load_id", "part", "uploaded_at").agg(agg_col).select(*out_cols)
+
+
+def _parts_columns(states_per_part: int):
+    row_cols = [F.col("load_id"), F.col("uploaded_at"),
+                F.floor(F.col("event_id") / states_per_part).alias("part"),
+                F.struct("event_id", *STATE_FIELDS).alias("st")]
+    # Sorting is within one part only (bounded), for a stable payload text.
+    agg_col = F.array_sort(F.collect_list("st")).alias("sts")
     payload = F.concat(
         F.lit('{"time":'), ntz_to_seconds(F.col("uploaded_at")).cast("string"),
         F.lit(',"states":['), F.concat_ws(",", F.transform("sts", state_json)), F.lit("]}"))
-    return parts.select("load_id", "part", F.col("uploaded_at").alias("ingest_time"),
-                        payload.alias("data"))
+    out_cols = [F.col("load_id"), F.col("part"), F.col("uploaded_at").alias("ingest_time"),
+                payload.alias("data")]
+    return row_cols, agg_col, out_cols
 
 
 def snapshot_bronze(spark: SparkSession, sf_dir: str,

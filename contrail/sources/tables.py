@@ -7,7 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, with its fixed schema when known (no footer inference)."""
+    from contrail.schemas import DRIVER_TABLES
+    reader = spark.read
+    if name in DRIVER_TABLES:
+        reader = reader.schema(DRIVER_TABLES[name])
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
 
 
