@@ -48,21 +48,24 @@ def country_day(hourly_gold: DataFrame, country: str, day: date | str) -> DataFr
 def with_total(day_rows: DataFrame) -> DataFrame:
     """Append the day total: summed hourly counts, unweighted mean of hourly means.
 
-    Not a roll-up: an aircraft seen in two hours counts twice, and the averages
-    are means of already-rounded hourly means. Date and hour become text so the
-    ``Total`` label fits the column.
+    Not a roll-up of reports: an aircraft seen in two hours counts twice, and
+    the averages are means of already-rounded hourly means. One aggregation
+    with grouping sets ((fly_date, fly_hour), ()) yields the hour rows (one
+    row per hour, so each aggregate is that hour's value) and the total, so
+    the day rows are computed once. Date and hour become text so the
+    ``Total`` label fits the column; a day without rows gets no total.
     """
-    rows = day_rows.select(F.col("fly_date").cast("string").alias("fly_date"),
-                           F.col("fly_hour").cast("string").alias("fly_hour"),
-                           "flights", "avg_altitude", "avg_velocity")
-    total = day_rows.agg(
-        F.lit("Total").alias("fly_date"), F.lit("").alias("fly_hour"),
-        F.sum("flights").cast("bigint").alias("flights"),
-        round_ch(exact_avg("avg_altitude"), 2).alias("avg_altitude"),
-        round_ch(exact_avg("avg_velocity"), 2).alias("avg_velocity"),
-        F.count("*").alias("_n"))
-    # No total row for a day without rows.
-    return rows.unionByName(total.where(F.col("_n") > 0).drop("_n"))
+    g = (day_rows.groupingSets([["fly_date", "fly_hour"], []], "fly_date", "fly_hour")
+         .agg(F.sum("flights").cast("bigint").alias("flights"),
+              round_ch(exact_avg("avg_altitude"), 2).alias("avg_altitude"),
+              round_ch(exact_avg("avg_velocity"), 2).alias("avg_velocity"),
+              F.count("*").alias("_n"),
+              F.grouping_id().alias("_total")))
+    is_total = F.col("_total") != 0
+    return (g.where(~is_total | (F.col("_n") > 0))
+            .select(F.when(is_total, F.lit("Total")).otherwise(F.col("fly_date").cast("string")).alias("fly_date"),
+                    F.when(is_total, F.lit("")).otherwise(F.col("fly_hour").cast("string")).alias("fly_hour"),
+                    "flights", "avg_altitude", "avg_velocity"))
 
 
 def labelled(day_view: DataFrame) -> DataFrame:
