@@ -60,8 +60,12 @@ def export_previous_hour(spark: SparkSession, mart_root: str, gold_root: str,
 
 
 def export_latest_snapshot(spark: SparkSession, mart_root: str, gold_root: str,
-                           log_path: str | None = None) -> int | None:
-    """Returns the exported version (the snapshot's load_id), or None if the mart is empty."""
+                           log_path: str | None = None, keep_versions: int = 24) -> int | None:
+    """Returns the exported version (the snapshot's load_id), or None if the mart is empty.
+
+    After a successful export only the newest ``keep_versions`` versions are
+    kept (24 = two hours at a 5-minute cadence), so readers' listing stays small.
+    """
     def body():
         latest = lt.latest_by_watermark(bf.read_latest_day(spark, mart_root))
         version = latest.agg(F.max("load_id")).first()[0]
@@ -69,6 +73,7 @@ def export_latest_snapshot(spark: SparkSession, mart_root: str, gold_root: str,
             log.warning("no snapshot to export")
             return None
         path = sinks.export_latest(latest, gold_root, version)
-        log.info("SUCCESS - exported latest snapshot to %s", path)
+        pruned = sinks.prune_versions(spark, gold_root, keep_versions)
+        log.info("SUCCESS - exported latest snapshot to %s (%d old versions removed)", path, pruned)
         return version
     return _run(spark, log_path, body)

@@ -24,6 +24,12 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def delete(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` (a folder this package wrote)."""
+    p, fs = _fs(spark, path)
+    return bool(fs.delete(p, True))
+
+
 def is_committed(spark: SparkSession, path: str) -> bool:
     """True when a Spark write job committed ``path`` (``_SUCCESS`` marker)."""
     return exists(spark, f"{path.rstrip('/')}/_SUCCESS")

@@ -42,6 +42,27 @@ def latest_version_path(spark: SparkSession, root: str) -> str | None:
     return None
 
 
+def prune_versions(spark: SparkSession, root: str, keep: int) -> int:
+    """Delete all but the newest ``keep`` committed versions; returns how many.
+
+    Keeps the folder listing (what every reader does) bounded. Only versions
+    older than the ``keep`` newest committed ones are removed, so readers of
+    the current snapshot are never affected; uncommitted folders newer than
+    the kept ones (an export in progress) are left alone.
+    """
+    if keep < 1:
+        raise ValueError("keep at least one version")
+    names = sorted(n for n in fs.list_dirs(spark, root) if n.startswith(_VERSION))
+    committed = [n for n in names if fs.is_committed(spark, f"{root.rstrip('/')}/{n}")]
+    if len(committed) <= keep:
+        return 0
+    cutoff = committed[-keep]
+    old = [n for n in names if n < cutoff]
+    for n in old:
+        fs.delete(spark, f"{root.rstrip('/')}/{n}")
+    return len(old)
+
+
 def read_latest(spark: SparkSession, root: str) -> DataFrame:
     """The served latest snapshot with the mart schema (never inferred)."""
     path = latest_version_path(spark, root)

@@ -167,3 +167,15 @@ def test_as_of_reads_one_day(spark, tmp_dir):
     for as_of in (AS_OF, dt.datetime(2024, 1, 15, 0, 30), dt.datetime(2024, 1, 1, 0, 0), dt.datetime(2030, 1, 1)):
         day = bf.read_latest_day(spark, f"{tmp_dir}/m", until=as_of)
         assert _rows(lt.snapshot_as_of(day, as_of)) == _rows(lt.snapshot_as_of(full, as_of)), as_of
+
+
+def test_prune_keeps_newest_versions(spark, mart, tmp_dir):
+    root = f"{tmp_dir}/latest"
+    snap = lt.latest_by_watermark(mart)
+    for v in range(1, 6):
+        sinks.export_latest(snap, root, v)
+    assert sinks.prune_versions(spark, root, keep=2) == 3
+    from contrail.sources import fs
+    assert sorted(fs.list_dirs(spark, root)) == [f"version={4:020d}", f"version={5:020d}"]
+    assert _rows(sinks.read_latest(spark, root)) == _rows(snap)
+    assert sinks.prune_versions(spark, root, keep=2) == 0
