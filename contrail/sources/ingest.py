@@ -177,10 +177,11 @@ def ingest_files(spark: SparkSession, target_table: str, target_schema: T.Struct
 def _unreadable_parquet(files: DataFrame) -> DataFrame:
     """(_src, error_message) of Parquet files whose footer cannot be read.
 
-    Footers are read inside tasks (pyarrow, distributed over the files), so
-    a truncated or non-Parquet file fails alone instead of failing the
-    whole read. Only Parquet-format errors count; if the file system itself
-    cannot be reached from pyarrow, Spark's reader decides as usual.
+    Only used after Spark's own footer read failed. Footers are then read
+    inside tasks (pyarrow, distributed over the files), so a truncated or
+    non-Parquet file fails alone instead of failing the whole read. Only
+    Parquet-format errors count; if the file system itself cannot be reached
+    from pyarrow, the original error is raised.
     """
     to_fs = _by_value(arrow_fs)
 
@@ -211,16 +212,22 @@ def _ingest_batch(spark, batch, cols, types, todo, target_path, ledger_path, loa
     for key, ext in batch:
         by_reader.setdefault("json" if ext == "json" else ext, []).append(key)
     unreadable = None
+    parts = [_read_text_columns(spark, ext, paths, cols)
+             for ext, paths in sorted(by_reader.items()) if ext != "parquet"]
     if "parquet" in by_reader:
-        unreadable = _unreadable_parquet(batch_todo.where(F.col("ext") == "parquet")).checkpoint()
-        bad_src = {r[0] for r in unreadable.select("_src").collect()}  # bounded by the batch
-        if bad_src:
+        try:
+            # Schema merging reads every footer right here (one distributed job).
+            parts.append(_read_text_columns(spark, "parquet", by_reader["parquet"], cols))
+        except Exception:  # noqa: BLE001 - some footer is unreadable: find which
+            unreadable = _unreadable_parquet(batch_todo.where(F.col("ext") == "parquet")).checkpoint()
+            bad_src = {r[0] for r in unreadable.select("_src").collect()}  # bounded by the batch
             src_of = {r[0]: r[1] for r in batch_todo.where(F.col("ext") == "parquet")
                       .select("file_key", "_src").collect()}
-            by_reader["parquet"] = [k for k in by_reader["parquet"] if src_of.get(k) not in bad_src]
-            if not by_reader["parquet"]:
-                del by_reader["parquet"]
-    parts = [_read_text_columns(spark, ext, paths, cols) for ext, paths in sorted(by_reader.items())]
+            readable = [k for k in by_reader["parquet"] if src_of.get(k) not in bad_src]
+            if not bad_src:
+                raise  # not a footer problem: fail loudly, nothing was written
+            if readable:
+                parts.append(_read_text_columns(spark, "parquet", readable, cols))
     if not parts:  # only unreadable files in this batch
         schema = T.StructType([T.StructField("_src", T.StringType())]
                               + [T.StructField(c, T.StringType()) for c in cols]
