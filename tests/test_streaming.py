@@ -104,3 +104,15 @@ def test_landing_to_mart_fully_streaming(spark, tmp_dir):
     got = bf.read_mart(spark, f"{tmp_dir}/mart").drop("load_id")
     want = catalog._mart(spark, SF_SMALL).drop("load_id")  # ids differ: path rank vs hour number
     assert _rows(got) == _rows(want)
+
+
+def test_hourly_stream_state_is_keyed_by_aircraft(spark, tmp_dir):
+    bf.backfill(spark, fixtures.snapshot_bronze(spark, SF_SMALL), f"{tmp_dir}/mart")
+    q = st.hourly_stream(spark, f"{tmp_dir}/mart", f"{tmp_dir}/gold", f"{tmp_dir}/ckpt",
+                         delay="60 days", trigger="available_now")
+    catalog._await(q)
+    plan = q._jsq.explainInternal(False)  # physical plan of the last micro-batch
+    assert plan.count("StateStoreSave") == 2, plan  # two chained stateful aggregations
+    first = plan[plan.rindex("StateStoreSave"):]
+    assert "icao24" in first.splitlines()[0]  # the inner one is keyed by aircraft
+    assert "collect_set" not in plan
