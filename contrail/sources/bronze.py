@@ -86,6 +86,8 @@ def load_landing(spark: SparkSession, landing_root: str, bronze_root: str,
     """
     if order_by not in ("mtime", "path") or time_source not in ("payload", "file"):
         raise ValueError("order_by in (mtime, path), time_source in (payload, file)")
+    if not fs.exists(spark, landing_root):
+        return 0  # nothing has landed yet
     listing = _listing(spark, landing_root)
     have_bronze = fs.exists(spark, bronze_root)
     new_files = listing

@@ -143,6 +143,9 @@ def ingest_files(spark: SparkSession, target_table: str, target_schema: T.Struct
     if missing:
         raise ValueError(f"columns not in target schema: {missing}")
     loaded_at = ntz_literal(now or datetime.now(timezone.utc).replace(tzinfo=None))
+    empty = spark.createDataFrame([(0, 0, 0)], "files_processed int, files_skipped int, files_failed int")
+    if not fs.exists(spark, path):
+        return empty  # like listing a prefix that holds nothing
 
     listing = list_files(spark, path, file_type, etag_mode).withColumn("target_table", F.lit(target_table))
     done = current_ledger(read_ledger(spark, ledger_path)).where(F.col("status") == SUCCESS)

@@ -170,3 +170,16 @@ def test_unreadable_parquet_fails_alone(spark, tmp_dir):
     failed = ig.read_ledger(spark, f"{tmp_dir}/l").where("status = 'FAILED'").collect()
     assert len(failed) == 1 and failed[0].file_key.endswith("broken.parquet")
     assert failed[0].error_message.startswith("unreadable parquet file")
+
+
+def test_missing_or_empty_folders_do_nothing(spark, tmp_dir):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("data", T.StringType())])
+    os.makedirs(f"{tmp_dir}/only_txt")
+    with open(f"{tmp_dir}/only_txt/a.txt", "w") as f:
+        f.write("x")
+    for folder in ("missing", "only_txt"):
+        got = ig.ingest_files(spark, "s.t", schema, "data", f"{tmp_dir}/{folder}", f"{tmp_dir}/t",
+                              f"{tmp_dir}/l", file_type="json").first()
+        assert tuple(got) == (0, 0, 0)
+    assert br.load_landing(spark, f"{tmp_dir}/missing", f"{tmp_dir}/b") == 0
