@@ -17,6 +17,7 @@ import logging
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from contrail.functions.ids import dense_ids
 from contrail.functions.time import instant_to_ntz, seconds_to_ntz
 from contrail.operators.flatten import state_count
 from contrail.sources import fs
@@ -70,9 +71,7 @@ def _listing(spark: SparkSession, landing_root: str) -> DataFrame:
 
 def _number(spark: SparkSession, new_files: DataFrame, order_by: str, start: int) -> DataFrame:
     keys = ["mtime", "source_file"] if order_by == "mtime" else ["source_file"]
-    ordered = new_files.orderBy(*keys).select("source_file", "_src")
-    indexed = ordered.rdd.zipWithIndex().map(lambda t: (t[0][0], t[0][1], t[1] + start + 1))
-    return spark.createDataFrame(indexed, "source_file string, _src string, load_id long")
+    return dense_ids(new_files.select("source_file", "_src", "mtime"), keys, start).drop("mtime")
 
 
 def load_landing(spark: SparkSession, landing_root: str, bronze_root: str,

@@ -27,6 +27,7 @@ from pyspark.storagelevel import StorageLevel
 
 from contrail import schemas
 from contrail.functions.casts import AVG_SCALE, round_ch
+from contrail.functions.ids import dense_ids
 from contrail.functions.time import instant_to_ntz, ntz_to_instant, seconds_to_ntz
 from contrail.operators.backfill import MART_STORED
 from contrail.operators.flatten import flatten
@@ -63,10 +64,7 @@ def _bronze_batch(spark: SparkSession, bronze_root: str, order_by: str):
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             files = batch.select("source_file", "_mtime").distinct()
-            ordered = files.orderBy(*keys).select("source_file")
-            ids = spark.createDataFrame(
-                ordered.rdd.zipWithIndex().map(lambda t: (t[0][0], t[1] + prev + 1)),
-                "source_file string, load_id long")
+            ids = dense_ids(files, keys, prev).select("source_file", "load_id")
             t = F.coalesce(seconds_to_ntz(F.get_json_object("data", "$.time").try_cast("bigint")),
                            instant_to_ntz(F.col("_mtime")))
             out = batch.join(ids, "source_file").select(

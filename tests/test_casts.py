@@ -53,3 +53,11 @@ def test_exact_avg_is_order_independent(spark):
     b = df.repartition(7).orderBy(F.rand(3)).agg(casts.exact_avg("x")).first()[0]
     assert a == b
     assert math.isclose(a, sum(vals) / len(vals), rel_tol=1e-9)
+
+
+def test_dense_ids_are_consecutive_in_order(spark):
+    from contrail.functions.ids import dense_ids
+    df = spark.range(0, 5000).selectExpr("id", "cast(rand(7) * 1000 as int) AS k", "cast(id % 97 as string) AS s")
+    got = dense_ids(df, ["k", "s", "id"], 41, partitions=7).collect()
+    ordered = sorted(got, key=lambda r: (r["k"], r["s"], r["id"]))
+    assert [r["load_id"] for r in ordered] == list(range(42, 42 + 5000))
