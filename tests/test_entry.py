@@ -36,6 +36,16 @@ def test_oracle_parity_small(spark, name):
     assert oracle_check.compare(spark, SF_SMALL, {name})
 
 
+WRITING = sorted(set(entry.queries()) - set(FAST))
+
+
+@pytest.mark.parametrize("name", WRITING)
+def test_oracle_parity_small_writing_queries(spark, name):
+    """The queries that write landing files, sinks, ledgers or streams."""
+    import oracle_check
+    assert oracle_check.compare(spark, SF_SMALL, {name})
+
+
 BANNED = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
           "WindowGroupLimit")
 
