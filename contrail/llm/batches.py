@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -13,9 +14,13 @@ PIECE_BYTES = 2 << 20
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches whose ``column`` holds about ``max_bytes``; one row is never split."""
+    """Slices of the batches whose ``column`` holds about ``max_bytes``; one row is never split.
+
+    ``column`` is text or bytes, or an integer that says how much a row weighs.
+    """
     for batch in batches:
-        sizes = batch.column(column).to_pandas().str.len().fillna(0).to_numpy() if batch.num_rows else []
+        col = batch.column(column)
+        sizes = (col if pa.types.is_integer(col.type) else pc.binary_length(col)).fill_null(0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, n in enumerate(sizes):
             if held and held + n > max_bytes:

@@ -5,8 +5,8 @@ what is left is the encoding of the shorter prefix. Within each piece the
 distinct words not seen before go into a trie whose edges are byte symbols
 (the last one of a word carries the end mark); a depth-first walk gives every
 node its last token and the node that token starts from, so shared prefixes
-are worked out once. A token may follow another exactly when merging the two
-from bytes gives the same two back, which is checked once per pair.
+are worked out once. Whether one token may follow another is decided once per
+pair, by taking merges back from their border.
 
 The tokenizer's files are only read: splitting and merge ranks are applied
 here, its own encoder is not called.
@@ -55,7 +55,7 @@ class Bpe:
     vocab: dict[str, int]
     ranks: dict[tuple[str, str], int]
     added: dict[str, int]
-    pieces: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    made: dict[str, tuple[int, str, str] | None] = field(default_factory=dict)
     fits: dict[tuple[str, str], bool] = field(default_factory=dict)
     words: dict[str, tuple[bytes, str]] = field(default_factory=dict)
 
@@ -69,8 +69,6 @@ class Bpe:
         self.special = regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))) if self.added else None
         self.text_of = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.added.items()}
         self.longest = max(map(len, self.vocab), default=1)
-        # Tokens that merging their own bytes gives back; only these occur in encodings.
-        self.whole = {t for t in self.vocab if self.merge(self.parts(t)) == [t]}
 
     def parts(self, token: str) -> list[str]:
         if token.endswith(END):
@@ -78,25 +76,52 @@ class Bpe:
             return [*body[:-1], body[-1:] + END]
         return list(token)
 
-    def merge(self, parts: list[str]) -> list[str]:
-        """Plain BPE: the lowest rank first, leftmost among equals."""
-        parts = list(parts)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = self.ranks.get((parts[i], parts[i + 1]))
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+    def last_merge(self, token: str) -> tuple[int, str, str] | None:
+        """(rank, left, right) of the merge that completes ``token``, rank -1 for one symbol.
+
+        None when ``token`` is no token, or merging its own symbols (lowest
+        rank first, leftmost among equals) does not give it back: such a
+        token occurs in no encoding.
+        """
+        if token in self.made:
+            return self.made[token]
+        parts, done = self.parts(token), None
+        if token in self.vocab:
+            done = (-1, "", "") if len(parts) == 1 else None
+            while len(parts) > 1:
+                rank, at = min(((self.ranks.get(p, 1 << 60), i) for i, p in enumerate(zip(parts, parts[1:]))))
+                if rank == 1 << 60:
+                    break
+                if len(parts) == 2:
+                    done = (rank, *parts)
+                parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        self.made[token] = done
+        return done
 
     def follows(self, left: str, right: str) -> bool:
+        """Whether the two tokens side by side are their own encoding.
+
+        Takes the merges nearest the border back, latest first. Had the pair
+        at the border been mergeable before the merge just taken back, that
+        merge would have come first and the border would be gone.
+        """
         key = (left, right)
         ok = self.fits.get(key)
         if ok is None:
-            ok = self.fits[key] = self.merge(self.parts(left) + self.parts(right)) == [left, right]
+            bound = 1 << 60
+            while True:
+                if self.ranks.get((left, right), 1 << 60) < bound:
+                    ok = False
+                    break
+                l, r = self.last_merge(left), self.last_merge(right)
+                if l[0] < 0 and r[0] < 0:
+                    ok = True
+                    break
+                if l[0] > r[0]:
+                    bound, left = l[0], l[2]
+                else:  # among equal ranks the left one is merged first, so the right one is taken back
+                    bound, right = r[0] + 1, r[1]
+            self.fits[key] = ok
         return ok
 
     def normal(self, text: str) -> str:
@@ -104,55 +129,49 @@ class Bpe:
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
     def encode_words(self, words: list[str]) -> None:
-        """Add the encodings of ``words`` (distinct, not cached) to ``self.words``."""
-        sym = self.symbols
-        root: dict = {}
-        for w in words:
-            node, data = root, w.encode()
-            for b in data[:-1]:
-                node = node.setdefault(sym[b], {})
-            node.setdefault(sym[data[-1]] + END, {})[""] = w
-        whole, follows, longest = self.whole, self.follows, self.longest
-        # Depth-first; ``path`` holds the symbols down to the node, ``last`` the last token of
-        # every prefix on the path, ``back`` the length of the prefix before that token.
-        path: list[str] = []
-        last: list[str | None] = [None]
-        back: list[int] = [0]
-        stack = [(root, iter(root.items()))]
-        while stack:
-            node, children = stack[-1]
-            step = next(children, None)
-            if step is None:
-                stack.pop()
-                if path:
-                    path.pop()
-                    last.pop()
-                    back.pop()
-                continue
-            symbol, child = step
-            if symbol == "":
-                self._keep(child, last, back)
-                continue
-            path.append(symbol)
-            depth = len(path)
-            token, start = symbol, depth - 1
-            # The longest start first: the one token that ends here and may follow what is before it.
+        """Add the encodings of ``words`` (distinct, not cached) to ``self.words``.
+
+        The trie is held as the sorted list of symbol strings: walking the
+        list is the depth-first walk, and the part a word shares with the one
+        before it is the path that stays. ``last[d]`` and ``back[d]`` are the
+        last token of the path's first ``d`` symbols and where it starts.
+        """
+        table = {b: c for b, c in enumerate(self.symbols)}
+        trie = sorted((w.encode().decode("latin-1").translate(table), w) for w in words)
+        vocab, follows, longest = self.vocab, self.follows, self.longest
+        made, last_merge, ids_of = self.made, self.last_merge, self.vocab
+
+        def state(path: str, depth: int) -> tuple[str, int]:
+            # The one token that ends here and may follow what is before it.
             for start in range(max(0, depth - longest), depth):
-                token = "".join(path[start:depth])
-                if token in whole and (start == 0 or follows(last[start], token)):
-                    break
-            last.append(token)
-            back.append(start)
-            stack.append((child, iter(child.items())))
-
-    def _keep(self, word: str, last: list, back: list) -> None:
-        tokens, at = [], len(last) - 1
-        while at > 0:
-            tokens.append(last[at])
-            at = back[at]
-        tokens.reverse()
-        ids = [self.vocab[t] for t in tokens]
-        self.words[word] = (struct.pack(f"<{len(ids)}I", *ids), " ".join(tokens))
+                token = path[start:]
+                if token in vocab and (made[token] if token in made else last_merge(token)) \
+                        and (start == 0 or follows(last[start], token)):
+                    return token, start
+            raise ValueError(f"no token of the vocabulary ends {path!r}")
+
+        last: list[str] = [""]
+        back: list[int] = [0]
+        before = ""
+        for path, word in trie:
+            inner = len(path) - 1
+            keep, most = 0, min(inner, len(last) - 1)
+            while keep < most and path[keep] == before[keep]:
+                keep += 1
+            del last[keep + 1:], back[keep + 1:]
+            for depth in range(keep + 1, inner + 1):
+                token, start = state(path[:depth], depth)
+                last.append(token)
+                back.append(start)
+            before = path
+            token, at = state(path + END, inner + 1)
+            tokens = [token]
+            while at > 0:
+                tokens.append(last[at])
+                at = back[at]
+            tokens.reverse()
+            ids = [ids_of[t] for t in tokens]
+            self.words[word] = (struct.pack(f"<{len(ids)}I", *ids), " ".join(tokens))
 
     def split_text(self, text: str) -> list[tuple[bool, str]]:
         """(is an added token, piece) in order."""
