@@ -83,25 +83,29 @@ def base_failed(prefix: str = "_wq_") -> Column:
     return (n < MIN_WORDS) | (100 * r > REPEAT_PERCENT * n)
 
 
-def _vote(bad: Column, good: Column) -> Column:
-    return F.when(bad, F.lit(-1)).when(good, F.lit(1)).otherwise(F.lit(0))
-
-
 def votes(prefix: str = "_wq_") -> dict[str, Column]:
-    """Rule name -> vote column. Integer comparisons only, so votes are exact."""
+    """Rule name -> vote column. Integer comparisons only, so votes are exact.
+
+    Each symptom rule votes bad or abstains: the absence of one symptom says
+    little. ``prose`` votes good for a text with none of them.
+    """
     c = {k: F.col(f"{prefix}{k}") for k in (
         "n_words", "n_distinct", "word_chars", "n_symbols", "n_upper", "n_bang", "n_lines",
         "n_dup_lines", "n_repeat_words")}
-    n = c["n_words"]
-    return {
-        "symbols": _vote(10 * c["n_symbols"] > n, c["n_symbols"] == 0),
-        "upper_case": _vote(10 * c["n_upper"] > 3 * c["word_chars"], 10 * c["n_upper"] < c["word_chars"]),
-        "exclamations": _vote(10 * c["n_bang"] > n, c["n_bang"] == 0),
-        "repeats": _vote(10 * c["n_repeat_words"] > n, c["n_repeat_words"] == 0),
-        "lines": _vote(2 * c["n_dup_lines"] > c["n_lines"], c["n_dup_lines"] == 0),
-        "length": _vote(n < MIN_WORDS, n >= 50),
-        "word_size": _vote((c["word_chars"] > 20 * n) | (c["word_chars"] < 2 * n), (c["word_chars"] <= 10 * n)),
+    n, chars = c["n_words"], c["word_chars"]
+    bad = {
+        "symbols": 20 * c["n_symbols"] > n,
+        "shouting": (2 * c["n_upper"] > chars) | (5 * c["n_bang"] > n),
+        "repeats": 100 * c["n_repeat_words"] > 15 * n,
+        "lines": (c["n_lines"] >= 4) & (2 * c["n_dup_lines"] > c["n_lines"]),
+        "length": n < MIN_WORDS,
+        "word_size": (chars > 20 * n) | (chars < 2 * n),
+        "variety": (n >= 50) & (10 * c["n_distinct"] < n),
     }
+    prose = ((50 * c["n_symbols"] <= n) & (5 * c["n_upper"] <= chars) & (20 * c["n_bang"] <= n)
+             & (10 * c["n_repeat_words"] <= n) & (n >= MIN_WORDS) & (chars <= 15 * n) & (chars >= 2 * n))
+    out = {k: F.when(v, F.lit(-1)).otherwise(F.lit(0)) for k, v in bad.items()}
+    return out | {"prose": F.when(prose, F.lit(1)).otherwise(F.lit(0))}
 
 
 @dataclass(frozen=True)
@@ -118,8 +122,7 @@ class VoteModel:
         for j, name in enumerate(self.rules):
             b, g = self.prob[0][j], self.prob[1][j]
             right = (1 - self.prior) * b[0] + self.prior * g[2]
-            cast = right + (1 - self.prior) * b[2] + self.prior * g[0]
-            out[name] = right / cast if cast else 0.5
+            out[name] = right / (right + (1 - self.prior) * b[2] + self.prior * g[0])
         return out
 
     def log_odds(self, vote: Sequence[int]) -> float:
@@ -131,8 +134,8 @@ class VoteModel:
     def log_odds_column(self, vote: dict[str, Column]) -> Column:
         total = F.lit(math.log(self.prior / (1 - self.prior)))
         for j, name in enumerate(self.rules):
-            bad, none, good = (math.log(self.prob[1][j][k] / self.prob[0][j][k]) for k in range(3))
-            total = total + F.when(vote[name] < 0, F.lit(bad)).when(vote[name] > 0, F.lit(good)).otherwise(F.lit(none))
+            down, none, up = (math.log(self.prob[1][j][k] / self.prob[0][j][k]) for k in range(3))
+            total = total + F.when(vote[name] < 0, F.lit(down)).when(vote[name] > 0, F.lit(up)).otherwise(F.lit(none))
         return total
 
 
@@ -140,22 +143,24 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rules: Sequence[str],
              rounds: int = 50, smooth: float = 1.0) -> VoteModel:
     """EM over (vote pattern, number of documents) rows.
 
-    Starts from the reading "any bad vote means bad"; add-``smooth`` counts
-    keep every probability positive, and the prior is kept within 1e-4 of
-    0 and 1, so an empty or one-sided corpus still gives a usable model.
+    Starts from the reading "any bad vote means bad". Add-``smooth`` counts
+    (bad texts expected to draw bad votes, good texts good ones) keep every
+    probability inside (0, 1), and the prior is kept 1e-3 away from 0 and 1,
+    so an empty or one-sided corpus still gives a usable model.
     """
     patterns = sorted(patterns)  # the same sums in the same order on every run
+    start = [[0.4, 0.5, 0.1], [0.1, 0.5, 0.4]]
     post = [0.05 if -1 in v else 0.95 for v, _ in patterns]
     model = None
     for _ in range(rounds):
         mass = [smooth, smooth]
-        count = [[[smooth / 3] * 3 for _ in rules] for _ in range(2)]
+        count = [[[smooth * x for x in start[y]] for _ in rules] for y in range(2)]
         for (v, n), p in zip(patterns, post):
             for y, w in ((0, n * (1 - p)), (1, n * p)):
                 mass[y] += w
                 for j, x in enumerate(v):
                     count[y][j][x + 1] += w
-        prior = min(max(mass[1] / (mass[0] + mass[1]), 1e-4), 1 - 1e-4)
+        prior = min(max(mass[1] / (mass[0] + mass[1]), 1e-3), 1 - 1e-3)
         prob = tuple(tuple(tuple(c / sum(row) for c in row) for row in count[y]) for y in range(2))
         model = VoteModel(tuple(rules), prior, prob)
         new = [1 / (1 + math.exp(-max(-700.0, min(700.0, model.log_odds(v))))) for v, _ in patterns]
@@ -195,4 +200,7 @@ def report(docs: DataFrame) -> DataFrame:
 def keep(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with exactly its columns."""
     scored = score(docs)
-    return scored.where(F.col("_wq_kept")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # Through a generated column: a filter on a plain one would be moved below the intermediate
+    # columns, their expressions nested into one another.
+    passed = scored.withColumn("_wq_pass", F.explode_outer(F.array("_wq_kept")))
+    return passed.where(F.col("_wq_pass")).select(*[F.col(f"`{c}`") for c in docs.columns])
