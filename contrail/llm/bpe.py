@@ -9,7 +9,9 @@ are worked out once. Whether one token may follow another is decided once per
 pair, by taking merges back from their border.
 
 The tokenizer's files are only read: splitting and merge ranks are applied
-here, its own encoder is not called.
+here, its own encoder is not called. Only the division of a text into words
+is left to the library where the text holds characters whose class differs
+between Unicode versions.
 
 Defined results: a null text counts as empty; an empty text has no tokens;
 the strings of the added special tokens become their ids; repeated rows each
@@ -22,6 +24,7 @@ import hashlib
 import json
 import struct
 import unicodedata
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
@@ -29,6 +32,8 @@ from pyspark.sql import DataFrame, functions as F
 from contrail.llm.batches import map_pieces
 
 END = "</w>"
+# Blocks whose characters have one class and one lower-case form in every Unicode version in use.
+SETTLED = r"[\x00-\u052F\u1E00-\u1EFF\u2000-\u206F\u3000-\u30FF\u4E00-\u9FA5\uAC00-\uD7A3]*"
 CACHE_WORDS = 400_000  # encodings a task keeps; the cache starts anew beyond it (speed only)
 
 
@@ -55,6 +60,7 @@ class Bpe:
     vocab: dict[str, int]
     ranks: dict[tuple[str, str], int]
     added: dict[str, int]
+    divide: Callable[[str], list[str]] | None = None  # the library's own division into words
     made: dict[str, tuple[int, str, str] | None] = field(default_factory=dict)
     fits: dict[tuple[str, str], bool] = field(default_factory=dict)
     words: dict[str, tuple[bytes, str]] = field(default_factory=dict)
@@ -66,6 +72,7 @@ class Bpe:
         # The fixed split of this tokenizer; White_Space by property, as its own expression library reads \\s.
         self.split = regex.compile(
             r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
+        self.settled = regex.compile(SETTLED)
         self.special = regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))) if self.added else None
         self.text_of = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.added.items()}
         self.longest = max(map(len, self.vocab), default=1)
@@ -124,9 +131,11 @@ class Bpe:
             self.fits[key] = ok
         return ok
 
-    def normal(self, text: str) -> str:
+    def words_of(self, text: str) -> list[str]:
+        if self.divide and not self.settled.fullmatch(text):
+            return self.divide(text)
         # Lower case character by character: no word-final form of sigma.
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return self.split.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
     def encode_words(self, words: list[str]) -> None:
         """Add the encodings of ``words`` (distinct, not cached) to ``self.words``.
@@ -192,7 +201,7 @@ class Bpe:
                 if added:
                     row.append((piece, None))
                 else:
-                    words = self.split.findall(self.normal(piece))
+                    words = self.words_of(piece)
                     row.append((None, words))
                     found.update(dict.fromkeys(words))
             split.append(row)
@@ -226,7 +235,15 @@ def load(path: str) -> Bpe:
         spec = json.load(f)
     merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
     return Bpe(spec["model"]["vocab"], {m: i for i, m in enumerate(merges)},
-               {t["content"]: t["id"] for t in spec["added_tokens"]})
+               {t["content"]: t["id"] for t in spec["added_tokens"]}, divider(path, spec))
+
+
+def divider(path: str, spec: dict) -> Callable[[str], list[str]]:
+    from tokenizers import Regex, Tokenizer, pre_tokenizers
+    normalizer = Tokenizer.from_file(path).normalizer
+    step = spec["pre_tokenizer"]["pretokenizers"][0]
+    split = pre_tokenizers.Split(Regex(step["pattern"]["Regex"]), step["behavior"].lower(), step["invert"])
+    return lambda text: [w for w, _ in split.pre_tokenize_str(normalizer.normalize_str(text))]
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:

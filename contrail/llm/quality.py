@@ -19,7 +19,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from contrail.llm.words import SPACE_CHARS, no_space, words
+from contrail.llm.store import stored
+from contrail.llm.words import no_space, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -179,10 +180,8 @@ def fit(measured: DataFrame, prefix: str = "_wq_") -> VoteModel:
     return estimate([(tuple(r[k] for k in rules), r["n"]) for r in rows], rules)
 
 
-def score(docs: DataFrame, text_col: str = "text", prefix: str = "_wq_", threshold: float = 0.5) -> DataFrame:
-    """``docs`` with measures, ``base_failed``, ``quality`` (posterior) and ``kept``, all prefixed."""
-    measured = with_features(docs, text_col, prefix)
-    model = fit(measured.select(*[c for c in measured.columns if c.startswith(prefix)]), prefix)
+def judged(measured: DataFrame, model: VoteModel, prefix: str = "_wq_", threshold: float = 0.5) -> DataFrame:
+    """``measured`` with ``base_failed``, ``quality`` (posterior) and ``kept``, all prefixed."""
     quality = 1 / (1 + F.exp(-model.log_odds_column(votes(prefix))))
     out = measured.withColumn(f"{prefix}base_failed", base_failed(prefix))
     out = out.withColumn(f"{prefix}quality", quality)
@@ -190,8 +189,13 @@ def score(docs: DataFrame, text_col: str = "text", prefix: str = "_wq_", thresho
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """One row per document: its measures, the base verdict and the method's."""
-    scored = score(docs.select("doc_id", "text"))
+    """One row per document: its measures, the base verdict and the method's.
+
+    The measures are a narrow table; it is written once, so each text is
+    worked through once.
+    """
+    measured = stored(with_features(docs.select(F.col("doc_id").cast("long"), "text")).drop("text"), "measures")
+    scored = judged(measured, fit(measured))
     return scored.select("doc_id", *[F.col(f"_wq_{c}").alias(c) for c in FEATURES],
                          F.col("_wq_base_failed").alias("base_failed"), F.col("_wq_kept").alias("kept"),
                          F.col("_wq_quality").alias("quality"))
@@ -199,7 +203,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with exactly its columns."""
-    scored = score(docs)
+    measured = with_features(docs)
+    scored = judged(measured, fit(measured))
     # Through a generated column: a filter on a plain one would be moved below the intermediate
     # columns, their expressions nested into one another.
     passed = scored.withColumn("_wq_pass", F.explode_outer(F.array("_wq_kept")))
