@@ -183,13 +183,14 @@ def _agree(pairs: DataFrame, sig: DataFrame) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(likely, "a long, b long")
 
 
-def _rest_pairs(bands: DataFrame, sig: DataFrame, comp: DataFrame) -> DataFrame:
+def _rest_pairs(bands: DataFrame, lone: DataFrame, comp: DataFrame) -> DataFrame:
     """Candidate pairs between members of one band group that are in different components.
 
     A group's largest component stays as it is; every other member is held
     against the whole group. Members are packed in blocks of ``BLOCK`` and
     blocks of a group are matched, so a group of any size spreads over tasks
-    and only pairs that pass the signature test come out.
+    and only pairs that pass the signature test come out, each in the first
+    of the bands it shares.
     """
     member = (bands.join(comp, "doc", "left")
               .select("key", "doc", F.coalesce("root", "doc").alias("root")))
@@ -197,30 +198,34 @@ def _rest_pairs(bands: DataFrame, sig: DataFrame, comp: DataFrame) -> DataFrame:
     mixed = (per_root.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("n", "root")).alias("main"),
                                          F.sum("n").alias("members"))
              .where(f"roots > 1 AND members > {2}"))
-    rows = (member.join(mixed, "key").join(sig, "doc")
+    rows = (member.join(mixed, "key").join(lone.dropDuplicates(["doc"]), "doc")
             .withColumn("odd", F.col("root") != F.col("main"))
             .withColumn("spot", F.pmod(F.xxhash64("doc"), F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)))))
-    cell = F.struct("doc", "root", "sig")
+    cell = F.struct("doc", "root", "sig", "bands")
     whole = rows.groupBy("key", "spot").agg(F.collect_list(cell).alias("all"))
     odd = rows.where("odd").groupBy("key", "spot").agg(F.collect_list(cell).alias("odd"))
     met = whole.select("key", "all").join(odd.select("key", "odd"), "key")
 
     def compare(batches):
         def arrays(cells):
-            s = np.frombuffer(b"".join(c["sig"] for c in cells), np.uint8).reshape(len(cells), -1)
-            return np.array([c["doc"] for c in cells]), np.array([c["root"] for c in cells]), s
+            shown = np.frombuffer(b"".join(c["sig"] for c in cells), np.uint8).reshape(len(cells), -1)
+            return np.array([c["doc"] for c in cells]), np.array([c["root"] for c in cells]), shown, np.array([c["bands"] for c in cells])
         for b in batches:
             for i in range(b.num_rows):
-                d1, r1, s1 = arrays(b.column("odd")[i].as_py())
-                d2, r2, s2 = arrays(b.column("all")[i].as_py())
+                key = b.column("key")[i].as_py()
+                d1, r1, s1, b1 = arrays(b.column("odd")[i].as_py())
+                d2, r2, s2, b2 = arrays(b.column("all")[i].as_py())
                 x, y = [], []
                 for j in range(len(d1)):
-                    hit = ((s2 == s1[j]).mean(axis=1) >= LIKELY) & (r2 != r1[j])
-                    x += [d1[j]] * int(hit.sum())
+                    hit = np.flatnonzero(r2 != r1[j])
+                    hit = hit[(s2[hit] == s1[j]).mean(axis=1) >= LIKELY]
+                    band = int((b1[j] == key).argmax())
+                    hit = hit[~(b2[hit, :band] == b1[j, :band]).any(axis=1)]
+                    x += [d1[j]] * len(hit)
                     y += d2[hit].tolist()
                 if x:
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64())], ["a", "b"])
-    return met.select("odd", "all").mapInArrow(compare, "a long, b long").distinct()
+    return met.select("key", "odd", "all").mapInArrow(compare, "a long, b long").distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -241,7 +246,7 @@ def classes(docs: DataFrame) -> DataFrame:
     likely = stored(_agree(_star_pairs(bands), sig), "pairs")
     links = stored(_links(likely, texts).distinct(), "links")
     comp = components(links)
-    rest = stored(_rest_pairs(bands, sig, comp), "rest")
+    rest = stored(_rest_pairs(bands, lone, comp), "rest")
     if not rest.isEmpty():
         more = _links(rest, texts).distinct()
         comp = components(links.union(more))
