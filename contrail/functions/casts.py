@@ -90,8 +90,13 @@ def to_bool(col: Column | str, mode: str = "cast") -> Column:
 
 
 def strict_double(col: Column | str) -> Column:
-    """ANSI cast: a bad value fails the query."""
-    return _c(col).cast("double")
+    """ANSI cast: a bad value fails the query.
+
+    The number grammar comes first, as the cast alone takes type suffixes (``1d``).
+    """
+    text = _c(col).cast("string")
+    bad = F.raise_error(F.concat(F.lit("not a number: "), text)).cast("double")
+    return F.when(text.isNull(), F.lit(None).cast("double")).when(text.rlike(NUMBER_RE), text.cast("double")).otherwise(bad)
 
 
 def strict_int(col: Column | str) -> Column:
@@ -108,17 +113,37 @@ def round_ch(col: Column | str, digits: int = 2) -> Column:
     return F.rint(_c(col) * F.lit(scale)) / F.lit(scale)
 
 
-# Fixed value: fractional digits kept when summing measures exactly.
+# Fractional digits summed exactly, and the size below which they are. Sums of that
+# many digits leave room for 10^17 rows in a decimal(38).
 AVG_SCALE = 6
+AVG_LIMIT = 1e15
+
+
+def exact_part(col: Column | str, scale: int = AVG_SCALE) -> Column:
+    """The value rounded to ``scale`` digits as a decimal; NULL when too large, NaN or infinite."""
+    c = _c(col).cast("double")
+    return F.when(F.abs(c) < AVG_LIMIT, c).try_cast(f"decimal(38,{scale})")
+
+
+def other_part(col: Column | str, scale: int = AVG_SCALE) -> Column:
+    """What :func:`exact_part` leaves of the value: under half its last digit, or all of it."""
+    c = _c(col).cast("double")
+    return c - F.coalesce(exact_part(c, scale).cast("double"), F.lit(0.0))
+
+
+def mean_of(exact_sum: Column, other_sum: Column, count: Column) -> Column:
+    """Mean from the two sums; NULL when nothing was counted."""
+    total = F.coalesce(exact_sum.cast("double"), F.lit(0.0)) + F.coalesce(other_sum, F.lit(0.0))
+    return F.when(count > 0, total / F.when(count > 0, count))
 
 
 def exact_avg(col: Column | str, scale: int = AVG_SCALE) -> Column:
-    """Mean whose value does not depend on summation order.
+    """Mean that, for ordinary measures, does not depend on summation order.
 
     A floating-point ``avg`` can differ in its last bit between two runs (or
     two engines) because partial sums merge in arbitrary order, and that bit
-    decides a half-even rounding to 2 places. Summing ``decimal(38, scale)``
-    is exact, so the mean is the same whatever the partitioning.
+    decides a half-even rounding to 2 places. So values are summed as
+    decimals of ``scale`` fractional digits, which is exact, and what that
+    leaves of them (nothing, for ordinary measures) in a double sum beside it.
     """
-    dec = _c(col).try_cast(f"decimal(38,{scale})")
-    return F.sum(dec).cast("double") / F.count(dec)
+    return mean_of(F.sum(exact_part(col, scale)), F.sum(other_part(col, scale)), F.count(_c(col)))

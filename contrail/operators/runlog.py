@@ -53,9 +53,7 @@ def append_log(rows: DataFrame, path: str) -> None:
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """All log rows; files written before ``run_id`` existed read ''."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    if "run_id" not in df.columns:
-        df = df.withColumn("run_id", F.lit(None).cast("string"))
+    df = spark.read.schema(schemas.RUN_LOG).parquet(path)  # a column a file lacks reads NULL
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.RUN_LOG.fields[:-1]],
                      F.coalesce(F.col("run_id"), F.lit("")).alias("run_id"))
 

@@ -69,13 +69,14 @@ def snapshot_counts(spark, sf_dir):
 
 def json_access(spark, sf_dir):
     b = _bronze(spark, sf_dir)
-    d = F.col("data")
-    return b.select(
+    doc = F.from_json("data", "time bigint, states array<array<string>>")  # the payload is parsed once
+    first = F.get(F.col("doc.states"), F.lit(0))
+    return b.select("load_id", doc.alias("doc")).select(
         "load_id",
-        F.get_json_object(d, "$.time").cast("bigint").alias("snapshot_time"),
-        F.get_json_object(d, "$.states[0][0]").alias("first_icao24"),
-        F.get_json_object(d, "$.states[0][1]").alias("first_callsign"),
-        F.json_array_length(F.get_json_object(d, "$.states")).cast("bigint").alias("n_states"),
+        F.col("doc.time").alias("snapshot_time"),
+        F.get(first, F.lit(0)).alias("first_icao24"),
+        F.get(first, F.lit(1)).alias("first_callsign"),
+        F.size("doc.states").cast("bigint").alias("n_states"),
     )
 
 

@@ -8,7 +8,7 @@ snapshot payloads. Means come from an exact decimal sum and are rounded with
 
 from __future__ import annotations
 
-from contrail.functions.casts import AVG_SCALE, INTEGER_RE, NUMBER_RE
+from contrail.functions.casts import INTEGER_RE, NUMBER_RE
 from contrail.operators.flatten import CDC_MARKERS
 from contrail.operators.hourly import AIRLINE_RE
 from contrail.plans import params as P
@@ -16,8 +16,9 @@ from contrail.sources.fixtures import ORDERS_PER_FILE
 
 
 def avg(c: str) -> str:
-    """Order-independent mean, the twin of ``casts.exact_avg``."""
-    dec = f"CAST({c} AS DECIMAL(38,{AVG_SCALE}))"
+    """Order-independent mean. The measures here have at most 6 fractional digits, so the
+    decimal sum is their exact sum; the operator's double sum for other values stays empty."""
+    dec = f"CAST({c} AS DECIMAL(38,6))"
     return f"(CAST(sum({dec}) AS DOUBLE) / count({dec}))"
 
 

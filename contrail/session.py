@@ -52,7 +52,9 @@ def _shared_base(spark: SparkSession) -> str:
         if current:
             base = current
     if not base:
-        # Unset, as in unit tests: make our own and register it.
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # Unset in local mode, as in unit tests: make our own and register it.
         base = tempfile.mkdtemp(prefix="contrail-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")

@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from contrail.functions.casts import u32_or_null
 from contrail.functions.ids import dense_ids
 from contrail.functions.time import instant_to_ntz, seconds_to_ntz
 from contrail.operators.flatten import state_count
@@ -103,21 +104,21 @@ def load_landing(spark: SparkSession, landing_root: str, bronze_root: str,
     if n_new == 0:
         return 0
     n_all = listing.count() if have_bronze else n_new
-    reader = spark.read.option("wholetext", "true")
+    reader = spark.read
     if n_new <= EXPLICIT_PATHS_MAX and n_new * 4 <= n_all:
         # A few new files in a big folder: name them (paths only on the driver).
         paths = [r[0] for r in ids.select("source_file").collect()]
-        raw = reader.text(paths)
+        raw = reader.text(paths, wholetext=True)
     else:
         # Mostly new: one folder scan; the join below keeps the new files only.
-        raw = reader.option("recursiveFileLookup", "true").text(landing_root)
+        raw = reader.option("recursiveFileLookup", "true").text(landing_root, wholetext=True)
     raw = raw.select(F.col("_metadata.file_path").alias("_src"),
                      F.col("_metadata.file_modification_time").alias("_mtime"),
                      F.col("value").alias("data"))
     rows = raw.join(ids, "_src")  # AQE broadcasts ids when they are small
     file_time = instant_to_ntz(F.col("_mtime"))
     if time_source == "payload":
-        t = F.coalesce(seconds_to_ntz(F.get_json_object("data", "$.time").try_cast("bigint")), file_time)
+        t = F.coalesce(payload_time(F.col("data")), file_time)
     else:
         t = file_time
     out = rows.select("load_id", t.alias("ingest_time"), "data", "source_file",
@@ -135,6 +136,11 @@ def load_landing(spark: SparkSession, landing_root: str, bronze_root: str,
     return n_new
 
 
+def payload_time(data: Column) -> Column:
+    """The snapshot's own time; NULL when missing or no unsigned 32-bit second count."""
+    return seconds_to_ntz(u32_or_null(F.get_json_object(data, "$.time")))
+
+
 def snapshot_sizes(bronze: DataFrame) -> DataFrame:
     """Per bronze row: its state count (0 for null/empty/missing/bad states)."""
     return bronze.select("load_id", F.col("ingest_time").alias("uploaded_at"),

@@ -25,11 +25,13 @@ from __future__ import annotations
 
 import re
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.storagelevel import StorageLevel
 
 from contrail import schemas
+from contrail.functions.casts import NUMBER_RE
 from contrail.functions.time import ntz_literal
 from contrail.session import ensure_checkpoint_dir
 from contrail.sources import fs
@@ -47,16 +49,14 @@ MAX_FILES_PER_BATCH = 50_000
 
 def validate(target_table: str, columns: str | list[str]) -> list[str]:
     """Check identifiers before any job runs; returns the column list."""
-    if not re.match(TABLE_RE, target_table):
-        raise ValueError("Invalid target table name: " + target_table)
-    cols = [c.strip() for c in (columns.split(",") if isinstance(columns, str) else columns)]
-    cols = [c for c in cols if c]
-    if not cols:
-        raise ValueError("columns must list at least one column")
-    for c in cols:
-        if not re.match(COLUMN_RE, c):
-            raise ValueError("Invalid column name: " + c)
-    return cols
+    listed = columns.split(",") if isinstance(columns, str) else list(columns)
+    wanted = list(filter(None, map(str.strip, listed)))
+    odd = [name for name in wanted if re.match(COLUMN_RE, name) is None]
+    if re.match(TABLE_RE, target_table) is None:
+        raise ValueError(f"{target_table!r} cannot name a table")
+    if odd or not wanted:
+        raise ValueError(f"cannot name columns: {odd}" if odd else "no columns named")
+    return wanted
 
 
 def normalize_type(file_type: str) -> str:
@@ -115,8 +115,7 @@ def _read_text_columns(spark: SparkSession, ext: str, paths: list[str], cols: li
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(paths))
         corrupt = F.col(CORRUPT).isNotNull()
     elif ext == "csv":
-        df = spark.read.option("header", "true").option("inferSchema", "false").csv(paths)
-        corrupt = F.lit(False)
+        return _read_csv(spark, paths, cols)
     elif ext == "parquet":
         df = spark.read.option("mergeSchema", "true").parquet(*paths)
         corrupt = F.lit(False)
@@ -127,9 +126,36 @@ def _read_text_columns(spark: SparkSession, ext: str, paths: list[str], cols: li
     return df.select(F.col("_metadata.file_path").alias("_src"), *values, corrupt.alias("_corrupt"))
 
 
+def _read_csv(spark: SparkSession, paths: list[str], cols: list[str]) -> DataFrame:
+    """CSV rows by each file's own header.
+
+    One reader takes one header for all its files, so files are read in groups
+    of equal header lines. Quoted newlines and doubled quotes are kept, and
+    empty text stays empty text (it is no number).
+    """
+    header = F.rtrim(F.substring_index("value", "\n", 1), F.lit("\r"))
+    groups = (spark.read.text(paths, wholetext=True)
+              .select(header.alias("header"), F.col("_metadata.file_path").alias("path"))
+              .groupBy("header").agg(F.collect_list("path").alias("paths")).orderBy("header").collect())
+    out = None
+    for g in groups:
+        df = (spark.read.option("header", "true").option("inferSchema", "false").option("multiLine", "true")
+              .option("escape", '"').option("nullValue", "\u0000").csv([unquote(x) for x in g["paths"]]))
+        values = [(F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast("string").alias(c) for c in cols]
+        part = df.select(F.col("_metadata.file_path").alias("_src"), *values, F.lit(False).alias("_corrupt"))
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        fields = ["_src string", *[f"`{c}` string" for c in cols], "_corrupt boolean"]
+        out = spark.createDataFrame([], ", ".join(fields))
+    return out
+
+
 def _bad_value(c: str, dtype: T.DataType):
     x = F.col(c)
-    return x.isNotNull() & x.try_cast(dtype).isNull()
+    bad = x.try_cast(dtype).isNull()
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        bad = bad | ~x.rlike(NUMBER_RE)  # the cast alone takes type suffixes
+    return x.isNotNull() & bad
 
 
 def ingest_files(spark: SparkSession, target_table: str, target_schema: T.StructType,
@@ -201,7 +227,7 @@ def _unreadable_parquet(files: DataFrame) -> DataFrame:
                     with filesystem.open_input_file(path) as f:
                         pq.ParquetFile(f).metadata  # noqa: B018 - footer read
                 except pa.ArrowInvalid as e:
-                    bad.append((src, f"unreadable parquet file: {e}"[:500]))
+                    bad.append((src, f"unreadable parquet file: {e}"))
                 except Exception:  # noqa: BLE001 - not a format error: let Spark decide
                     pass
             yield pd.DataFrame(bad, columns=["_src", "error_message"])

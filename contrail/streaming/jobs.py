@@ -26,13 +26,13 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from contrail import schemas
-from contrail.functions.casts import AVG_SCALE, round_ch
+from contrail.functions.casts import exact_part, mean_of, other_part, round_ch
 from contrail.functions.ids import dense_ids
-from contrail.functions.time import instant_to_ntz, ntz_to_instant, seconds_to_ntz
+from contrail.functions.time import instant_to_ntz, ntz_to_instant
 from contrail.operators.backfill import MART_STORED
 from contrail.operators.flatten import flatten
 from contrail.sources import fs, sinks
-from contrail.sources.bronze import BRONZE_STORED
+from contrail.sources.bronze import BRONZE_STORED, payload_time
 
 
 def run_trigger(writer, trigger: str):
@@ -47,6 +47,8 @@ def _bronze_batch(spark: SparkSession, bronze_root: str, order_by: str):
     keys = ["_mtime", "source_file"] if order_by == "mtime" else ["source_file"]
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        if fs.is_committed(spark, f"{bronze_root}/batch_id={batch_id}"):
+            return  # a replay: new file names would reach the mart a second time
         # Ids grow with batch ids: the previous maximum is in the newest earlier
         # batch folder, found by listing (metadata) - no scan of older batches.
         prev = 0
@@ -65,8 +67,7 @@ def _bronze_batch(spark: SparkSession, bronze_root: str, order_by: str):
         try:
             files = batch.select("source_file", "_mtime").distinct()
             ids = dense_ids(files, keys, prev).select("source_file", "load_id")
-            t = F.coalesce(seconds_to_ntz(F.get_json_object("data", "$.time").try_cast("bigint")),
-                           instant_to_ntz(F.col("_mtime")))
+            t = F.coalesce(payload_time(F.col("data")), instant_to_ntz(F.col("_mtime")))
             out = batch.join(ids, "source_file").select(
                 "load_id", t.alias("ingest_time"), "data", "source_file", F.to_date(t).alias("ingest_date"))
             out.write.mode("overwrite").parquet(f"{bronze_root}/batch_id={batch_id}")
@@ -120,23 +121,22 @@ def hourly_stream(spark: SparkSession, mart_root: str, gold_root: str, checkpoin
     mart = reader.parquet(mart_root)
     airborne = (mart.where((F.col("on_ground") == F.lit(False)) & F.col("time_position").isNotNull())
                 .withColumn("event_time", ntz_to_instant("time_position")))  # watermarks need TIMESTAMP
-    dec = f"decimal(38,{AVG_SCALE})"
     # Stage 1, per (hour, country, aircraft): exact partial sums. State is
     # keyed by aircraft, so a country with most of the traffic is spread
     # over all tasks instead of one growing set.
     per_aircraft = (airborne.withWatermark("event_time", delay)
                     .groupBy(F.window("event_time", "1 hour"), "origin_country", "icao24")
-                    .agg(F.sum(F.col("velocity").try_cast(dec)).alias("sv"),
-                         F.count(F.col("velocity").try_cast(dec)).alias("nv"),
-                         F.sum(F.col("baro_altitude").try_cast(dec)).alias("sa"),
-                         F.count(F.col("baro_altitude").try_cast(dec)).alias("na")))
+                    .agg(F.sum(exact_part("velocity")).alias("sv"), F.sum(other_part("velocity")).alias("ov"),
+                         F.count("velocity").alias("nv"),
+                         F.sum(exact_part("baro_altitude")).alias("sa"), F.sum(other_part("baro_altitude")).alias("oa"),
+                         F.count("baro_altitude").alias("na")))
     # Stage 2, per (hour, country): a few numbers of state per key. Distinct
     # aircraft = non-null aircraft keys; means = exact sums / counts.
     agg = (per_aircraft
            .groupBy(F.window(F.window_time("window"), "1 hour").alias("window"), "origin_country")
            .agg(F.count("icao24").alias("fly_count"),
-                round_ch(F.sum("sv").cast("double") / F.sum("nv"), 2).alias("hourly_avg_velocity"),
-                round_ch(F.sum("sa").cast("double") / F.sum("na"), 2).alias("hourly_avg_altitude")))
+                round_ch(mean_of(F.sum("sv"), F.sum("ov"), F.sum("nv")), 2).alias("hourly_avg_velocity"),
+                round_ch(mean_of(F.sum("sa"), F.sum("oa"), F.sum("na")), 2).alias("hourly_avg_altitude")))
     start = instant_to_ntz(F.col("window.start"))
     out = agg.select("origin_country", F.to_date(start).alias("fly_date"), F.hour(start).alias("fly_hour"),
                      "fly_count", "hourly_avg_velocity", "hourly_avg_altitude")
@@ -154,7 +154,7 @@ def hourly_stream(spark: SparkSession, mart_root: str, gold_root: str, checkpoin
 
 def latest_refresh_stream(spark: SparkSession, mart_root: str, gold_root: str, checkpoint: str,
                           trigger: str = "300 seconds",
-                          max_files_per_trigger: int | None = None) -> StreamingQuery:
+                          max_files_per_trigger: int | None = None, keep_versions: int = 24) -> StreamingQuery:
     reader = spark.readStream.schema(MART_STORED)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -175,6 +175,7 @@ def latest_refresh_stream(spark: SparkSession, mart_root: str, gold_root: str, c
                 .select(*schemas.MART_COLUMNS))
         version = full.agg(F.max("load_id")).first()[0]
         sinks.export_latest(full, gold_root, version, revision=batch_id)
+        sinks.prune_versions(spark, gold_root, keep_versions)
 
     w = mart.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return run_trigger(w, trigger).start()
