@@ -3,6 +3,10 @@
 Snapshots whose ``load_id`` is already in the mart are skipped (anti-join on
 the mart's distinct ids, which is one row per snapshot, not per aircraft),
 so a manual re-run appends nothing twice.
+
+The mart is partitioned by ``upload_date`` and ``writer``: batch jobs append
+under ``writer=batch``, each stream micro-batch under a name of its own, so
+both write one mart and every reader sees the rows of both.
 """
 
 from __future__ import annotations
@@ -13,7 +17,9 @@ from contrail import schemas
 from contrail.operators.flatten import flatten
 from contrail.sources import fs
 
-MART_STORED = T.StructType(schemas.MART.fields + [T.StructField("upload_date", T.DateType(), True)])
+MART_STORED = T.StructType(schemas.MART.fields + [
+    T.StructField("upload_date", T.DateType(), True), T.StructField("writer", T.StringType(), True)])
+BATCH_WRITER = "batch"
 
 
 def read_mart(spark: SparkSession, mart_root: str, until=None) -> DataFrame:
@@ -44,7 +50,7 @@ def read_latest_day(spark: SparkSession, mart_root: str, until=None) -> DataFram
         probe = one
         if until is not None:
             probe = one.where(F.col("uploaded_at") <= F.lit(until.isoformat(sep=" ")).cast("timestamp_ntz"))
-        if probe.limit(1).count():  # a folder can hold only uncommitted stream files
+        if probe.limit(1).count():  # a folder can be empty after a failed write
             return one.select(*schemas.MART_COLUMNS)
     fallback = mart if until is None else mart.where(
         F.col("upload_date") <= F.lit(until.date().isoformat()).cast("date"))
@@ -60,17 +66,32 @@ def write_mart(mart: DataFrame, mart_root: str) -> None:
     (mart.withColumn("upload_date", F.to_date("uploaded_at"))
      .hint("rebalance", "upload_date")
      .sortWithinPartitions("uploaded_at")
-     .write.mode("append").partitionBy("upload_date").parquet(mart_root))
+     .withColumn("writer", F.lit(BATCH_WRITER))
+     .write.mode("append").partitionBy("upload_date", "writer").parquet(mart_root))
+
+
+def write_mart_batch(mart: DataFrame, mart_root: str, writer: str) -> None:
+    """Write one stream micro-batch as ``writer``; a second write of it replaces the first."""
+    (mart.withColumn("upload_date", F.to_date("uploaded_at")).withColumn("writer", F.lit(writer))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("upload_date", "writer").parquet(mart_root))
+
+
+def not_in_mart(todo: DataFrame, mart_root: str, writer: str | None = None) -> DataFrame:
+    """Bronze rows whose ``load_id`` is not in the mart (with ``writer``: not from that writer)."""
+    # A snapshot's mart rows sit in the upload_date of its ingest time, so
+    # only those date folders are compared (one row per snapshot id).
+    dates = todo.select(F.to_date("ingest_time").alias("upload_date")).distinct()
+    stored = todo.sparkSession.read.schema(MART_STORED).parquet(mart_root)
+    if writer is not None:
+        stored = stored.where(F.col("writer") == writer)
+    done = stored.select("load_id", "upload_date").join(dates, "upload_date", "left_semi").select("load_id").distinct()
+    return todo.join(done, "load_id", "left_anti")
 
 
 def backfill(spark: SparkSession, bronze: DataFrame, mart_root: str, **flatten_opts) -> None:
     """Flatten every bronze snapshot not yet in the mart and append it."""
     todo = bronze.select("load_id", "ingest_time", "data")
     if fs.exists(spark, mart_root):
-        # A snapshot's mart rows sit in the upload_date of its ingest time, so
-        # only those date folders are compared (one row per snapshot id).
-        dates = todo.select(F.to_date("ingest_time").alias("upload_date")).distinct()
-        stored = spark.read.schema(MART_STORED).parquet(mart_root).select("load_id", "upload_date")
-        done = stored.join(dates, "upload_date", "left_semi").select("load_id").distinct()
-        todo = todo.join(done, "load_id", "left_anti")
+        todo = not_in_mart(todo, mart_root)
     write_mart(flatten(todo, **flatten_opts), mart_root)

@@ -77,12 +77,12 @@ def _number(spark: SparkSession, new_files: DataFrame, order_by: str, start: int
 
 def load_landing(spark: SparkSession, landing_root: str, bronze_root: str,
                  order_by: str = "mtime", time_source: str = "payload",
-                 count_states: bool = False) -> int:
+                 count_states: bool = True) -> int:
     """Append new landing files to bronze; returns the number of files loaded.
 
     The load logs how many snapshots it wrote (an ``observe`` metric of the
-    write itself). ``count_states`` also logs the number of state vectors,
-    at the price of parsing every payload once more.
+    write itself), and with ``count_states`` how many state vectors they
+    hold, at the price of parsing every payload once more.
     """
     if order_by not in ("mtime", "path") or time_source not in ("payload", "file"):
         raise ValueError("order_by in (mtime, path), time_source in (payload, file)")
@@ -107,7 +107,7 @@ def load_landing(spark: SparkSession, landing_root: str, bronze_root: str,
     reader = spark.read
     if n_new <= EXPLICIT_PATHS_MAX and n_new * 4 <= n_all:
         # A few new files in a big folder: name them (paths only on the driver).
-        paths = [r[0] for r in ids.select("source_file").collect()]
+        paths = [fs.literal_path(r[0]) for r in ids.select("source_file").collect()]
         raw = reader.text(paths, wholetext=True)
     else:
         # Mostly new: one folder scan; the join below keeps the new files only.
@@ -132,7 +132,10 @@ def load_landing(spark: SparkSession, landing_root: str, bronze_root: str,
     # rebalance: AQE sizes files per date folder and splits a hot day.
     out.hint("rebalance", "ingest_date").write.mode("append").partitionBy("ingest_date").parquet(bronze_root)
     stats = obs.get
-    log.info("SUCCESS - Loaded %s flights | %s snapshots", stats.get("states"), stats.get("snapshots"))
+    if count_states:
+        log.info("bronze load: %s snapshots holding %s states", stats.get("snapshots"), stats.get("states"))
+    else:
+        log.info("bronze load: %s snapshots", stats.get("snapshots"))
     return n_new
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 
@@ -35,6 +37,17 @@ def is_committed(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file (and its parent folders)."""
+    p, fs = _fs(spark, path)
+    fs.create(p, True).close()
+
+
+def literal_path(path: str) -> str:
+    """``path`` for a Spark reader, its glob characters escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def arrow_fs(path: str):
     """(pyarrow FileSystem, path) for a Spark/Hadoop path string.
 

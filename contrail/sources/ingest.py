@@ -23,6 +23,7 @@ The driver only ever holds file paths (in batches), never rows.
 
 from __future__ import annotations
 
+import csv
 import re
 from datetime import datetime, timezone
 from urllib.parse import unquote
@@ -106,18 +107,21 @@ def current_ledger(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy(*keys).agg(latest.alias("_s")).select(*keys, *[F.col("_s." + c).alias(c) for c in rest])
 
 
-def _read_text_columns(spark: SparkSession, ext: str, paths: list[str], cols: list[str]) -> DataFrame:
-    """Rows of the given files: file_key, one text column per target column, bad flag."""
+def _read_text_columns(spark: SparkSession, ext: str, paths: list[str], cols: list[str], merge: bool = True) -> DataFrame:
+    """Rows of the given files: file_key, one text column per target column, bad flag.
+
+    ``merge`` is for Parquet: without it the files have one type per target column.
+    """
     if ext in ("json", "ndjson"):
         schema = T.StructType([T.StructField(c, T.StringType()) for c in cols]
                               + [T.StructField(CORRUPT, T.StringType())])
         df = (spark.read.schema(schema).option("multiLine", str(ext == "json").lower())
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(paths))
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(list(map(fs.literal_path, paths))))
         corrupt = F.col(CORRUPT).isNotNull()
     elif ext == "csv":
         return _read_csv(spark, paths, cols)
     elif ext == "parquet":
-        df = spark.read.option("mergeSchema", "true").parquet(*paths)
+        df = spark.read.option("mergeSchema", str(merge).lower()).parquet(*map(fs.literal_path, paths))
         corrupt = F.lit(False)
     else:
         raise ValueError(ext)
@@ -133,15 +137,19 @@ def _read_csv(spark: SparkSession, paths: list[str], cols: list[str]) -> DataFra
     of equal header lines. Quoted newlines and doubled quotes are kept, and
     empty text stays empty text (it is no number).
     """
-    header = F.rtrim(F.substring_index("value", "\n", 1), F.lit("\r"))
-    groups = (spark.read.text(paths, wholetext=True)
+    header = F.regexp_extract("value", "^\\uFEFF?[\r\n]*([^\r\n]*)", 1)
+    groups = (spark.read.text(list(map(fs.literal_path, paths)), wholetext=True)
               .select(header.alias("header"), F.col("_metadata.file_path").alias("path"))
+              .where("header <> ''")  # else the file holds no rows
               .groupBy("header").agg(F.collect_list("path").alias("paths")).orderBy("header").collect())
     out = None
     for g in groups:
-        df = (spark.read.option("header", "true").option("inferSchema", "false").option("multiLine", "true")
-              .option("escape", '"').option("nullValue", "\u0000").csv([unquote(x) for x in g["paths"]]))
-        values = [(F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast("string").alias(c) for c in cols]
+        # Columns by place: with a schema given, Spark needs no look into the files beforehand.
+        names = next(csv.reader([g["header"]]))
+        schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+        df = (spark.read.schema(schema).option("header", "true").option("multiLine", "true")
+              .option("escape", '"').option("nullValue", "\u0000").csv([fs.literal_path(unquote(x)) for x in g["paths"]]))
+        values = [(F.col(f"_c{names.index(c)}") if c in names else F.lit(None).cast("string")).alias(c) for c in cols]
         part = df.select(F.col("_metadata.file_path").alias("_src"), *values, F.lit(False).alias("_corrupt"))
         out = part if out is None else out.unionByName(part)
     if out is None:
@@ -203,14 +211,13 @@ def ingest_files(spark: SparkSession, target_table: str, target_schema: T.Struct
                                  "files_processed int, files_skipped int, files_failed int")
 
 
-def _unreadable_parquet(files: DataFrame) -> DataFrame:
-    """(_src, error_message) of Parquet files whose footer cannot be read.
+def _parquet_footers(files: DataFrame, cols: list[str]) -> DataFrame:
+    """(_src, file_key, kind, error_message) per Parquet file; ``kind`` names the types of ``cols``.
 
-    Only used after Spark's own footer read failed. Footers are then read
+    Only used after Spark could not merge the footers. They are then read
     inside tasks (pyarrow, distributed over the files), so a truncated or
-    non-Parquet file fails alone instead of failing the whole read. Only
-    Parquet-format errors count; if the file system itself cannot be reached
-    from pyarrow, the original error is raised.
+    non-Parquet file fails alone, and files of different column types are
+    read apart. Only Parquet-format errors count as the file's own.
     """
     to_fs = _by_value(arrow_fs)
 
@@ -220,18 +227,19 @@ def _unreadable_parquet(files: DataFrame) -> DataFrame:
         import pyarrow.parquet as pq
 
         for pdf in batches:
-            bad = []
+            found = []
             for key, src in zip(pdf["file_key"], pdf["_src"]):
                 try:
                     filesystem, path = to_fs(key)
                     with filesystem.open_input_file(path) as f:
-                        pq.ParquetFile(f).metadata  # noqa: B018 - footer read
+                        schema = pq.ParquetFile(f).schema_arrow
+                    types = {n: str(t) for n, t in zip(schema.names, schema.types)}
+                    found.append((src, key, ", ".join(f"{c} {types.get(c)}" for c in cols), None))
                 except pa.ArrowInvalid as e:
-                    bad.append((src, f"unreadable parquet file: {e}"))
-                except Exception:  # noqa: BLE001 - not a format error: let Spark decide
-                    pass
-            yield pd.DataFrame(bad, columns=["_src", "error_message"])
-    return files.select("file_key", "_src").mapInPandas(check, "_src string, error_message string")
+                    found.append((src, key, None, f"unreadable parquet file: {e}"))
+            yield pd.DataFrame(found, columns=["_src", "file_key", "kind", "error_message"])
+    return files.select("file_key", "_src").mapInPandas(
+        check, "_src string, file_key string, kind string, error_message string")
 
 
 def _ingest_batch(spark, batch, cols, types, todo, target_path, ledger_path, loaded_at):
@@ -247,16 +255,13 @@ def _ingest_batch(spark, batch, cols, types, todo, target_path, ledger_path, loa
         try:
             # Schema merging reads every footer right here (one distributed job).
             parts.append(_read_text_columns(spark, "parquet", by_reader["parquet"], cols))
-        except Exception:  # noqa: BLE001 - some footer is unreadable: find which
-            unreadable = _unreadable_parquet(batch_todo.where(F.col("ext") == "parquet")).checkpoint()
-            bad_src = {r[0] for r in unreadable.select("_src").collect()}  # bounded by the batch
-            src_of = {r[0]: r[1] for r in batch_todo.where(F.col("ext") == "parquet")
-                      .select("file_key", "_src").collect()}
-            readable = [k for k in by_reader["parquet"] if src_of.get(k) not in bad_src]
-            if not bad_src:
-                raise  # not a footer problem: fail loudly, nothing was written
-            if readable:
-                parts.append(_read_text_columns(spark, "parquet", readable, cols))
+        except Exception:  # noqa: BLE001 - a footer is unreadable or types differ: look at each
+            footers = _parquet_footers(batch_todo.where(F.col("ext") == "parquet"), cols).checkpoint()
+            unreadable = footers.where("error_message IS NOT NULL").select("_src", "error_message")
+            kinds: dict[str, list[str]] = {}
+            for kind, key in footers.where("error_message IS NULL").select("kind", "file_key").collect():  # bounded by the batch
+                kinds.setdefault(kind, []).append(key)
+            parts += [_read_text_columns(spark, "parquet", kinds[k], cols, merge=False) for k in sorted(kinds)]
     if not parts:  # only unreadable files in this batch
         schema = T.StructType([T.StructField("_src", T.StringType())]
                               + [T.StructField(c, T.StringType()) for c in cols]

@@ -4,9 +4,11 @@
   rows. Ids continue the bronze maximum in (mtime, path) order and are tied to
   the micro-batch id, so a replayed batch rewrites the same ids into the same
   ``batch_id=`` folder instead of appending twice.
-* ``flatten_stream``: bronze -> mart with the exactly-once Parquet file sink;
+* ``flatten_stream``: bronze -> mart, one ``writer=`` partition per micro-batch;
   stateless and narrow. Started on an empty checkpoint it also back-fills
-  everything already staged (``availableNow``).
+  everything already staged (``availableNow``). Snapshots a batch job has put
+  into the same mart are left out, and a finished micro-batch that is replayed
+  is left alone.
 * ``hourly_stream``: airborne reports -> one row per (country, hour) emitted
   once, after the watermark passes the hour. ``count(distinct)`` is not
   allowed on a stream, so two chained stateful aggregations do it exactly:
@@ -21,6 +23,8 @@ processing-time interval such as ``"300 seconds"`` (the polling cadence).
 
 from __future__ import annotations
 
+from hashlib import md5
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
@@ -29,7 +33,7 @@ from contrail import schemas
 from contrail.functions.casts import exact_part, mean_of, other_part, round_ch
 from contrail.functions.ids import dense_ids
 from contrail.functions.time import instant_to_ntz, ntz_to_instant
-from contrail.operators.backfill import MART_STORED
+from contrail.operators.backfill import BATCH_WRITER, MART_STORED, not_in_mart, write_mart_batch
 from contrail.operators.flatten import flatten
 from contrail.sources import fs, sinks
 from contrail.sources.bronze import BRONZE_STORED, payload_time
@@ -104,9 +108,20 @@ def flatten_stream(spark: SparkSession, bronze_root: str, mart_root: str, checkp
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     bronze = reader.parquet(bronze_root)
-    mart = flatten(bronze, **flatten_opts).withColumn("upload_date", F.to_date("uploaded_at"))
-    w = (mart.writeStream.format("parquet").option("path", mart_root)
-         .option("checkpointLocation", checkpoint).partitionBy("upload_date").outputMode("append"))
+    # The checkpoint names the stream: its restarts keep the names of its batches.
+    stream = md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        done = f"{mart_root}/_batches/{stream}-{batch_id}"
+        if fs.exists(spark, done):
+            return
+        todo = batch.select("load_id", "ingest_time", "data")
+        if fs.exists(spark, mart_root):
+            todo = not_in_mart(todo, mart_root, BATCH_WRITER)
+        write_mart_batch(flatten(todo, **flatten_opts), mart_root, f"{stream}-{batch_id}")
+        fs.touch(spark, done)
+
+    w = bronze.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return run_trigger(w, trigger).start()
 
 
