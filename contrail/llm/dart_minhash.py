@@ -13,8 +13,8 @@ and is doubled while a coordinate is still empty.
 The join works on distinct texts. Band keys group likely pairs; each group
 is compared with a few pivots of its own, whatever its size, and pairs are
 checked on the exact shingle sets. Members of a group that are then still in
-different components are compared in blocks, so no link between two members
-of a group is missed; only candidate pairs leave a block. Nothing but counts
+different components are compared in cells, so no two components that a link
+within a group joins stay apart; only links leave a cell. Nothing but counts
 reaches the driver.
 
 Defined results: texts are equal or compared by the sets of their five-word
@@ -41,6 +41,7 @@ BANDS = 32
 SIMILARITY = 0.8
 PIVOTS = 4
 BLOCK = 512
+BLOCK_BYTES = 4 << 20
 # A pair of similarity 0.8 agrees in under 0.64 of 128 coordinates about once in 100,000 pairs (4.5 deviations).
 LIKELY = 0.64
 PIECE_BYTES = 1 << 20
@@ -118,7 +119,7 @@ def _sign(piece) -> dict:
     some = np.bincount(owner, minlength=len(texts)) > 0
     keys = band_keys(sig)
     small = (sig & np.uint64(0xFF)).astype(np.uint8)
-    return {"doc": piece.column("doc"), "same": piece.column("same"),
+    return {"doc": piece.column("doc"), "same": piece.column("same"), "size": np.bincount(owner, minlength=len(texts)),
             "bands": [k.tolist() if s else [] for k, s in zip(keys, some)], "sig": [s.tobytes() for s in small]}
 
 
@@ -137,25 +138,31 @@ def _unpack(grams: bytes) -> np.ndarray:
     return raw.reshape(-1).view("<u8")
 
 
+def _alike(x: bytes, y: bytes) -> bool:
+    small, large = sorted((len(x), len(y)))
+    if small < SIMILARITY * large - 1e-9 or not large:
+        return False
+    shared = len(np.intersect1d(_unpack(x), _unpack(y), assume_unique=True))
+    return shared >= SIMILARITY * ((small + large) // 5 - shared) - 1e-9
+
+
 def _check(batches):
     for b in batches:
-        keep = []
-        for x, y in zip(b.column("ga").to_pylist(), b.column("gb").to_pylist()):
-            small, large = sorted((len(x), len(y)))
-            if small < SIMILARITY * large - 1e-9 or not large:
-                keep.append(False)
-                continue
-            shared = len(np.intersect1d(_unpack(x), _unpack(y), assume_unique=True))
-            keep.append(shared >= SIMILARITY * ((small + large) // 5 - shared) - 1e-9)
+        keep = [_alike(x, y) for x, y in zip(b.column("ga").to_pylist(), b.column("gb").to_pylist())]
         yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _sets_of(texts: DataFrame, need: DataFrame) -> DataFrame:
+    """Shingle sets of the documents of ``need``, a stored table: Spark sees its size and broadcasts it only when small."""
+    return map_pieces(texts.join(need, "doc", "left_semi"), _sets, "doc long, grams binary", max_bytes=PIECE_BYTES)
+
+
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose exact similarity reaches the threshold.
 
     The sets are dealt by document once; both joins read that one shuffle.
     """
-    sets = map_pieces(texts, _sets, "doc long, grams binary", max_bytes=PIECE_BYTES)
+    sets = _sets_of(texts, stored(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "paired"))
     first = pairs.join(sets.select(F.col("doc").alias("b"), F.col("grams").alias("gb")), "b")
     both = first.join(sets.select(F.col("doc").alias("a"), F.col("grams").alias("ga")), "a")
     return both.select("a", "b", "ga", "gb").mapInArrow(_check, "a long, b long")
@@ -183,49 +190,65 @@ def _agree(pairs: DataFrame, sig: DataFrame) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(likely, "a long, b long")
 
 
-def _rest_pairs(bands: DataFrame, lone: DataFrame, comp: DataFrame) -> DataFrame:
-    """Candidate pairs between members of one band group that are in different components.
+def _rest_links(bands: DataFrame, lone: DataFrame, comp: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between members of one band group that are in different components.
 
     A group's largest component stays as it is; every other member is held
-    against the whole group. Members are packed in blocks of ``BLOCK`` and
-    blocks of a group are matched, so a group of any size spreads over tasks
-    and only pairs that pass the signature test come out, each in the first
-    of the bands it shares.
+    against the whole group, in the first of the bands a pair shares. A group
+    is cut into cells of about ``BLOCK`` members or ``BLOCK_BYTES`` of shingles
+    a side, so one of any size spreads over tasks. A cell checks the exact sets
+    of the pairs whose signatures agree and gives a link only where it joins
+    two components, so it gives fewer links than it has members.
     """
     member = (bands.join(comp, "doc", "left")
-              .select("key", "doc", F.coalesce("root", "doc").alias("root")))
-    per_root = member.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+              .select("key", "doc", "size", F.coalesce("root", "doc").alias("root")))
+    per_root = member.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("bytes") / BLOCK_BYTES))
     mixed = (per_root.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("n", "root")).alias("main"),
-                                         F.sum("n").alias("members"))
-             .where(f"roots > 1 AND members > {2}"))
-    rows = (member.join(mixed, "key").join(lone.dropDuplicates(["doc"]), "doc")
-            .withColumn("odd", F.col("root") != F.col("main"))
-            .withColumn("spot", F.pmod(F.xxhash64("doc"), F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)))))
-    cell = F.struct("doc", "root", "sig", "bands")
-    whole = rows.groupBy("key", "spot").agg(F.collect_list(cell).alias("all"))
-    odd = rows.where("odd").groupBy("key", "spot").agg(F.collect_list(cell).alias("odd"))
-    met = whole.select("key", "all").join(odd.select("key", "odd"), "key")
-
-    def compare(batches):
-        def arrays(cells):
-            shown = np.frombuffer(b"".join(c["sig"] for c in cells), np.uint8).reshape(len(cells), -1)
-            return np.array([c["doc"] for c in cells]), np.array([c["root"] for c in cells]), shown, np.array([c["bands"] for c in cells])
-        for b in batches:
-            for i in range(b.num_rows):
-                key = b.column("key")[i].as_py()
-                d1, r1, s1, b1 = arrays(b.column("odd")[i].as_py())
-                d2, r2, s2, b2 = arrays(b.column("all")[i].as_py())
-                x, y = [], []
-                for j in range(len(d1)):
-                    hit = np.flatnonzero(r2 != r1[j])
-                    hit = hit[(s2[hit] == s1[j]).mean(axis=1) >= LIKELY]
-                    band = int((b1[j] == key).argmax())
-                    hit = hit[~(b2[hit, :band] == b1[j, :band]).any(axis=1)]
-                    x += [d1[j]] * len(hit)
-                    y += d2[hit].tolist()
-                if x:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64())], ["a", "b"])
-    return met.select("key", "odd", "all").mapInArrow(compare, "a long, b long").distinct()
+                                         F.sum("n").alias("members"), F.max("n").alias("most"), (F.sum("size") * 5).alias("bytes"))
+             .where("roots > 1 AND members > 2").withColumn("blocks", blocks)
+             .withColumn("odd_blocks", F.ceil(F.col("blocks") * (F.col("members") - F.col("most")) / F.col("members")))
+             .select("key", "main", "blocks", "odd_blocks"))
+    found = stored(member.join(mixed, "key").withColumn("odd", F.expr("root <> main"))
+                   .select("key", "doc", "root", "odd", "blocks", "odd_blocks"), "mixed")
+    need = stored(found.select("doc").distinct(), "mixed-docs")
+    held = lone.dropDuplicates(["doc"]).select("doc", "sig", "bands").join(_sets_of(texts, need), "doc")
+    rows = found.join(held, "doc")
+    carried = ["odd", "doc", "root", "sig", "bands", "grams"]
+    whole = rows.select("key", F.pmod(F.xxhash64("doc"), "blocks").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("odd_blocks") - 1)).alias("j"),
+                        F.lit(False).alias("asks"), *carried)
+    asking = rows.where("odd").select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("i"),
+                                      F.pmod(F.xxhash64("doc", F.lit(1)), "odd_blocks").alias("j"), F.lit(True).alias("asks"), *carried)
+    return whole.union(asking).groupBy("key", "i", "j").applyInArrow(_join_cell, "a long, b long")
+
+
+def _join_cell(cell: pa.Table) -> pa.Table:
+    """Links that join components among a cell's rows: those that ask against the others."""
+    asks, odd, doc, root = (cell.column(c).to_numpy() for c in ("asks", "odd", "doc", "root"))
+    mine, others = np.flatnonzero(asks), np.flatnonzero(~asks)
+    links: list[tuple[int, int]] = []
+    if len(mine) and len(others):
+        sig = np.frombuffer(b"".join(cell.column("sig").to_pylist()), np.uint8).reshape(len(doc), -1)
+        bands = cell.column("bands").combine_chunks().flatten().to_numpy().reshape(len(doc), -1)
+        band = int((bands[0] == cell.column("key")[0].as_py()).argmax())
+        grams = cell.column("grams")
+        above: dict[int, int] = {}
+
+        def top(r: int) -> int:
+            while r in above:
+                r = above[r]
+            return r
+        for x in mine:
+            # Two members outside the largest component meet twice; the smaller id asks.
+            hit = others[(root[others] != root[x]) & (~odd[others] | (doc[others] > doc[x]))]
+            hit = hit[(sig[hit] == sig[x]).mean(axis=1) >= LIKELY]
+            hit = hit[~(bands[hit, :band] == bands[x, :band]).any(axis=1)]
+            for y in hit:
+                r, q = top(root[x]), top(root[y])
+                if r != q and _alike(grams[int(x)].as_py(), grams[int(y)].as_py()):
+                    above[r] = q
+                    links.append((min(doc[x], doc[y]), max(doc[x], doc[y])))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -234,21 +257,20 @@ def classes(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
     known = rows.where("text IS NOT NULL AND doc IS NOT NULL")
     same: Column = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
-    signed = stored(map_pieces(known.withColumn("same", same), _sign, "doc long, same binary, bands array<bigint>, sig binary",
+    signed = stored(map_pieces(known.withColumn("same", same), _sign, "doc long, same binary, size long, bands array<bigint>, sig binary",
                                max_bytes=PIECE_BYTES), "darts")
     first = stored(signed.groupBy("same").agg(F.min("doc").alias("first")), "first")
     # One row per distinct text: the signature of its first document. The hash decides which of an id's texts it is.
     lone = signed.join(first.withColumnRenamed("first", "doc"), ["doc", "same"]).dropDuplicates(["doc", "same"])
-    lone = lone.select("doc", "bands", "sig")
-    bands = lone.select("doc", F.explode("bands").alias("key"))
+    lone = lone.select("doc", "size", "bands", "sig")
+    bands = lone.select("doc", "size", F.explode("bands").alias("key"))
     sig = lone.select("doc", "sig").dropDuplicates(["doc"])
     texts = known.select("doc", "text")
     likely = stored(_agree(_star_pairs(bands), sig), "pairs")
     links = stored(_links(likely, texts).distinct(), "links")
     comp = components(links)
-    rest = stored(_rest_pairs(bands, lone, comp), "rest")
-    if not rest.isEmpty():
-        more = _links(rest, texts).distinct()
+    more = stored(_rest_links(bands, lone, comp, texts), "more")
+    if not more.isEmpty():
         comp = components(links.union(more))
     copies = signed.join(first, "same").groupBy("doc").agg(F.min("first").alias("copy_of"))
     named = (copies.join(comp.select(F.col("doc").alias("copy_of"), "root"), "copy_of", "left")

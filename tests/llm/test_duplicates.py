@@ -137,6 +137,24 @@ def test_chains_of_near_copies(spark):
     assert {r["doc_id"]: r["class_id"] for r in got.collect()} == want
 
 
+def test_group_in_many_cells(spark, monkeypatch):
+    """A group whose members are about as alike as the threshold, cut into cells of a few members."""
+    monkeypatch.setattr(dart_minhash, "BLOCK", 4)
+    monkeypatch.setattr(dart_minhash, "PIVOTS", 1)
+    rng = random.Random(17)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(60):
+        words = base[:]
+        for _ in range(rng.randrange(2, 7)):
+            words[rng.randrange(200)] = f"n{rng.random()}"
+        rows.append((i, " ".join(words)))
+    want = classes_by_brute_force(rows)
+    assert 2 < len(set(want.values())) < 60
+    got = dart_minhash.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert {r["doc_id"]: r["class_id"] for r in got.collect()} == want
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 100), (7, 7), (200, 3)]
     got = components(spark.createDataFrame(links, "a long, b long"))
