@@ -17,7 +17,9 @@ A byte goes when a ``WINDOW``-byte string over it also starts earlier
    only suffixes smaller than their successors are sorted directly, the rest
    is induced by bucket scans; adjacent common prefixes of ``WINDOW`` bytes
    or more give the classes of equal windows, and all but the earliest of a
-   class repeat.
+   class repeat. The bytes of every bucket are counted first: one of more than
+   ``BUCKET_BYTES`` is not sorted, its windows go one by one to the hash of
+   their bytes, again one per (task, window), and the earliest there stays.
 4. The repeats of a document are joined to its text and cut out.
 
 Hashes are of 64 bits. The texts are dealt by document once; both joins with
@@ -48,6 +50,7 @@ SIDE = 32  # bytes beyond the anchor, on one side, that a longer bucket key take
 PIECE_BYTES = 1 << 20
 HELD_RUNS = 1_000_000  # runs a task gathers before it files them
 SORT_BYTES = 1 << 20  # text of whole buckets sorted at once
+BUCKET_BYTES = 1 << 18  # text of one bucket that is sorted, at most
 PLACE_BITS = np.uint64(28)
 
 
@@ -137,18 +140,19 @@ def _repeats(h, c, doc, place, before, count):
     return new, (doc[later], lo[later], (lo + count - 1 + WINDOW)[later])
 
 
-def _file_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, n = [], 0
+def _firsts(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Of gathered (anchor hash, text hash, doc, packed) runs the first of each text (kind 0), the others as spans (kind 1)."""
+    h, c, doc, packed = (np.concatenate(x) for x in zip(*held))
+    place, before, count = _unpack(packed)
+    order = np.lexsort((place, doc, c, h))
+    h, c, doc, place, before, count = (x[order] for x in (h, c, doc, place, before, count))
+    new, spans = _repeats(h, c, doc, place, before, count)
+    yield from _spans(*spans)
+    yield from _batch(0, h[new], c[new], doc[new], _pack(place, before, count)[new])
 
-    def flush():
-        h, c, doc, packed = (np.concatenate(x) for x in zip(*held))
-        place, before, count = _unpack(packed)
-        order = np.lexsort((place, doc, c, h))
-        h, c, doc, place, before, count = (x[order] for x in (h, c, doc, place, before, count))
-        new, spans = _repeats(h, c, doc, place, before, count)
-        yield from _spans(*spans)
-        yield from _batch(0, h[new], c[new], doc[new], _pack(place, before, count)[new])
 
+def _file_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, n = [], 0
     for piece in pieces(batches, "text", PIECE_BYTES):
         docs = piece.column("doc").to_numpy(zero_copy_only=False)
         text, h, c, place, before, count = runs([t.encode() for t in piece.column("text").to_pylist()])
@@ -156,10 +160,10 @@ def _file_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append((h, c, docs[text], _pack(place, before, count)))
             n += len(h)
         if n >= HELD_RUNS:
-            yield from flush()
+            yield from _firsts(held)
             held, n = [], 0
     if held:
-        yield from flush()
+        yield from _firsts(held)
 
 
 def _meet_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,6 +390,25 @@ def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from flush(held)
 
 
+def _file_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every window of these texts as a run of its own, with its hash as anchor and its bucket's key as text."""
+    held, n = [], 0
+    for piece in pieces(batches, "body", PIECE_BYTES):
+        key, doc, start, windows = (piece.column(x).to_numpy(zero_copy_only=False) for x in ("key", "doc", "start", "n"))
+        data, begins = concat(piece.column("body").to_pylist())
+        which = np.repeat(np.arange(len(windows)), windows)
+        offset = np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
+        at = begins[which] + offset
+        h = Rolling(data).slices(at, at + WINDOW).view(np.int64)
+        held.append((h, key[which], doc[which], _pack(start[which] + offset, 0, 1)))
+        n += len(h)
+        if n >= HELD_RUNS:
+            yield from _firsts(held)
+            held, n = [], 0
+    if held:
+        yield from _firsts(held)
+
+
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
@@ -419,14 +442,20 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeats(by_doc: DataFrame) -> DataFrame:
     """(doc, spans) for documents that lose bytes, from (doc, text) rows with a non-null doc."""
-    filed = by_doc.mapInArrow(_file_runs, _ROW_SQL)
-    met = stored(filed.repartition("h").sortWithinPartitions("h", "c", "doc", "p").mapInArrow(_meet_runs, _ROW_SQL), "runs")
+    def meet(filed: DataFrame) -> DataFrame:
+        return filed.repartition("h").sortWithinPartitions("h", "c", "doc", "p").mapInArrow(_meet_runs, _ROW_SQL)
+
+    met = stored(meet(by_doc.mapInArrow(_file_runs, _ROW_SQL)), "runs")
     contested = met.where("kind = 0").groupBy("doc").agg(F.collect_list("p").alias("runs"))
     # The texts stand on the kept side of both joins, so that both read one shuffle of them.
-    cut = by_doc.join(contested, "doc", "left").select("doc", "text", "runs").mapInArrow(_cut_runs, _SLICE_SQL)
-    more = cut.repartition("key").sortWithinPartitions("key", "doc", "start").mapInArrow(_sort_buckets, _ROW_SQL)
-    known = met.where("kind = 1").select("doc", F.col("c").alias("lo"), F.col("p").alias("hi"))
-    found = known.union(more.select("doc", F.col("c").alias("lo"), F.col("p").alias("hi")))
+    cut = stored(by_doc.join(contested, "doc", "left").select("doc", "text", "runs").mapInArrow(_cut_runs, _SLICE_SQL), "slices")
+    # One key per BUCKET_BYTES of text at most, stored: Spark sees its size and broadcasts it while small.
+    large = stored(cut.groupBy("key").agg(F.sum(F.col("n") + F.lit(WINDOW - 1)).alias("bytes"))
+                   .where(F.col("bytes") > BUCKET_BYTES).select("key"), "large")
+    small = cut.join(large, "key", "left_anti").select(*_SLICE.names)
+    sorted_ = small.repartition("key").sortWithinPartitions("key", "doc", "start").mapInArrow(_sort_buckets, _ROW_SQL)
+    dealt = meet(cut.join(large, "key", "left_semi").select(*_SLICE.names).mapInArrow(_file_windows, _ROW_SQL))
+    found = met.union(sorted_).union(dealt).where("kind = 1").select("doc", F.col("c").alias("lo"), F.col("p").alias("hi"))
     return found.groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 

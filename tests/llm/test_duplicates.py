@@ -50,6 +50,29 @@ def test_substrings_with_shared_edges(spark):
     assert {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.report(df).collect()} == want
 
 
+def test_line_common_to_many_documents_is_not_sorted_in_one_task(spark, monkeypatch):
+    """A line just under a window's length in 3,000 different contexts, some of which go on alike."""
+    rng = random.Random(21)
+    line = "".join(rng.choice("xyz ") for _ in range(99))
+    ends = ["".join(rng.choice("abcd") for _ in range(40)) for _ in range(300)]
+    rows = [(i, "".join(rng.choice("efgh") for _ in range(rng.randrange(20))) + rng.choice(ends) + line + rng.choice(ends)
+             + "".join(rng.choice("mn") for _ in range(rng.randrange(20)))) for i in range(3000)]
+    sort, limit = suffix_dedup._sort_buckets, 1 << 18
+
+    def watched(batches):
+        def seen():
+            size = defaultdict(int)
+            for b in batches:
+                for key, body in zip(b.column("key").to_pylist(), b.column("body").to_pylist()):
+                    size[key] += len(body)
+                    assert size[key] <= limit, "a bucket of any size is sorted at once"
+                yield b
+        yield from sort(seen())
+    monkeypatch.setattr(suffix_dedup, "_sort_buckets", watched)
+    got = suffix_dedup.report(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))
+    assert {r["doc_id"]: tuple(r)[1:] for r in got.collect()} == cut_repeats(rows)
+
+
 def test_two_stage_order():
     rng = random.Random(3)
     for n, letters in ((1, b"a"), (60, b"a"), (500, b"ab"), (2000, b"abcdef")):
