@@ -88,6 +88,22 @@ def test_learned_partitions_are_balanced_and_recall_holds(spark):
     assert recall >= 0.9 and all(len(v) == 20 for v in got.values())
 
 
+def test_small_tables_are_partitioned_and_norms_count(spark):
+    rng = np.random.default_rng(8)
+    small = [(i, [float(a) for a in rng.normal(size=8)]) for i in range(500)]
+    df = spark.createDataFrame(small, "vec_id long, vec array<double>")
+    assert ann.fit(df, 500, 1.0).parts > 1 and ann.fit(df, 10 ** 6, 1.0).parts > ann.fit(df, 500, 1.0).parts
+    # A vector's best partners are the long ones, in its own cluster or not.
+    centres = rng.normal(size=(40, 16))
+    x = (centres[rng.integers(0, 40, 6000)] + 0.4 * rng.normal(size=(6000, 16))) * np.exp(1.2 * rng.normal(size=(6000, 1)))
+    for rows in (small, [(i, v.tolist()) for i, v in enumerate(x)]):
+        got = {}
+        for r in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+            got.setdefault(r["query_id"], set()).add(r["vec_id"])
+        recall = np.mean([len(got[q] & {v for v, _ in near}) / len(near) for q, near in exact(rows).items()])
+        assert recall >= (0.95 if len(rows) > 500 else 1)
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_pipeline_stages_keep_the_columns(spark, docs, none, empty, tmp_path):
     here = none if empty else docs
