@@ -40,7 +40,7 @@ STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("mask_p
           ("mix_sources", mix_sources), ("encode", encode)]
 
 # Rule accuracies, signatures, span parsing and token ids are not SQL's to express; tests hold
-# the pipeline against a brute-force version.
+# single operators against brute force, and of the pipeline its columns and ids only.
 ORACLE_SQL = None
 
 
