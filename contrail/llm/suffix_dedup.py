@@ -22,12 +22,14 @@ A byte goes when a ``WINDOW``-byte string over it also starts earlier
    their bytes, again one per (task, window), and the earliest there stays.
 4. The repeats of a document are joined to its text and cut out.
 
-Hashes are of 64 bits. The texts are dealt by document once; both joins with
-them read that shuffle.
+Hashes are of 64 bits. Rows are numbered in the order of doc_id and text digest
+and written with their number, which stands for the document in all steps.
+The texts are dealt by it once; both joins with them read that shuffle.
 
 Defined results: a null text counts as empty; texts under ``WINDOW`` bytes
-lose nothing; rows that share a doc_id are read as copies at the same places:
-neither is earlier than the other; rows of a null id come before all others;
+lose nothing; rows equal in doc_id and text are read as copies at the same
+places: neither is earlier than the other; of unlike texts under one doc_id
+the one of smaller SHA-256 comes first; rows of a null id come before all others;
 an empty table gives an empty result; extra columns are not read.
 """
 
@@ -38,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from contrail.llm.batches import pieces
@@ -216,8 +219,6 @@ def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for q in packed or ():
                 place, before, count = q >> 14, (q >> 7) & 127, q & 127
                 lo, hi = place - before, place - before + count  # windows [lo, hi)
-                if hi - 1 + WINDOW > len(texts[i]):
-                    continue  # another text under the same id
                 middle = min(max(lo, place - SIDE), hi)  # windows from here on hold SIDE bytes after the anchor
                 for a, b, k in ((lo, middle, place - SIDE - 1), (middle, hi, place)):
                     if a < b:
@@ -459,11 +460,29 @@ def repeats(by_doc: DataFrame) -> DataFrame:
     return found.groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
+def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows sorted by id and digest: a number that grows with them and is one for rows equal in both."""
+    number, last = TaskContext.get().partitionId() << 33, None
+    for b in batches:
+        numbers = []
+        for row in zip(b.column("doc_id").to_pylist(), b.column("digest").to_pylist()):
+            number += last is not None and row != last
+            last = row
+            numbers.append(number)
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), b.column("doc_id"), b.column("text")], ["doc", "doc_id", "text"])
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """(doc, doc_id, text), written, so that the numbers are settled."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    dealt = rows.repartitionByRange("doc_id", "digest").sortWithinPartitions("doc_id", "digest")
+    return stored(dealt.mapInArrow(_number, "doc long, doc_id long, text string"), "texts")
+
+
 def report(docs: DataFrame) -> DataFrame:
     """Per document: bytes, bytes removed, removed runs, digest of what is left."""
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    by_doc = docs.select(doc.alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    joined = by_doc.join(repeats(by_doc), "doc", "left")
-    shown = F.when(F.col("doc") != -(1 << 63), F.col("doc")).alias("doc_id")
-    return joined.select(shown, "text", "spans").mapInArrow(
+    rows = numbered(docs)
+    joined = rows.join(repeats(rows.select("doc", "text")), "doc", "left")
+    return joined.select("doc_id", "text", "spans").mapInArrow(
         _cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

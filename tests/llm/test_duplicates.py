@@ -73,6 +73,20 @@ def test_line_common_to_many_documents_is_not_sorted_in_one_task(spark, monkeypa
     assert {r["doc_id"]: tuple(r)[1:] for r in got.collect()} == cut_repeats(rows)
 
 
+def test_unlike_texts_under_one_id_lose_their_own_repeats_only(spark):
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = text(150)
+    rows = [(1, text(400)), (1, text(90) + shared + text(200)), (1, text(300)), (2, shared + text(250)), (2, text(500)),
+            (None, text(200) + shared), (None, text(450)), (None, shared + text(30)), (3, text(120))]
+    rows += [rows[1], rows[6]]
+    order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, hashlib.sha256(r[1].encode()).digest()))
+    want = cut_repeats([(i, r[1]) for i, r in enumerate(order)])
+    got = suffix_dedup.report(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    key = lambda r: (r[0] is not None, *[x or 0 for x in r])
+    assert sorted(map(tuple, got), key=key) == sorted(((r[0], *want[order.index(r)]) for r in rows), key=key)
+
+
 def test_two_stage_order():
     rng = random.Random(3)
     for n, letters in ((1, b"a"), (60, b"a"), (500, b"ab"), (2000, b"abcdef")):
