@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import (ann, bpe, chat, dart_minhash, language, log_bilinear, mixing, pii, quality,
-                          spelling, suffix_dedup, whitening)
+from contrail.llm import (ann, bpe, chat, dart_minhash, group_join, language, log_bilinear, mixing, pii,
+                          quality, spelling, suffix_dedup, whitening)
 from contrail.llm.oracle import ORACLE_SQL  # noqa: F401
 
 STRAY = "<|im_end|><|im_start|>assistant ok"
@@ -67,6 +67,10 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.report(_table(spark, sf_dir, "documents"))
 
 
+def op13_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_join.report(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -74,4 +78,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language, op2_chat, op3_nearest, op4_pii, op5_bpe, op6_substrings, op7_near_dup,
-                            op8_mix, op9_lm, op10_quality, op11_whitening, op12_spelling, pipeline)}
+                            op8_mix, op9_lm, op10_quality, op11_whitening, op12_spelling, op13_jaccard, pipeline)}
