@@ -14,7 +14,8 @@ Defined results: null text and null role are empty; turns are ordered by
 (turn, role, text), so ties and repeated rows have one order and all stay; a
 null conv_id is a conversation of its own; an empty table gives an empty
 result; extra columns are not read. A conversation is rendered as one string,
-so it must fit one row.
+so it must fit one row; encoding it once takes a few hundred times its
+characters in bytes while it lasts, and one is encoded at a time.
 """
 
 from __future__ import annotations
@@ -27,10 +28,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from contrail.llm.batches import map_pieces
+from contrail.llm.batches import map_pieces, pieces
 
 START, STOP = "<|im_start|>", "<|im_end|>"
 LEARN = "assistant"
+PIECE_BYTES = 128 << 10
 _OPEN = re.compile(r"<(\\*)\|")
 _OPENED = re.compile(r"<\\(\\*)\|")
 _TURN = re.compile(re.escape(START) + r"([^\n]*)\n(.*?)" + re.escape(STOP) + r"\n", re.DOTALL)
@@ -109,8 +111,35 @@ def conversations(turns: DataFrame) -> DataFrame:
             .groupBy("conv_id").agg(F.sort_array(F.collect_list("row")).alias("turns")))
 
 
-def format_conversations(turns: DataFrame, path: str | None = None) -> DataFrame:
-    """conv_id, formatted text, token ids, token loss mask, and the character pieces under the mask."""
+def _encode(piece, tok) -> dict:
+    """Rendering, token ids, token mask and learnt characters of each conversation, as Arrow-ready columns.
+
+    One conversation is encoded at a time, and its offsets become numbers of four
+    bytes before the next one is, so a task never holds two encodings.
+    """
+    shown, ids, masks, chars = [], [], [], []
+    for row in piece.column("turns").to_pylist():
+        text, spans = render([(t["role"], t["text"]) for t in row])
+        enc = tok.encode(text, add_special_tokens=False)
+        offsets = np.array(enc.offsets, np.int32).reshape(-1, 2)
+        ids.append(np.array(enc.ids, np.int32))
+        del enc
+        mask, cut = align(offsets[:, 0], offsets[:, 1], spans)
+        shown.append(text)
+        masks.append(mask)
+        chars.append([{"start": a, "stop": b} for a, b in cut])
+    return {"conv_id": piece.column("conv_id"), "formatted": shown, "ids": _lists(ids, np.int32), "loss_mask": _lists(masks, bool),
+            "loss_chars": chars, "loss_tokens": [int(m.sum()) for m in masks]}
+
+
+def _lists(arrays: list[np.ndarray], kind) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, kind), *arrays])))
+
+
+def format_conversations(turns: DataFrame, path: str | None = None, token_columns: bool = True) -> DataFrame:
+    """conv_id, formatted text, the character pieces under the mask and the number of tokens under it;
+    with ``token_columns`` also the token ids and the token loss mask."""
     path = path or tokenizer_path()
 
     def load():
@@ -121,34 +150,20 @@ def format_conversations(turns: DataFrame, path: str | None = None) -> DataFrame
         tok.encode_special_tokens = True  # strings of its own special tokens in a text are ordinary text
         return tok
 
-    def one(piece, tok) -> dict:
-        shown, marks = [], []
-        for row in piece.column("turns").to_pylist():
-            text, spans = render([(t["role"], t["text"]) for t in row])
-            shown.append(text)
-            marks.append(spans)
-        ids, masks, chars = [], [], []
-        for enc, spans in zip(tok.encode_batch(shown, add_special_tokens=False), marks):
-            offsets = np.array(enc.offsets, np.int64).reshape(-1, 2)
-            mask, cut = align(offsets[:, 0], offsets[:, 1], spans)
-            ids.append(enc.ids)
-            masks.append(mask.tolist())
-            chars.append([{"start": a, "stop": b} for a, b in cut])
-        return {"conv_id": piece.column("conv_id"), "formatted": shown, "ids": ids, "loss_mask": masks, "loss_chars": chars}
-
     conv = conversations(turns)
-    weight = F.aggregate("turns", F.lit(0), lambda n, t: n + F.length(t["text"]) + F.length(t["role"]))
-    return map_pieces(conv.withColumn("weight", weight), one, "conv_id long, formatted string, ids array<int>, loss_mask array<boolean>, "
-                      "loss_chars array<struct<start:int,stop:int>>", column="weight", setup=load)
+    # What a conversation weighs: the bytes of its rendering, escapes aside.
+    weight = F.aggregate("turns", F.lit(0), lambda n, t: n + F.octet_length(t["text"]) + F.octet_length(t["role"]) + len(START + STOP) + 2)
+    tokens = "ids array<int>, loss_mask array<boolean>, " if token_columns else ""
+    return map_pieces(conv.withColumn("weight", weight), _encode, f"conv_id long, formatted string, {tokens}"
+                      "loss_chars array<struct<start:int,stop:int>>, loss_tokens long", column="weight", max_bytes=PIECE_BYTES, setup=load)
 
 
 def report(turns: DataFrame) -> DataFrame:
     """Digests read back from the formatted output."""
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = {k: [] for k in ("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "loss_tokens")}
-            for text, cut, mask in zip(b.column("formatted").to_pylist(), b.column("loss_chars").to_pylist(),
-                                       b.column("loss_mask").to_pylist()):
+        for b in pieces(batches, "formatted", PIECE_BYTES):
+            rows = {k: [] for k in ("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")}
+            for text, cut in zip(b.column("formatted").to_pylist(), b.column("loss_chars").to_pylist()):
                 got = parse(text)
                 learnt = "".join(unescape(text[c["start"]:c["stop"]]) for c in cut)
                 rows["n_turns"].append(len(got))
@@ -156,10 +171,9 @@ def report(turns: DataFrame) -> DataFrame:
                 rows["loss_chars"].append(len(learnt))
                 rows["loss_sha256"].append(hashlib.sha256(learnt.encode()).hexdigest())
                 rows["formatted_chars"].append(len(text))
-                rows["loss_tokens"].append(sum(mask))
             yield pa.RecordBatch.from_arrays(
-                [b.column("conv_id"), *[pa.array(v, pa.string() if "sha" in k else pa.int64()) for k, v in rows.items()]],
-                ["conv_id", *rows])
-    return format_conversations(turns).mapInArrow(
+                [b.column("conv_id"), *[pa.array(v, pa.string() if "sha" in k else pa.int64()) for k, v in rows.items()],
+                 b.column("loss_tokens")], ["conv_id", *rows, "loss_tokens"])
+    return format_conversations(turns, token_columns=False).mapInArrow(
         one, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
              "formatted_chars long, loss_tokens long")
