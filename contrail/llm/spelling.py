@@ -6,9 +6,12 @@ edit touches at most two overlapping bigrams, so of two disjoint bigrams of a
 word one is left in any word an edit away, at the same place or one beside it.
 Dynamic programming picks, of the prefix, the two disjoint bigrams that are
 rarest together: the pivots. Of two near words, the one whose prefix ends first
-in the order has a pivot in the other's prefix. So pivots are joined with
-prefixes by (bigram, length, place): the five places an edit allows. Pairs are
-then verified. A cell of the join with very many words is dealt in parts.
+in the order has a pivot in the other's prefix. An edit behind the first pivot
+leaves the word up to it as it is, any other leaves the word from the second
+pivot on; a length that grew or shrank moves that end by one. So pivots are
+joined with prefixes by (bigram, length, place, hash of the side left as it is),
+for the six places that edits allow, and pairs are verified. A cell of the join
+with very many words is dealt in parts.
 
 Words are counted with built-in functions; the order of bigrams holds at most
 90 x 90 of them (a to z and 64 letters above). Hot words are summed before the
@@ -23,6 +26,7 @@ gives an empty result; extra columns are not read.
 from __future__ import annotations
 
 import string
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -35,7 +39,7 @@ LEAST_LENGTH = 5
 LEAST_COUNT = 3
 PREFIX = 3
 CELL = 4096
-CELL_KEY = ["gram", "length", "place"]
+CELL_KEY = ["gram", "length", "place", "side"]
 
 
 def runs(docs: DataFrame) -> DataFrame:
@@ -93,32 +97,46 @@ def pivots(grams: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     return [(by_place[k][2], by_place[k][0]) for k in (two[1:] if two else ())]
 
 
+def _sides(word: str, places: list[int]) -> dict[int, tuple[int, int]]:
+    """{place of a bigram: numbers for what stands before and after it}; the two kinds never agree."""
+    out = {at: [0, 0] for at in places}
+    for back, text in ((0, word), (1, word[::-1])):
+        at, crc = 0, 0
+        for place in sorted(places, reverse=bool(back)):
+            end = len(word) - place - 2 if back else place
+            crc, at = zlib.crc32(text[at:end].encode(), crc), end
+            out[place][back] = crc << 1 | back
+    return {at: tuple(v) for at, v in out.items()}
+
+
 def _entries(words: DataFrame, order: dict[str, tuple[int, int]]) -> DataFrame:
-    """(word, n, last, asks, gram, length, place): prefix entries, and the places where pivots may be found."""
+    """(word, n, asks, last, gram, length, place, side): prefix entries, and the places where pivots may be found."""
     def run(batches):
         for b in batches:
-            out = {k: [] for k in ("of", "asks", "gram", "length", "place", "last")}
+            out = {k: [] for k in ("of", "asks", "last", *CELL_KEY)}
 
-            def put(of, asks, gram, length, place, last):
-                for k, v in zip(out.values(), (of, asks, gram, length, place, last)):
+            def put(*entry):
+                for k, v in zip(out.values(), entry):
                     k.append(v)
 
             for i, word in enumerate(b.column("word").to_pylist()):
                 size, grams = len(word), prefix(word, order)
                 last = max(rank for rank, _, _ in grams)
+                sides = _sides(word, [at for _, at, _ in grams])
                 for rank, at, _ in grams:
-                    put(i, False, rank, size, at, last)
-                for rank, at in pivots(grams):
-                    for grown, moved in ((0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1)):
-                        if 0 <= at + moved <= size + grown - 2:
-                            put(i, True, rank, size + grown, at + moved, last)
+                    for side in sides[at]:
+                        put(i, False, last, rank, size, at, side)
+                (first, p), (second, q) = pivots(grams)
+                for grown in (-1, 0, 1):
+                    put(i, True, last, first, size + grown, p, sides[p][0])
+                    put(i, True, last, second, size + grown, q + grown, sides[q][1])
             at = pa.array(out["of"], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [b.column("word").take(at), b.column("n").take(at), pa.array(out["asks"], pa.bool_()),
-                 *[pa.array(out[k], pa.int32()) for k in ("last", *CELL_KEY)]],
+                 *[pa.array(out[k], pa.int32()) for k in ("last", "gram", "length", "place")], pa.array(out["side"], pa.int64())],
                 ["word", "n", "asks", "last", *CELL_KEY])
     return words.select("word", "n").mapInArrow(
-        run, "word string, n long, asks boolean, last int, gram int, length int, place int")
+        run, "word string, n long, asks boolean, last int, gram int, length int, place int, side long")
 
 
 def near_pairs(words: DataFrame, cell: int = CELL) -> DataFrame:
@@ -161,7 +179,7 @@ def roots(forms: DataFrame) -> DataFrame:
 
 def variants(words: DataFrame) -> DataFrame:
     """word, form, root, n, n_near, form_n of (word, n) rows."""
-    pairs = near_pairs(words)
+    pairs = stored(near_pairs(words), "spelling-pairs")
     both = (pairs.select(F.col("a").alias("word"), F.col("b").alias("near"), F.col("nb").alias("near_n"))
             .union(pairs.select("b", "a", "na")))
     best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"),
