@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -26,6 +28,53 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly under ``path`` (empty if absent)."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small UTF-8 file as one string."""
+    p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_whole(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file that appears complete or not at all; False if the name is taken."""
+    jvm = spark.sparkContext._jvm
+    p, fs = _fs(spark, path)
+    draft = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.NONE
+    try:
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            fs.makeQualified(p).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        context.rename(fs.makeQualified(draft), fs.makeQualified(p), options)
+        return True
+    except Py4JJavaError as e:
+        fs.delete(draft, False)
+        if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+            return False
+        raise
+
+
+def resolved(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme, mount points followed, as Python's file systems name it."""
+    p, fs = _fs(spark, path)
+    return (fs.resolvePath(p) if fs.exists(p) else fs.makeQualified(p)).toString()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` (a folder this package wrote)."""
     p, fs = _fs(spark, path)

@@ -15,6 +15,8 @@ from contrail.plans import catalog
 from contrail.sources import bronze as br
 from contrail.sources import ingest as ig
 from contrail.sources.bronze import payload_time
+from contrail.sources.csv_blocks import read_csv
+from contrail.sources.ingest import list_files
 from tests.conftest import SF_SMALL, sorted_rows
 
 
@@ -45,7 +47,7 @@ def test_csv_goes_by_each_files_header(spark, tmp_path):
     (tmp_path / "2.csv").write_text('b,a\nB2,"say ""hi"" now"\n')
     (tmp_path / "3.csv").write_text('a,junk\n"two\nlines",J\n')
     (tmp_path / "4.csv").write_text('')
-    got = ig._read_csv(spark, [str(p) for p in sorted(tmp_path.iterdir())], ["a", "b"]).select("a", "b").collect()
+    got = read_csv(list_files(spark, str(tmp_path)), ["a", "b"]).select("a", "b").collect()
     assert sorted(map(tuple, got), key=str) == sorted(
         [("A1", "B1"), ('say "hi" now', "B2"), ("two\nlines", None)], key=str)
 
@@ -91,7 +93,7 @@ def test_ingest_glob_names_and_parquet_type_conflicts(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.LongType())])
     got = ig.ingest_files(spark, "t", schema, "id", str(land), f"{tmp_path}/t", f"{tmp_path}/ledger").first()
     assert tuple(got) == (5, 0, 2)
-    assert sorted(r[0] for r in spark.read.parquet(f"{tmp_path}/t").collect()) == [1, 2, 3, 4, 5]
+    assert sorted(r[0] for r in ig.read_target(spark, f"{tmp_path}/t", f"{tmp_path}/ledger", schema).collect()) == [1, 2, 3, 4, 5]
     state = {r["file_key"].rsplit("/", 1)[1]: r["status"] for r in ig.read_ledger(spark, f"{tmp_path}/ledger").collect()}
     assert state["r.parquet"] == state["s.parquet"] == "FAILED"
 

@@ -56,10 +56,10 @@ def test_ingest_runs(spark, tmp_dir):
     p1, s1, f1 = run()
     n_orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
     assert (s1, f1) == (0, 1) and p1 == 4  # 1 group per split at sf0.001
-    assert spark.read.parquet(target).count() == n_orders
+    assert ig.read_target(spark, target, ledger, ORDERS_TARGET).count() == n_orders
     p2, s2, f2 = run()
     assert (p2, s2, f2) == (0, 4, 1)
-    assert spark.read.parquet(target).count() == n_orders  # nothing appended twice
+    assert ig.read_target(spark, target, ledger, ORDERS_TARGET).count() == n_orders  # nothing appended twice
     time.sleep(1.1)
     fixtures.ingest_source_files(spark, SF_SMALL, src, rewrite=True)
     p3, s3, f3 = run()
@@ -115,7 +115,7 @@ def test_ingest_per_file_atomicity_and_md5_etag(spark, tmp_dir):
     run = lambda: ig.ingest_files(spark, "t", schema, "id,name", src, f"{tmp_dir}/t", f"{tmp_dir}/l",
                                   etag_mode="md5").first()
     assert tuple(run()) == (3, 0, 2)
-    got = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/t").collect())
+    got = sorted(tuple(r) for r in ig.read_target(spark, f"{tmp_dir}/t", f"{tmp_dir}/l", schema).collect())
     assert got == [(1, "a"), (2, "b"), (3, None), (6, "f"), (7, "g")]
     status = {r["file_key"].rsplit("/", 1)[1]: (r["status"], r["error_message"])
               for r in ig.read_ledger(spark, f"{tmp_dir}/l").collect()}
@@ -139,7 +139,7 @@ def test_file_names_needing_url_encoding(spark, tmp_dir):
     schema = T.StructType([T.StructField("id", T.LongType())])
     run = lambda: tuple(ig.ingest_files(spark, "t", schema, "id", src, f"{tmp_dir}/t", f"{tmp_dir}/l").first())
     assert run() == (3, 0, 1)
-    assert sorted(r[0] for r in spark.read.parquet(f"{tmp_dir}/t").collect()) == [1, 3, 4]
+    assert sorted(r[0] for r in ig.read_target(spark, f"{tmp_dir}/t", f"{tmp_dir}/l", schema).collect()) == [1, 3, 4]
     failed = [r.file_key for r in ig.read_ledger(spark, f"{tmp_dir}/l").where("status = 'FAILED'").collect()]
     assert len(failed) == 1 and failed[0].endswith("bad %20x.json")
     assert run() == (0, 3, 1)  # the bad file is retried, not skipped
@@ -166,7 +166,7 @@ def test_unreadable_parquet_fails_alone(spark, tmp_dir):
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
     got = ig.ingest_files(spark, "t", schema, "id,name", src, f"{tmp_dir}/t", f"{tmp_dir}/l").first()
     assert tuple(got) == (2, 0, 1)
-    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/t").collect()) == [(1, "a"), (2, "b"), (3, "c")]
+    assert sorted(tuple(r) for r in ig.read_target(spark, f"{tmp_dir}/t", f"{tmp_dir}/l", schema).collect()) == [(1, "a"), (2, "b"), (3, "c")]
     failed = ig.read_ledger(spark, f"{tmp_dir}/l").where("status = 'FAILED'").collect()
     assert len(failed) == 1 and failed[0].file_key.endswith("broken.parquet")
     assert failed[0].error_message.startswith("unreadable parquet file")
