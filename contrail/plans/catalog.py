@@ -7,9 +7,7 @@ real path: events -> snapshot JSON (bronze) -> flatten (silver) -> gold.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
-
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contrail import schemas
 from contrail import streaming as st
@@ -21,11 +19,10 @@ from contrail.operators import hourly as hr
 from contrail.operators import latest as lt
 from contrail.operators import runlog as rl
 from contrail.operators import serving as sv
-from contrail.plans import params as P
+from contrail.plans import ingestion, params as P
 from contrail.session import work_dir
 from contrail.sources import bronze as br
 from contrail.sources import fixtures
-from contrail.sources import ingest as ig
 from contrail.sources import sinks
 from contrail.sources.tables import read_table
 from contrail.streaming.jobs import heartbeat_row, read_stream_bronze
@@ -268,95 +265,6 @@ def stream_latest(spark, sf_dir):
     return sinks.read_latest(spark, f"{root}/gold")
 
 
-# --- file ingestion -------------------------------------------------------
-
-INGEST_TARGET = "external_storage.orders_stage"
-ORDERS_TARGET = T.StructType([
-    T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
-    T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
-    T.StructField("o_orderdate", T.TimestampNTZType()), T.StructField("o_orderpriority", T.StringType()),
-])
-_RUN_TIMES = [datetime(2026, 1, 1, 0, 0, i) for i in range(3)]
-_SCENARIOS: dict[tuple, dict] = {}
-
-
-def _rel_key(col: str = "file_key"):
-    rel = F.regexp_extract(F.col(col), r"^.*/src/(.*)$", 1)  # after the last /src/
-    return F.regexp_replace(rel, r"part-[^/]+\.parquet$", "part.parquet")
-
-
-def _ingest_run(spark, sc, run: int) -> tuple:
-    before = spark.read.parquet(sc["target"]).count() if run else 0
-    summary = ig.ingest_files(spark, INGEST_TARGET, ORDERS_TARGET, ",".join(ORDERS_TARGET.names),
-                              sc["src"], sc["target"], sc["ledger"], now=_RUN_TIMES[run]).first()
-    after = spark.read.parquet(sc["target"]).count()
-    return (run + 1, summary[0], summary[1], summary[2], after - before)
-
-
-def _ingest_scenario(spark: SparkSession, sf_dir: str, runs: int = 3) -> dict:
-    """Run 1 loads; run 2 skips good files and retries the bad one; run 3
-    sees rewritten ndjson files (new etag) and appends them again."""
-    key = (spark.sparkContext.applicationId, sf_dir, runs)
-    if key in _SCENARIOS:
-        return _SCENARIOS[key]
-    root = work_dir(spark, "ingest")
-    sc = {"src": f"{root}/src", "target": f"{root}/target", "ledger": f"{root}/ledger", "runs": []}
-    fixtures.ingest_source_files(spark, sf_dir, sc["src"])
-    sc["runs"].append(_ingest_run(spark, sc, 0))
-    if runs > 1:
-        sc["runs"].append(_ingest_run(spark, sc, 1))
-        sc["skippable"] = (ig.list_files(spark, sc["src"]).withColumn("target_table", F.lit(INGEST_TARGET))
-                           .join(ig.current_ledger(ig.read_ledger(spark, sc["ledger"]))
-                                 .where(F.col("status") == ig.SUCCESS), ["target_table", "file_key", "etag"],
-                                 "left_semi")
-                           .select(_rel_key().alias("file_key")).checkpoint())
-    if runs > 2:
-        fixtures.ingest_source_files(spark, sf_dir, sc["src"], rewrite=True)
-        sc["runs"].append(_ingest_run(spark, sc, 2))
-    _SCENARIOS[key] = sc
-    return sc
-
-
-def ingest_listing(spark, sf_dir):
-    root = work_dir(spark, "ingest_listing")
-    fixtures.ingest_source_files(spark, sf_dir, f"{root}/src")
-    frames = [ig.list_files(spark, f"{root}/src", t).groupBy("ext").agg(F.count("*").alias("n_files"))
-              .select(F.lit(t).alias("file_type"), "ext", "n_files")
-              for t in ("all", "json", " .CSV", "parquet")]
-    out = frames[0]
-    for fr in frames[1:]:
-        out = out.unionByName(fr)
-    return out
-
-
-def ingest_formats(spark, sf_dir):
-    sc = _ingest_scenario(spark, sf_dir, runs=1)
-    return spark.read.schema(ORDERS_TARGET).parquet(sc["target"])
-
-
-def ingest_summary(spark, sf_dir):
-    sc = _ingest_scenario(spark, sf_dir)
-    return spark.createDataFrame(sc["runs"], "run int, files_processed int, files_skipped int, "
-                                             "files_failed int, rows_added long")
-
-
-def ingest_ledger_skip(spark, sf_dir):
-    return _ingest_scenario(spark, sf_dir)["skippable"]
-
-
-def ingest_failures(spark, sf_dir):
-    sc = _ingest_scenario(spark, sf_dir)
-    led = ig.read_ledger(spark, sc["ledger"]).where(F.col("status") == ig.FAILED)
-    return (led.groupBy(_rel_key().alias("file_key"), "error_message")
-            .agg(F.count("*").alias("n_attempts")))
-
-
-def ledger_current(spark, sf_dir):
-    sc = _ingest_scenario(spark, sf_dir)
-    cur = ig.current_ledger(ig.read_ledger(spark, sc["ledger"]))
-    return cur.groupBy(_rel_key().alias("file_key"), "status").agg(F.count("*").alias("n_etags"))
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_states": flatten_states,
     "flatten_strict": flatten_strict,
@@ -380,14 +288,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_no_dups": backfill_no_dups,
     "run_log_recent": run_log_recent,
     "alerts": alerts,
-    "ingest_listing": ingest_listing,
-    "ingest_formats": ingest_formats,
-    "ingest_summary": ingest_summary,
-    "ingest_ledger_skip": ingest_ledger_skip,
-    "ingest_failures": ingest_failures,
-    "ledger_current": ledger_current,
     "stream_bronze": stream_bronze,
     "stream_flatten": stream_flatten,
     "stream_hourly": stream_hourly,
     "stream_latest": stream_latest,
+    **ingestion.QUERIES,
 }

@@ -212,3 +212,85 @@ def ingest_source_files(spark: SparkSession, sf_dir: str, root: str, rewrite: bo
         pq = keyed.where(F.col("split") == 3)
         (pq.repartition("g").select(*ORDER_COLUMNS, "g").write.mode("overwrite")
          .partitionBy("g").parquet(f"{root.rstrip('/')}/parquet"))
+
+
+def csv_header_files(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """``orders`` as CSV files of three headers, by file group g = o_orderkey div ORDERS_PER_FILE.
+
+    g % 3 = 0: the columns in order; 1: reversed, with one more; 2: without
+    o_orderstatus. The priority holds a newline, quotes and a comma.
+    """
+    orders = read_table(spark, sf_dir, "orders", ORDER_COLUMNS)
+    note = F.concat(F.col("o_orderpriority"), F.lit('\n"'), F.col("o_orderstatus"), F.lit('", x'))
+    quoted = F.concat(F.lit('"'), F.replace(note, F.lit('"'), F.lit('""')), F.lit('"'))
+    text = {c: quoted if c == "o_orderpriority" else F.col(c).cast("string") for c in ORDER_COLUMNS}
+    headers = [ORDER_COLUMNS, [*reversed(ORDER_COLUMNS), "junk"], [c for c in ORDER_COLUMNS if c != "o_orderstatus"]]
+    line = lambda names: F.concat_ws(",", *[text.get(c, F.lit("j")) for c in names])
+    g = F.floor(F.col("o_orderkey") / ORDERS_PER_FILE)
+    pick = lambda values: F.when(F.col("g") % 3 == 0, values[0]).when(F.col("g") % 3 == 1, values[1]).otherwise(values[2])
+    rows = orders.withColumn("g", g).select("g", "o_orderkey", pick([line(h) for h in headers]).alias("line"))
+    files = rows.groupBy("g").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "line"))).alias("rows"))  # bounded groups
+    content = F.concat(pick([F.lit(",".join(h)) for h in headers]), F.lit("\n"),
+                       F.concat_ws("\n", F.transform("rows", lambda r: r["line"])), F.lit("\n"))
+    write_named_files(files.select(F.concat(F.lit(root.rstrip("/") + "/orders-"), F.col("g").cast("string"), F.lit(".csv")).alias("path"),
+                                   content.alias("content")))
+
+
+BROKEN_ORDERS_PER_FILE = 1_000
+
+
+def broken_files(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """``orders`` in small files, most of which cannot be loaded, by g = o_orderkey div BROKEN_ORDERS_PER_FILE.
+
+    g % 6: 0 good.parquet; 1 Parquet with destroyed pages behind a whole footer;
+    2 truncated Parquet; 3 good ndjson under a hidden name; 4 an empty json; 5 a
+    csv whose o_custkey is no number.
+    """
+    orders = read_table(spark, sf_dir, "orders", ORDER_COLUMNS)
+    to_fs, columns, top = _by_value(arrow_fs), list(ORDER_COLUMNS), root.rstrip("/")
+
+    def write(pdf):  # runs in Python workers: references nothing of this package
+        import io
+
+        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        g = int(pdf["g"].iloc[0])
+        pdf = pdf[columns].sort_values("o_orderkey")
+        sink = io.BytesIO()
+        pq.write_table(pa.Table.from_pandas(pdf, preserve_index=False), sink, coerce_timestamps="us")
+        data = bytearray(sink.getvalue())
+        kind = g % 6
+        if kind == 1:
+            column = pq.ParquetFile(io.BytesIO(bytes(data))).metadata.row_group(0).column(0)
+            start = column.dictionary_page_offset or column.data_page_offset
+            data[start:start + column.total_compressed_size] = b"\xff" * column.total_compressed_size
+        elif kind == 2:
+            data = data[:len(data) // 2]
+        elif kind == 3:
+            data = pdf.to_json(orient="records", lines=True, date_format="iso").encode()
+        elif kind == 4:
+            data = b""
+        elif kind == 5:
+            data = pdf.assign(o_custkey=pdf["o_custkey"].astype(str) + "x").to_csv(index=False).encode()
+        name = [f"good-{g}.parquet", f"damaged-{g}.parquet", f"cut-{g}.parquet", f"_hidden-{g}.ndjson", f"empty-{g}.json", f"bad-{g}.csv"][kind]
+        filesystem, path = to_fs(f"{top}/{name}")
+        filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+        with filesystem.open_output_stream(path) as out:
+            out.write(bytes(data))
+        return pd.DataFrame({"g": [g]})
+
+    keyed = orders.withColumn("g", F.floor(F.col("o_orderkey") / BROKEN_ORDERS_PER_FILE))
+    keyed.groupBy("g").applyInPandas(write, "g long").count()
+
+
+def order_documents(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """``orders`` as ndjson files of one text field, {"data": "<key>:<status>"}, by g = o_orderkey div ORDERS_PER_FILE."""
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus"])
+    line = F.to_json(F.struct(F.concat(F.col("o_orderkey").cast("string"), F.lit(":"), F.col("o_orderstatus")).alias("data")))
+    rows = orders.select(F.floor(F.col("o_orderkey") / ORDERS_PER_FILE).alias("g"), "o_orderkey", line.alias("line"))
+    files = rows.groupBy("g").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "line"))).alias("rows"))  # bounded groups
+    write_named_files(files.select(
+        F.concat(F.lit(root.rstrip("/") + "/orders-"), F.col("g").cast("string"), F.lit(".ndjson")).alias("path"),
+        F.concat(F.concat_ws("\n", F.transform("rows", lambda r: r["line"])), F.lit("\n")).alias("content")))

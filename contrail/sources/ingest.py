@@ -34,7 +34,7 @@ from __future__ import annotations
 import re
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from contrail import schemas
 from contrail.functions.casts import NUMBER_RE
@@ -71,16 +71,23 @@ def validate(target_table: str, columns: str | list[str]) -> list[str]:
     return wanted
 
 
+def is_table_name(name: Column) -> Column:
+    """``validate``'s rule for target tables, for a column of names."""
+    return name.rlike(TABLE_RE)
+
+
+def is_column_name(name: Column) -> Column:
+    return name.rlike(COLUMN_RE)
+
+
 def normalize_type(file_type: str) -> str:
     return file_type.lower().strip().lstrip(".")
 
 
-def _accepts(ext, requested: str):
-    if requested == "all":
-        return ext.isin(*FORMATS)
-    if requested == "json":
-        return ext.isin("json", "ndjson")
-    return ext.isin(*FORMATS) & (ext == requested)
+def takes(file_type: str, ext: str) -> bool:
+    """Whether files of extension ``ext`` are loaded for a requested type."""
+    requested = normalize_type(file_type)
+    return ext in FORMATS and (requested in ("all", ext) or (requested, ext) == ("json", "ndjson"))
 
 
 def list_files(spark: SparkSession, path: str, file_type: str = "all",
@@ -96,7 +103,7 @@ def list_files(spark: SparkSession, path: str, file_type: str = "all",
     else:
         etag = F.col("content_md5")
     out = found.select("file_key", ext.alias("ext"), "file_size", etag.alias("etag"))
-    return out.where(_accepts(F.col("ext"), normalize_type(file_type)))
+    return out.where(F.col("ext").isin([e for e in FORMATS if takes(file_type, e)]))
 
 
 def _published(spark: SparkSession, root: str, runs: list[str], schema: T.StructType) -> DataFrame:
@@ -186,7 +193,7 @@ def ingest_files(spark: SparkSession, target_table: str, target_schema: T.Struct
         raise ValueError(f"columns not in target schema: {missing}")
     if set((defaults or {}).values()) - {NOW, SERIAL}:
         raise ValueError(f"defaults are {NOW!r} or {SERIAL!r}")
-    load = _Load(spark, target_table, target_schema, cols, target_path, ledger_path,
+    load = Load(spark, target_table, target_schema, cols, target_path, ledger_path,
                  {c: d for c, d in (defaults or {}).items() if c not in cols},
                  now or datetime.now(timezone.utc).replace(tzinfo=None), csv_block_bytes)
     for last in range(TRIES):
@@ -229,7 +236,7 @@ def _parquet_footers(files: DataFrame, cols: list[str]) -> DataFrame:
         check, "file_key string, kind string, footer_rows long, error_message string")
 
 
-class _Load:
+class Load:
     """One call of ``ingest_files``: what it loads, and where to."""
 
     def __init__(self, spark, target_table, target_schema, cols, target_path, ledger_path, defaults, now,

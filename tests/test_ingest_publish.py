@@ -49,7 +49,7 @@ def test_stopped_run_leaves_nothing(spark, tmp_dir, monkeypatch):
             load(spark, tmp_dir)
     assert os.listdir(f"{tmp_dir}/t") and rows(spark, tmp_dir) == [] and state(spark, tmp_dir) == {}
     with monkeypatch.context() as m:
-        m.setattr(ig._Load, "_write_rows", stop)  # nothing but listings before
+        m.setattr(ig.Load, "_write_rows", stop)  # nothing but listings before
         with pytest.raises(RuntimeError):
             load(spark, tmp_dir)
     assert load(spark, tmp_dir) == (2, 0, 1)

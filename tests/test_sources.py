@@ -48,7 +48,7 @@ def test_ingest_validation():
 
 
 def test_ingest_runs(spark, tmp_dir):
-    from contrail.plans.catalog import ORDERS_TARGET
+    from contrail.plans.ingestion import ORDERS_TARGET
     src, target, ledger = f"{tmp_dir}/src", f"{tmp_dir}/target", f"{tmp_dir}/ledger"
     fixtures.ingest_source_files(spark, SF_SMALL, src)
     cols = ",".join(ORDERS_TARGET.names)
