@@ -17,9 +17,14 @@ heads. Similar documents are partitioned into groups:
 
 Pairs inside one component need no further check, so copies and near copies, be
 they a third of all rows, never meet all pairs. Of two components the documents
-of the smaller one ask the groups of the larger. Which tokens count as common
-changes the order, hence the work, but no result: it is counted over all
-documents, in tasks, and at most ``COMMON`` tokens are held so.
+of the smaller one ask the groups of the larger. Components found by opened
+groups are joined on a graph of components, not of documents.
+
+Tokens of ``COMMON_FROM`` components or more count as common; one document of
+each component is counted, exactly, by packed token lists. At most ``COMMON`` of
+them, the commonest, are held by every task. That changes the order, hence the
+work, but no result. Rows and tokens that a step needs are named to the tasks
+while they are at most ``FEW``, and joined beyond that.
 
 Defined results: only A to Z are lower-cased; fewer than five words are one
 shingle; null texts and texts without words have no shingles and link with
@@ -41,10 +46,11 @@ from contrail.llm.hashing import shingles
 from contrail.llm.store import stored
 
 PIECE_BYTES = 1 << 20
-COMMON = 1 << 18
-COMMON_FROM = 16
-SEEN = 3
+COMMON = 1 << 20
+COMMON_FROM = 8
+FEW = 1 << 20
 WINDOW = 1 << 21
+BUCKET_TOKENS = 1 << 22
 MEMBERS = 32
 MEMBER_BYTES = 4 << 20
 ASKING = 128
@@ -82,32 +88,78 @@ def _digest(text: str) -> Column:
     return F.unhex(F.md5(F.col(text).cast("binary")))
 
 
-def common_tokens(texts: DataFrame, limit: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted tokens, level): the commonest tokens; the level is the logarithm of the documents they are in.
+def firsts(texts: DataFrame) -> DataFrame:
+    """(row, n, first): each set's size and its least token."""
+    def one(piece) -> dict:
+        value, owner = _shingles(piece)
+        n = np.bincount(owner, minlength=piece.num_rows)
+        first = np.zeros(len(n), np.int64)
+        first[n > 0] = value[(np.cumsum(n) - n)[n > 0]].view(np.int64)  # tokens are sorted within a text
+        return {"row": piece.column("row"), "n": n, "first": pa.array(first, mask=n == 0)}
+    return stored(map_pieces(texts.select("row", "text"), one, "row long, n long, first long", max_bytes=PIECE_BYTES), "join-firsts")
+
+
+class Common:
+    """Common tokens by their first ``bits`` bits, sorted, with a level: the logarithm of their count."""
+
+    def __init__(self, bits: int, token: np.ndarray, level: np.ndarray) -> None:
+        order = np.argsort(token)
+        self.bits, self.token, self.level = bits, token[order], level[order]
 
-    Tasks count in windows of ``WINDOW`` tokens and pass on what occurs in at
-    least ``SEEN`` documents of one. Levels are taken from the top while all
-    tokens taken stay within ``limit``.
+    def levels(self, value: np.ndarray) -> np.ndarray:
+        if not len(self.token):
+            return np.zeros(len(value), np.int8)
+        cut = value >> np.uint64(64 - self.bits)
+        at = np.minimum(np.searchsorted(self.token, cut), len(self.token) - 1)
+        return np.where(self.token[at] == cut, self.level[at], 0).astype(np.int8)
+
+
+def common_tokens(texts: DataFrame, tokens: int, limit: int | None = None, bucket_tokens: int | None = None) -> Common:
+    """The commonest tokens of ``texts``, which hold about ``tokens`` in all.
+
+    The token space is cut into buckets of bounded size. Tasks send each bucket
+    the next 32 bits of their tokens with counts, packed; a bucket adds them up.
+    Tokens that agree so far count as one, which is as good for an order.
     """
-    def count(batches):
+    limit, low = limit or COMMON, COMMON_FROM
+    bucket_bits = max(1, (tokens // (bucket_tokens or BUCKET_TOKENS)).bit_length())
+    bits = bucket_bits + 32
+
+    def pack(batches):
         held: list[np.ndarray] = []
 
-        def counts():
-            token, n = np.unique(np.concatenate(held), return_counts=True)
-            many = n >= SEEN
-            return pa.RecordBatch.from_arrays([pa.array(token[many].view(np.int64)), pa.array(n[many], pa.int64())], ["token", "n"])
+        def packed():
+            token, n = np.unique(np.concatenate(held) >> np.uint64(64 - bits), return_counts=True)
+            bucket = token >> np.uint64(32)
+            cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+            token, n = token.astype("<u4"), np.minimum(n, 255).astype(np.uint8)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(bucket[cut[:-1]].astype(np.int64)), pa.array([token[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
+                 pa.array([n[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], ["bucket", "tokens", "counts"])
 
         for piece in pieces(batches, "text", PIECE_BYTES):
-            held.append(_shingles(piece)[0])
+            value = _shingles(piece)[0]
+            if len(value):
+                held.append(value)
             if sum(map(len, held)) >= WINDOW:
-                yield counts()
+                yield packed()
                 held.clear()
         if held:
-            yield counts()
-
-    level = F.floor(F.log2("n")).cast("int").alias("level")
-    found = stored(texts.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-                   .where(F.col("n") >= COMMON_FROM).select("token", level), "join-common")
+            yield packed()
+
+    def add(bucket: pa.Table) -> pa.Table:
+        token = np.frombuffer(b"".join(bucket.column("tokens").to_pylist()), "<u4")
+        n = np.frombuffer(b"".join(bucket.column("counts").to_pylist()), np.uint8)
+        order = np.argsort(token, kind="stable")
+        token, n = token[order], n[order].astype(np.int64)
+        start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        total = np.add.reduceat(n, start)
+        many = total >= low
+        base = np.int64(bucket.column("bucket")[0].as_py()) << 32
+        return pa.table({"token": pa.array(base + token[start][many].astype(np.int64)), "level": pa.array(np.log2(total[many]).astype(np.int32))})
+
+    found = stored(texts.select("text").mapInArrow(pack, "bucket long, tokens binary, counts binary")
+                   .groupBy("bucket").applyInArrow(add, "token long, level int"), "join-common")
     least, taken = None, 0
     for r in sorted(found.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):  # at most 64
         taken += r["n"]
@@ -115,38 +167,33 @@ def common_tokens(texts: DataFrame, limit: int = COMMON) -> tuple[np.ndarray, np
             break
         least = r["level"]
     if least is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int8)
+        return Common(bits, np.zeros(0, np.uint64), np.zeros(0, np.int8))
     rows = found.where(F.col("level") >= least).toArrow()
-    token, levels = rows.column("token").to_numpy().view(np.uint64), rows.column("level").to_numpy().astype(np.int8)
-    order = np.argsort(token)
-    return token[order], levels[order]
+    return Common(bits, rows.column("token").to_numpy().astype(np.uint64), rows.column("level").to_numpy().astype(np.int8))
 
 
-def heads(texts: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(row, n, first, head): each set's size and its first tokens in the global order (level, token)."""
+def heads(texts: DataFrame, common: Common) -> DataFrame:
+    """(row, n, head): each set's size and its first tokens in the global order (level, token)."""
     shared = texts.sparkSession.sparkContext.broadcast(common)  # at most COMMON tokens
 
     def run(batches):
-        token, levels = shared.value
         for piece in pieces(batches, "text", PIECE_BYTES):
             value, owner = _shingles(piece)
-            level = np.zeros(len(value), np.int8)
-            if len(token):
-                at = np.minimum(np.searchsorted(token, value), len(token) - 1)
-                level = np.where(token[at] == value, levels[at], 0)
-            order = np.lexsort((value, level, owner))
+            order = np.lexsort((value, shared.value.levels(value), owner))
             value = value[order].view(np.int64)
             n = np.bincount(owner, minlength=piece.num_rows)
             begins = np.cumsum(n) - n
             length = np.where(n > 0, head_length(n), 0)
             keep = np.arange(len(value)) - begins[owner] < length[owner]
             head = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(length)], pa.int32()), pa.array(value[keep]))
-            first = np.zeros(len(n), np.int64)
-            first[n > 0] = value[begins[n > 0]]
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("row"), pa.array(n, pa.int64()), pa.array(first, mask=n == 0), head], ["row", "n", "first", "head"])
+            yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array(n, pa.int64()), head], ["row", "n", "head"])
+
+    return texts.select("row", "text").mapInArrow(run, "row long, n long, head array<bigint>")
 
-    return stored(texts.select("row", "text").mapInArrow(run, "row long, n long, first long, head array<bigint>"), "join-heads")
+
+def _few(rows: DataFrame) -> DataFrame:
+    """``rows``, a stored table of one number a row, marked for broadcast while it holds at most ``FEW``."""
+    return F.broadcast(rows) if rows.count() <= FEW else rows
 
 
 def _sets(piece) -> dict:
@@ -156,8 +203,8 @@ def _sets(piece) -> dict:
 
 
 def _sets_of(texts: DataFrame, rows: DataFrame) -> DataFrame:
-    """(row, tokens) of the rows named; ``rows`` is a stored table, so Spark knows whether it is small."""
-    return map_pieces(texts.select("row", "text").join(rows, "row", "left_semi"), _sets, "row long, tokens binary", max_bytes=PIECE_BYTES)
+    """(row, tokens) of the rows named by ``rows``, a stored table."""
+    return map_pieces(texts.select("row", "text").join(_few(rows), "row", "left_semi"), _sets, "row long, tokens binary", max_bytes=PIECE_BYTES)
 
 
 def alike(x: np.ndarray, y: np.ndarray) -> bool:
@@ -177,7 +224,7 @@ def _pairs(found: list[tuple[int, int]]) -> pa.Table:
 
 
 def _within(block: pa.Table) -> pa.Table:
-    """Links between a block's rows, each joining two components of the block."""
+    """Each row of a block that is linked, with the smallest row of its component in the block."""
     block = block.sort_by("row")  # the smallest row, which all blocks of a key share, is held against the others first
     row, sets = block.column("row").to_pylist(), _tokens(block)
     top = list(range(len(row)))
@@ -185,43 +232,49 @@ def _within(block: pa.Table) -> pa.Table:
     for i in range(len(row)):
         for j in range(i + 1, len(row)):
             if top[i] != top[j] and alike(sets[i], sets[j]):
-                found.append((row[i], row[j]))
-                old, new = top[j], top[i]
+                old, new = max(top[i], top[j]), min(top[i], top[j])
                 top = [new if t == old else t for t in top]
-    return _pairs(found)
+    return _pairs([(row[t], row[i]) for i, t in enumerate(top) if t != i])
 
 
-def first_links(texts: DataFrame, head: DataFrame) -> DataFrame:
-    """Links between documents that have the same first token, by blocks."""
+def first_links(texts: DataFrame, first: DataFrame) -> DataFrame:
+    """Links between documents that have the same least token, by blocks."""
     parts = F.ceil(F.greatest(F.col("members") / MEMBERS, F.col("tokens") * 8 / MEMBER_BYTES))
-    keys = (head.where("n > 0").groupBy("first").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"), F.min("row").alias("least"))
+    keys = (first.where("n > 0").groupBy("first").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"), F.min("row").alias("least"))
             .where("members > 1").select("first", "least", parts.alias("parts")))
     keys = stored(keys, "join-keys")
-    member = head.select("first", "row").join(keys, "first").select("first", "row", F.pmod(F.xxhash64("row"), "parts").alias("part"))
+    member = first.select("first", "row").join(keys, "first").select("first", "row", F.pmod(F.xxhash64("row"), "parts").alias("part"))
     least = keys.select("first", F.col("least").alias("row"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
     blocks = stored(member.union(least).distinct(), "join-blocks")
     sets = _sets_of(texts, stored(blocks.select("row").distinct(), "join-block-rows"))
     return stored(blocks.join(sets, "row").groupBy("first", "part").applyInArrow(_within, "a long, b long"), "join-links")
 
 
-def members(head: DataFrame, comp: DataFrame) -> DataFrame:
-    """(row, n, comp, size, size_class, part, head): every set's group; ``size`` counts its component."""
-    placed = head.where("n > 0").join(comp.select(F.col("doc").alias("row"), "root"), "row", "left")
-    placed = placed.select("row", "n", F.coalesce("root", "row").alias("comp"), "root", "head")
+def components_of(first: DataFrame, comp: DataFrame) -> DataFrame:
+    """(row, comp, size, parts) of the rows in components of several; ``size`` counts the component."""
+    linked = comp.select(F.col("doc").alias("row"), F.col("root").alias("comp"))
+    roots = linked.select(F.col("comp").alias("row"), "comp").distinct()  # components() lists the other rows only
+    linked = linked.union(roots).distinct().join(first.select("row", "n"), "row")
     parts = F.ceil(F.greatest(F.col("size") / MEMBERS, F.col("tokens") * 8 / MEMBER_BYTES))
-    sizes = (placed.where("root IS NOT NULL").groupBy("comp").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("tokens"))
+    sizes = (linked.groupBy("comp").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("tokens"))
              .select("comp", "size", parts.alias("parts")))
-    part = F.pmod(F.xxhash64("row"), F.coalesce("parts", F.lit(1).cast("long")))
-    return stored(placed.join(sizes, "comp", "left")
-                  .select("row", "n", "comp", F.coalesce("size", F.lit(1).cast("long")).alias("size"),
-                          F.floor(F.log2("n")).cast("int").alias("size_class"), part.alias("part"), "head"), "join-members")
+    return stored(linked.select("row", "comp").join(sizes, "comp"), "join-placed")
+
+
+def members(head: DataFrame, placed: DataFrame) -> DataFrame:
+    """(row, n, comp, size, size_class, part, head): every set's group."""
+    one = F.lit(1).cast("long")
+    return stored(head.where("n > 0").join(placed, "row", "left")
+                  .select("row", "n", F.coalesce("comp", "row").alias("comp"), F.coalesce("size", one).alias("size"),
+                          F.floor(F.log2("n")).cast("int").alias("size_class"),
+                          F.pmod(F.xxhash64("row"), F.coalesce("parts", one)).alias("part"), "head"), "join-members")
 
 
 def open_groups(member: DataFrame) -> DataFrame:
     """(row, comp, size_class, part): the groups of other components that a row's overlap bound lets it open."""
     tokens = member.select(F.explode("head").alias("token"), "row", "n", "comp", "size", "size_class", "part")
     live = (tokens.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token"))
-    tokens = stored(tokens.join(stored(live, "join-live"), "token"), "join-tokens")
+    tokens = stored(tokens.join(_few(stored(live, "join-live")), "token"), "join-tokens")
     matrix = tokens.groupBy("token", *GROUP, "size").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     ask = tokens.select("token", "row", "n", F.col("comp").alias("own"), F.col("size").alias("own_size"))
     met = (ask.join(matrix, "token")
@@ -231,19 +284,19 @@ def open_groups(member: DataFrame) -> DataFrame:
 
 
 def _opened(cell: pa.Table) -> pa.Table:
-    """A link from each asking row to one member of the opened group, where there is any."""
+    """(row, comp) of the asking rows that are linked with some member of the opened group."""
     asks, row, sets = cell.column("asks").to_pylist(), cell.column("row").to_pylist(), _tokens(cell)
     mine, others = [i for i, a in enumerate(asks) if a], [i for i, a in enumerate(asks) if not a]
-    found = []
-    for i in mine:
-        j = next((j for j in others if alike(sets[i], sets[j])), None)
-        if j is not None:
-            found.append((row[i], row[j]))
-    return _pairs(found)
+    found = [row[i] for i in mine if any(alike(sets[i], sets[j]) for j in others)]
+    comp = cell.column("comp")[0].as_py()
+    return pa.table({"row": pa.array(found, pa.int64()), "comp": pa.array([comp] * len(found), pa.int64())})
 
 
 def group_links(texts: DataFrame, member: DataFrame, opened: DataFrame) -> DataFrame:
-    """Links between rows and members of the groups they open. A group that many rows open is read in several cells."""
+    """(row, comp): rows linked with a member of another component.
+
+    A group that many rows open is read in several cells.
+    """
     asked = stored(opened.groupBy(*GROUP).agg(F.ceil(F.count(F.lit(1)) / ASKING).alias("cells")), "join-asked")
     held = (member.select("row", *GROUP).join(asked, GROUP)
             .select("row", *GROUP, F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)).alias("cell"), F.lit(False).alias("asks")))
@@ -251,30 +304,37 @@ def group_links(texts: DataFrame, member: DataFrame, opened: DataFrame) -> DataF
               .select("row", *GROUP, F.pmod(F.xxhash64("row"), "cells").alias("cell"), F.lit(True).alias("asks")))
     rows = stored(held.union(asking), "join-cells")
     sets = _sets_of(texts, stored(rows.select("row").distinct(), "join-cell-rows"))
-    return stored(rows.join(sets, "row").groupBy(*GROUP, "cell").applyInArrow(_opened, "a long, b long"), "join-more-links")
+    return stored(rows.join(sets, "row").groupBy(*GROUP, "cell").applyInArrow(_opened, "row long, comp long"), "join-more-links")
 
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(distinct texts, heads, components of linked rows)."""
+    """(distinct texts, their sizes, (row, root) of the rows that are linked and not their own root)."""
     texts = distinct_texts(docs)
-    head = heads(texts, common_tokens(texts))
-    links = first_links(texts, head)
-    comp = components(links)
-    member = members(head, comp)
+    first = firsts(texts)
+    comp = components(first_links(texts, first))
+    placed = components_of(first, comp)
+    lone = first.join(placed.where("row <> comp").select("row"), "row", "left_anti").where("n > 0")
+    one_each = stored(placed.where("row <> comp").select("row"), "join-not-counted")
+    counted = lone.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    common = common_tokens(texts.join(_few(one_each), "row", "left_anti"), counted)
+    member = members(heads(texts, common), placed)
+    roots = comp.select(F.col("doc").alias("row"), "root")
     opened = open_groups(member)
     if not opened.isEmpty():
         more = group_links(texts, member, opened)
-        if not more.isEmpty():
-            comp = components(links.union(more))
-    return texts, head, comp
+        between = member.select("row", F.col("comp").alias("own")).join(more, "row").select(F.col("own").alias("a"), F.col("comp").alias("b")).distinct()
+        top = components(stored(between, "join-between")).select(F.col("doc").alias("root"), F.col("root").alias("top"))
+        joined = roots.join(top, "root", "left").select("row", F.coalesce("top", "root").alias("root"))
+        # Components that are joined to a smaller one have their own root linked as well.
+        roots = stored(joined.union(top.select(F.col("root").alias("row"), F.col("top").alias("root"))).distinct(), "join-roots")
+    return texts, first, roots
 
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    texts, head, comp = linked(docs)
-    root = F.coalesce("root", "row").alias("root")
-    known = (texts.select("row", "key", "doc").join(head.select("row", "n"), "row")
-             .join(comp.select(F.col("doc").alias("row"), "root"), "row", "left").select("key", "doc", "n", root))
+    texts, first, roots = linked(docs)
+    known = (texts.select("row", "key", "doc").join(first.select("row", "n"), "row").join(roots, "row", "left")
+             .select("key", "doc", "n", F.coalesce("root", "row").alias("root")))
     named = stored(known, "join-known")
     least = named.groupBy("root").agg(F.min("doc").alias("component_id"))
     named = named.where("n > 0").join(least, "root").select("key", "n", "component_id")

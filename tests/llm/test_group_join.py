@@ -79,7 +79,8 @@ def test_hard_texts_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(group_join, "ASKING", 2)
     monkeypatch.setattr(group_join, "COMMON_FROM", 4)
     assert got(spark, rows) == want
-    monkeypatch.setattr(group_join, "first_links", lambda texts, head: texts.sparkSession.createDataFrame([], "a long, b long"))
+    monkeypatch.setattr(group_join, "FEW", 0)  # joins in place of broadcasts
+    monkeypatch.setattr(group_join, "first_links", lambda texts, first: texts.sparkSession.createDataFrame([], "a long, b long"))
     assert got(spark, rows) == want  # by the matrix alone
 
 
@@ -100,8 +101,14 @@ def test_heads_share_what_the_bound_asks():
             assert len(head[0] & head[1]) >= 1 + group_join._least_shared(len(s)) // group_join.EXTRA
 
 
-def test_common_tokens_are_bounded(spark):
-    texts = spark.createDataFrame([(i, f"one two three four five six n{i} m{i}") for i in range(200)], "row long, text string")
-    token, level = group_join.common_tokens(texts)
-    assert len(token) == 2 and set(level.tolist()) == {7}
-    assert len(group_join.common_tokens(texts, limit=1)[0]) == 0
+def test_common_tokens_are_counted_exactly_and_bounded(spark):
+    texts = spark.createDataFrame([(i, f"one two three four five six n{i} m{i} " + ("a b c d e " * 3 if i % 20 == 0 else "")) for i in range(200)],
+                                  "row long, text string").repartition(5)
+    for bucket in (1 << 22, 50):
+        common = group_join.common_tokens(texts, 1200, bucket_tokens=bucket)
+        sets = [group_join.shingles([r["text"].encode()])[0] for r in texts.collect()]
+        value, n = np.unique(np.concatenate(sets), return_counts=True)
+        assert sorted(np.log2(n[n >= 8]).astype(int).tolist()) == sorted(common.level.tolist())
+        assert (common.levels(value) > 0).tolist() == (n >= 8).tolist()
+    assert set(group_join.common_tokens(texts, 1200, limit=3).level.tolist()) == {7}
+    assert len(group_join.common_tokens(texts, 1200, limit=1).token) == 0
