@@ -4,57 +4,44 @@ Snapshots whose ``load_id`` is already in the mart are skipped (anti-join on
 the mart's distinct ids, which is one row per snapshot, not per aircraft),
 so a manual re-run appends nothing twice.
 
-The mart is partitioned by ``upload_date`` and ``writer``: batch jobs append
-under ``writer=batch``, each stream micro-batch under a name of its own, so
-both write one mart and every reader sees the rows of both.
+The mart is partitioned by ``upload_date`` and ``writer``: each batch write and
+each stream micro-batch writes folders of its own, and the mart's index names
+those that are whole (``mart_index``). All readers go by the index.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contrail import schemas
+from contrail.operators import mart_index as ix
 from contrail.operators.flatten import flatten
-from contrail.sources import fs
-
-MART_STORED = T.StructType(schemas.MART.fields + [
-    T.StructField("upload_date", T.DateType(), True), T.StructField("writer", T.StringType(), True)])
-BATCH_WRITER = "batch"
+from contrail.operators.mart_index import MART_STORED  # noqa: F401
 
 
-def read_mart(spark: SparkSession, mart_root: str, until=None) -> DataFrame:
-    """The stored mart; with ``until`` (a datetime), only upload dates up to
-    its date are listed and read (partition pruning for as-of reads)."""
-    df = spark.read.schema(MART_STORED).parquet(mart_root)
+def read_mart(spark: SparkSession, mart_root: str, until: datetime | None = None) -> DataFrame:
+    """The stored mart; with ``until`` only the folders of upload dates up to its date."""
+    found = ix.zones(spark, mart_root)
     if until is not None:
-        df = df.where(F.col("upload_date") <= F.lit(until.date().isoformat()).cast("date"))
-    return df.select(*schemas.MART_COLUMNS)
+        found = [z for z in found if z.upload_date <= until.date().isoformat()]
+    return ix.read(spark, mart_root, found).select(*schemas.MART_COLUMNS)
 
 
-def read_latest_day(spark: SparkSession, mart_root: str, until=None) -> DataFrame:
-    """Mart rows of the newest ``upload_date`` folder that holds rows.
+def read_latest_day(spark: SparkSession, mart_root: str, until: datetime | None = None) -> DataFrame:
+    """Mart rows of the folders that can hold the latest snapshot (with ``until``, the one that was latest then)."""
+    return ix.read(spark, mart_root, ix.with_latest(ix.zones(spark, mart_root), until)).select(*schemas.MART_COLUMNS)
 
-    ``upload_date`` is ``to_date(uploaded_at)``, so the latest snapshot is in
-    the newest date folder: the folder listing (metadata only) prunes the
-    scan to one day instead of reading ``uploaded_at`` across the whole mart.
-    With ``until`` (a datetime) it is the newest day holding rows uploaded at
-    or before ``until`` - the day of the snapshot that was latest then.
-    """
-    days = sorted((n.split("=", 1)[1] for n in fs.list_dirs(spark, mart_root)
-                   if n.startswith("upload_date=")), reverse=True)
-    if until is not None:
-        days = [d for d in days if d <= until.date().isoformat()]
-    mart = spark.read.schema(MART_STORED).parquet(mart_root)
-    for day in days:
-        one = mart.where(F.col("upload_date") == F.lit(day).cast("date"))
-        probe = one
-        if until is not None:
-            probe = one.where(F.col("uploaded_at") <= F.lit(until.isoformat(sep=" ")).cast("timestamp_ntz"))
-        if probe.limit(1).count():  # a folder can be empty after a failed write
-            return one.select(*schemas.MART_COLUMNS)
-    fallback = mart if until is None else mart.where(
-        F.col("upload_date") <= F.lit(until.date().isoformat()).cast("date"))
-    return fallback.select(*schemas.MART_COLUMNS)
+
+def read_top_load(spark: SparkSession, mart_root: str) -> DataFrame:
+    """Mart rows of the folders that hold the greatest ``load_id``."""
+    return ix.read(spark, mart_root, ix.with_top_load(ix.zones(spark, mart_root))).select(*schemas.MART_COLUMNS)
+
+
+def read_positions(spark: SparkSession, mart_root: str, start: datetime, end: datetime) -> DataFrame:
+    """Mart rows of the folders that can hold reports with ``start <= time_position < end``."""
+    return ix.read(spark, mart_root, ix.with_positions(ix.zones(spark, mart_root), start, end)).select(*schemas.MART_COLUMNS)
 
 
 def write_mart(mart: DataFrame, mart_root: str) -> None:
@@ -63,11 +50,13 @@ def write_mart(mart: DataFrame, mart_root: str) -> None:
     The ``rebalance`` hint lets AQE size the output per date folder: small
     days are coalesced into few files, a hot day is split over many tasks.
     """
+    writer = ix.new_writer()
     (mart.withColumn("upload_date", F.to_date("uploaded_at"))
      .hint("rebalance", "upload_date")
      .sortWithinPartitions("uploaded_at")
-     .withColumn("writer", F.lit(BATCH_WRITER))
+     .withColumn("writer", F.lit(writer))
      .write.mode("append").partitionBy("upload_date", "writer").parquet(mart_root))
+    ix.register(mart.sparkSession, mart_root, writer)
 
 
 def write_mart_batch(mart: DataFrame, mart_root: str, writer: str) -> None:
@@ -75,23 +64,26 @@ def write_mart_batch(mart: DataFrame, mart_root: str, writer: str) -> None:
     (mart.withColumn("upload_date", F.to_date("uploaded_at")).withColumn("writer", F.lit(writer))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("upload_date", "writer").parquet(mart_root))
+    ix.register(mart.sparkSession, mart_root, writer)
 
 
-def not_in_mart(todo: DataFrame, mart_root: str, writer: str | None = None) -> DataFrame:
-    """Bronze rows whose ``load_id`` is not in the mart (with ``writer``: not from that writer)."""
-    # A snapshot's mart rows sit in the upload_date of its ingest time, so
-    # only those date folders are compared (one row per snapshot id).
-    dates = todo.select(F.to_date("ingest_time").alias("upload_date")).distinct()
-    stored = todo.sparkSession.read.schema(MART_STORED).parquet(mart_root)
-    if writer is not None:
-        stored = stored.where(F.col("writer") == writer)
-    done = stored.select("load_id", "upload_date").join(dates, "upload_date", "left_semi").select("load_id").distinct()
+def not_in_mart(todo: DataFrame, mart_root: str, origin: str | None = None) -> DataFrame:
+    """Bronze rows whose ``load_id`` is not in the mart (with ``origin``: not written from there).
+
+    Only folders whose zone meets the range of the new ids are opened; often there is none.
+    """
+    found = [z for z in ix.zones(todo.sparkSession, mart_root) if origin in (None, z.origin)]
+    if not found:
+        return todo
+    ids = todo.agg(F.min("load_id").alias("lo"), F.max("load_id").alias("hi")).first()
+    found = ix.with_loads(found, ids["lo"], ids["hi"]) if ids["lo"] is not None else []
+    if not found:
+        return todo
+    done = ix.read(todo.sparkSession, mart_root, found).select("load_id").distinct()
     return todo.join(done, "load_id", "left_anti")
 
 
 def backfill(spark: SparkSession, bronze: DataFrame, mart_root: str, **flatten_opts) -> None:
     """Flatten every bronze snapshot not yet in the mart and append it."""
-    todo = bronze.select("load_id", "ingest_time", "data")
-    if fs.exists(spark, mart_root):
-        todo = not_in_mart(todo, mart_root)
+    todo = not_in_mart(bronze.select("load_id", "ingest_time", "data"), mart_root)
     write_mart(flatten(todo, **flatten_opts), mart_root)

@@ -13,6 +13,7 @@ import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from contrail import schemas
 
@@ -47,6 +48,40 @@ class SparkLogHandler(logging.Handler):
         return n
 
 
+class StreamRunLog(StreamingQueryListener):
+    """Writes the beginning and the end of every stream into the run log.
+
+    A stream that fails leaves a CRITICAL row with its message, one that stops
+    in order an INFO row; ``run_id`` is the stream's own run. Rows are written
+    as events arrive, each in one small append: a crash record waits for nothing.
+    Register with ``spark.streams.addListener`` and remove when done.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        super().__init__()
+        self.spark, self.path = spark, path
+
+    def _note(self, level: str, message: str, function: str, run_id) -> None:
+        now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
+        row = (now, level, message, "contrail.streams", function, 0, __name__, str(run_id))
+        append_log(self.spark.createDataFrame([row], schemas.RUN_LOG), self.path)
+
+    def onQueryStarted(self, event) -> None:
+        self._note("INFO", f"stream {event.name or event.id} has begun", "onQueryStarted", event.runId)
+
+    def onQueryProgress(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.exception is None:
+            self._note("INFO", f"stream {event.id} has ended", "onQueryTerminated", event.runId)
+        else:
+            self._note("CRITICAL", f"stream {event.id} failed: {event.exception}", "onQueryTerminated", event.runId)
+
+
 def append_log(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 

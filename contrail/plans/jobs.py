@@ -31,10 +31,10 @@ def _run(spark: SparkSession, log_path: str | None, body):
     log.addHandler(handler)
     log.setLevel(logging.INFO)
     try:
-        log.info("Run ID: %s", handler.run_id)
+        log.info("run %s begins", handler.run_id)
         return body()
     except Exception as e:  # logged for alerting, then re-raised
-        log.error("job failed - %s", e)
+        log.error("the job stopped: %s", e)
         raise
     finally:
         log.removeHandler(handler)
@@ -49,12 +49,12 @@ def export_previous_hour(spark: SparkSession, mart_root: str, gold_root: str,
 
     def body():
         start, end = hr.hour_bounds(as_of)
-        rows = hr.hourly(bf.read_mart(spark, mart_root), start, end)
+        rows = hr.hourly(bf.read_positions(spark, mart_root, start, end), start, end)
         sinks.export_hourly(rows, gold_root)
         n = sinks.read_hourly(spark, gold_root).where(
             (F.col("fly_date") == F.lit(start.date().isoformat()).cast("date"))
             & (F.col("fly_hour") == start.hour)).count()
-        log.info("SUCCESS - exported hour %s: %d rows", start.isoformat(sep=" "), n)
+        log.info("hour %s exported, rows: %d", start.isoformat(sep=" "), n)
         return n
     return _run(spark, log_path, body)
 
@@ -74,6 +74,6 @@ def export_latest_snapshot(spark: SparkSession, mart_root: str, gold_root: str,
             return None
         path = sinks.export_latest(latest, gold_root, version)
         pruned = sinks.prune_versions(spark, gold_root, keep_versions)
-        log.info("SUCCESS - exported latest snapshot to %s (%d old versions removed)", path, pruned)
+        log.info("latest snapshot is now %s; old versions removed: %d", path, pruned)
         return version
     return _run(spark, log_path, body)

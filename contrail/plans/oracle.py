@@ -259,5 +259,38 @@ ORACLE_SQL.update({
                          WHERE latitude IS NOT NULL AND longitude IS NOT NULL
                            AND origin_country IS NOT NULL"""),
 })
+ORACLE_SQL.update({
+    "stream_late_hours": _q("SELECT * FROM H"),
+    "mart_compacted": _q("SELECT * FROM F"),
+    "mart_mixed_writers": _q("SELECT * FROM F"),
+    "hourly_extremes": _q("""
+        SELECT origin_country, CAST(time_position AS DATE) AS fly_date, CAST(hour(time_position) AS INTEGER) AS fly_hour,
+               COUNT(DISTINCT icao24) AS fly_count,
+               round_even(sum(second(last_contact) * power(2.0::DOUBLE, 80)) / count(*) * 100, 0) / 100 AS hourly_avg_velocity,
+               round_even(sum(second(last_contact) + minute(last_contact) * power(2.0::DOUBLE, -40)) / count(*) * 100, 0) / 100 AS hourly_avg_altitude
+        FROM F WHERE on_ground = false AND time_position IS NOT NULL GROUP BY 1, 2, 3"""),
+    "json_first_raw": _q(f"""
+        , T AS (SELECT *, '["' || icao24 || '","' || callsign || '","' || origin_country || '",'
+            || coalesce(CAST(CAST(epoch(time_position) AS BIGINT) AS VARCHAR), 'null') || ',' || CAST(epoch(last_contact) AS BIGINT) || ','
+            || coalesce(CAST(longitude AS VARCHAR), 'null') || ',' || coalesce(CAST(latitude AS VARCHAR), 'null') || ','
+            || coalesce(CAST(baro_altitude AS VARCHAR), 'null') || ',' || on_ground || ',' || velocity || ',' || true_track || ','
+            || vertical_rate || ',' || CASE WHEN event_id % 2 = 1 THEN '[1,2]' ELSE 'null' END || ','
+            || coalesce(CAST(geo_altitude AS VARCHAR), 'null') || ',' || coalesce('"' || squawk || '"', 'null') || ','
+            || spi || ',' || position_source || ']' AS raw FROM R)
+        SELECT load_id, arg_min(raw, event_id) AS first_raw
+        FROM T GROUP BY load_id, event_id // {P.STATES_PER_PART}, uploaded_at"""),
+    "sql_text": _q(f"""
+        SELECT icao24, count(*) AS reports, (SELECT count(*) FROM F WHERE origin_country = '{P.COUNTRY}') AS n_rows
+        FROM F WHERE origin_country = '{P.COUNTRY}' GROUP BY icao24"""),
+    "served_views": _q(f"""
+        SELECT v.name AS "view", origin_country, count(*) AS n FROM LATEST, (VALUES ('latest'), ('ranked')) v(name) GROUP BY 1, 2
+        UNION ALL SELECT 'day', '{P.COUNTRY}', CAST(sum(flights) AS BIGINT) FROM DAYROWS HAVING count(*) > 0"""),
+    "day_labels": _q("""
+        SELECT fly_date AS "Date", fly_hour AS "Hour", flights AS "Daily Flights", avg_altitude AS "Daily Avg Altitude (m)",
+               avg_velocity AS "Daily Avg Velocity (m/s)" FROM DAYROWS"""),
+    "log_sample": LOG + "SELECT max(logged_at) AS logged_at FROM LOG",
+    "stream_crash_log": LOG + """
+        SELECT 'CRITICAL' AS level, 'records above ERROR: ' || count(*) FILTER (WHERE level = 'CRITICAL') AS message FROM LOG""",
+})
 ORACLE_SQL["stream_bronze"] = ORACLE_SQL["bronze_snapshots"]
 ORACLE_SQL.update(ingestion.ORACLE_SQL)

@@ -75,6 +75,12 @@ def resolved(spark: SparkSession, path: str) -> str:
     return (fs.resolvePath(p) if fs.exists(p) else fs.makeQualified(p)).toString()
 
 
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match ``pattern``."""
+    p, fs = _fs(spark, pattern)
+    return [s.getPath().toString() for s in fs.globStatus(p) or []]
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` (a folder this package wrote)."""
     p, fs = _fs(spark, path)

@@ -1,7 +1,8 @@
 """Structured Streaming jobs: landing -> bronze -> mart -> gold, with checkpoints."""
 
 from contrail.streaming.jobs import (
-    bronze_stream, flatten_stream, hourly_stream, latest_refresh_stream, run_trigger,
+    advance_clock, bronze_stream, flatten_stream, hourly_stream, late_hours_stream, latest_refresh_stream, recompute_hours, run_trigger,
 )
 
-__all__ = ["bronze_stream", "flatten_stream", "hourly_stream", "latest_refresh_stream", "run_trigger"]
+__all__ = ["advance_clock", "bronze_stream", "flatten_stream", "hourly_stream", "late_hours_stream", "latest_refresh_stream",
+           "recompute_hours", "run_trigger"]

@@ -13,7 +13,12 @@
   once, after the watermark passes the hour. ``count(distinct)`` is not
   allowed on a stream, so two chained stateful aggregations do it exactly:
   per (hour, country, aircraft) partial sums, then per (hour, country)
-  totals - state is spread by aircraft, never one set per hot country.
+  totals - state is spread by aircraft, never one set per hot country. Marks of
+  a clock, a source of their own, move the watermark where reports pause, so
+  the last hours close with a delay of minutes; no mark enters the mart or a state.
+* ``late_hours_stream``: reports for hours that are exported already (the
+  watermark drops them above) are noted in a side table, and exactly their
+  hours are worked out again from the mart and overwritten.
 * ``latest_refresh_stream``: after each mart micro-batch, re-export the
   latest snapshot if the batch brought a newer one.
 
@@ -23,6 +28,7 @@ processing-time interval such as ``"300 seconds"`` (the polling cadence).
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -32,9 +38,11 @@ from pyspark.storagelevel import StorageLevel
 from contrail import schemas
 from contrail.functions.casts import exact_part, mean_of, other_part, round_ch
 from contrail.functions.ids import dense_ids
-from contrail.functions.time import instant_to_ntz, ntz_to_instant
-from contrail.operators.backfill import BATCH_WRITER, MART_STORED, not_in_mart, write_mart_batch
+from contrail.functions.time import instant_to_ntz, ntz_literal, ntz_to_instant
+from contrail.operators import mart_index as ix
+from contrail.operators.backfill import not_in_mart, read_latest_day, read_positions, write_mart_batch
 from contrail.operators.flatten import flatten
+from contrail.operators.hourly import hourly
 from contrail.sources import fs, sinks
 from contrail.sources.bronze import BRONZE_STORED, payload_time
 
@@ -103,7 +111,8 @@ def read_stream_bronze(spark: SparkSession, bronze_root: str) -> DataFrame:
 
 def flatten_stream(spark: SparkSession, bronze_root: str, mart_root: str, checkpoint: str,
                    trigger: str = "300 seconds", max_files_per_trigger: int | None = None,
-                   **flatten_opts) -> StreamingQuery:
+                   compact_every: int | None = None, **flatten_opts) -> StreamingQuery:
+    """``compact_every`` merges the mart's small folders after every so many micro-batches."""
     reader = spark.readStream.schema(BRONZE_STORED)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -115,11 +124,11 @@ def flatten_stream(spark: SparkSession, bronze_root: str, mart_root: str, checkp
         done = f"{mart_root}/_batches/{stream}-{batch_id}"
         if fs.exists(spark, done):
             return
-        todo = batch.select("load_id", "ingest_time", "data")
-        if fs.exists(spark, mart_root):
-            todo = not_in_mart(todo, mart_root, BATCH_WRITER)
+        todo = not_in_mart(batch.select("load_id", "ingest_time", "data"), mart_root, ix.BATCH)
         write_mart_batch(flatten(todo, **flatten_opts), mart_root, f"{stream}-{batch_id}")
         fs.touch(spark, done)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            ix.compact(spark, mart_root)
 
     w = bronze.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return run_trigger(w, trigger).start()
@@ -127,19 +136,45 @@ def flatten_stream(spark: SparkSession, bronze_root: str, mart_root: str, checkp
 
 # --- mart -> hourly gold ------------------------------------------------------
 
-def hourly_stream(spark: SparkSession, mart_root: str, gold_root: str, checkpoint: str,
-                  delay: str = "10 minutes", trigger: str = "300 seconds",
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
-    reader = spark.readStream.schema(MART_STORED)
+def _mart_stream(spark: SparkSession, mart_root: str, max_files_per_trigger: int | None) -> DataFrame:
+    """Rows as they enter the mart; folders that compaction makes hold none that did not stream before."""
+    reader = spark.readStream.schema(ix.MART_STORED)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    mart = reader.parquet(mart_root)
+    return reader.parquet(mart_root).where(~F.col("writer").contains(ix.MERGED))
+
+
+def advance_clock(spark: SparkSession, clock_root: str, when: datetime) -> None:
+    """Leave a mark: no report of before ``when`` (UTC) less the stream's delay is still to come.
+
+    One small file; the stream deletes marks it has read.
+    """
+    mark = spark.range(1).select(ntz_to_instant(ntz_literal(when)).alias("event_time"))
+    mark.write.mode("append").parquet(clock_root)
+
+
+def _with_clock(spark: SparkSession, reports: DataFrame, clock_root: str, delay: str) -> DataFrame:
+    """``reports`` under one watermark with the clock's marks, which are dropped behind it."""
+    marks = (spark.readStream.schema("event_time timestamp").option("cleanSource", "delete").parquet(clock_root)
+             .select("event_time", F.lit(True).alias("mark")))
+    both = reports.withColumn("mark", F.lit(False)).unionByName(marks, allowMissingColumns=True).withWatermark("event_time", delay)
+    # The filter names the event time, or the optimizer would move it below the watermark and hide the marks from it.
+    return both.where(~F.col("mark") | F.col("event_time").isNull()).drop("mark")
+
+
+def hourly_stream(spark: SparkSession, mart_root: str, gold_root: str, checkpoint: str,
+                  delay: str = "10 minutes", trigger: str = "300 seconds",
+                  max_files_per_trigger: int | None = None, clock_root: str | None = None) -> StreamingQuery:
+    """With ``clock_root`` (a folder that ``advance_clock`` has written to), its marks close hours too."""
+    mart = _mart_stream(spark, mart_root, max_files_per_trigger)
     airborne = (mart.where((F.col("on_ground") == F.lit(False)) & F.col("time_position").isNotNull())
-                .withColumn("event_time", ntz_to_instant("time_position")))  # watermarks need TIMESTAMP
+                .select(ntz_to_instant("time_position").alias("event_time"),  # watermarks need TIMESTAMP
+                        "origin_country", "icao24", "velocity", "baro_altitude"))
+    airborne = _with_clock(spark, airborne, clock_root, delay) if clock_root else airborne.withWatermark("event_time", delay)
     # Stage 1, per (hour, country, aircraft): exact partial sums. State is
     # keyed by aircraft, so a country with most of the traffic is spread
     # over all tasks instead of one growing set.
-    per_aircraft = (airborne.withWatermark("event_time", delay)
+    per_aircraft = (airborne
                     .groupBy(F.window("event_time", "1 hour"), "origin_country", "icao24")
                     .agg(F.sum(exact_part("velocity")).alias("sv"), F.sum(other_part("velocity")).alias("ov"),
                          F.count("velocity").alias("nv"),
@@ -165,15 +200,50 @@ def hourly_stream(spark: SparkSession, mart_root: str, gold_root: str, checkpoin
     return run_trigger(w, trigger).start()
 
 
+# --- late reports -------------------------------------------------------------
+
+def recompute_hours(spark: SparkSession, mart_root: str, gold_root: str, hours: DataFrame) -> None:
+    """Work out the given (fly_date, fly_hour) again from the mart and overwrite exactly them."""
+    begin = (F.col("fly_date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("fly_hour")))
+    ends = hours.agg(F.min(begin).alias("lo"), F.max(begin).alias("hi")).first()
+    start, end = ends["lo"], ends["hi"] + timedelta(hours=1)
+    mart = read_positions(spark, mart_root, start, end)
+    hour = [F.to_date("time_position").alias("fly_date"), F.hour("time_position").alias("fly_hour")]
+    wanted = mart.select("*", *hour).join(hours.select("fly_date", "fly_hour"), ["fly_date", "fly_hour"], "left_semi")
+    sinks.export_hourly(hourly(wanted.select(*schemas.MART_COLUMNS), start, end), gold_root)
+
+
+def late_hours_stream(spark: SparkSession, mart_root: str, gold_root: str, late_root: str, checkpoint: str,
+                      trigger: str = "300 seconds", max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Side table ``late_root`` (fly_date, fly_hour, reports; one folder a micro-batch) and the hours in it redone.
+
+    An hour is late when its export exists as the report arrives. Redoing one
+    needlessly gives the same rows, so a replayed micro-batch is harmless.
+    """
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        if not fs.exists(spark, gold_root):
+            return
+        airborne = batch.where((F.col("on_ground") == F.lit(False)) & F.col("time_position").isNotNull())
+        touched = (airborne.groupBy(F.to_date("time_position").alias("fly_date"), F.hour("time_position").alias("fly_hour"))
+                   .agg(F.count(F.lit(1)).alias("reports")))
+        exported = sinks.read_hourly(spark, gold_root).select("fly_date", "fly_hour").distinct()  # folder names only
+        late = touched.join(exported, ["fly_date", "fly_hour"], "left_semi")
+        path = f"{late_root}/batch_id={batch_id}"
+        late.write.mode("overwrite").parquet(path)
+        late = spark.read.schema("fly_date date, fly_hour int, reports long").parquet(path)
+        if not late.isEmpty():
+            recompute_hours(spark, mart_root, gold_root, late)
+
+    w = _mart_stream(spark, mart_root, max_files_per_trigger).writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    return run_trigger(w, trigger).start()
+
+
 # --- mart -> latest gold ------------------------------------------------------
 
 def latest_refresh_stream(spark: SparkSession, mart_root: str, gold_root: str, checkpoint: str,
                           trigger: str = "300 seconds",
                           max_files_per_trigger: int | None = None, keep_versions: int = 24) -> StreamingQuery:
-    reader = spark.readStream.schema(MART_STORED)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    mart = reader.parquet(mart_root)
+    mart = _mart_stream(spark, mart_root, max_files_per_trigger)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         top = batch.agg(F.max("uploaded_at").alias("t"), F.max("load_id").alias("v")).first()
@@ -184,35 +254,11 @@ def latest_refresh_stream(spark: SparkSession, mart_root: str, gold_root: str, c
             return  # the batch brought only older snapshots
         # Equal: more parts of the served snapshot arrived; export it again.
         # Re-read the whole snapshot from the table: its parts may span batches.
-        full = (spark.read.schema(MART_STORED).parquet(mart_root)
-                .where(F.col("upload_date") == F.lit(top["t"].date()))
-                .where(F.col("uploaded_at") == F.lit(top["t"].isoformat(sep=" ")).cast("timestamp_ntz"))
-                .select(*schemas.MART_COLUMNS))
+        full = (read_latest_day(spark, mart_root, until=top["t"])
+                .where(F.col("uploaded_at") == F.lit(top["t"].isoformat(sep=" ")).cast("timestamp_ntz")))
         version = full.agg(F.max("load_id")).first()[0]
         sinks.export_latest(full, gold_root, version, revision=batch_id)
         sinks.prune_versions(spark, gold_root, keep_versions)
 
     w = mart.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return run_trigger(w, trigger).start()
-
-
-HEARTBEAT_COUNTRY = "__heartbeat__"
-
-
-def heartbeat_row(spark: SparkSession, when_text: str) -> DataFrame:
-    """One airborne mart row far in the future: moves the watermark past every
-    real hour so they are emitted; its own hour stays open and is never emitted."""
-    row = spark.range(1).select(
-        F.lit(0).cast("bigint").alias("load_id"),
-        F.lit(when_text).cast("timestamp_ntz").alias("uploaded_at"),
-        F.lit(when_text).cast("timestamp_ntz").alias("time_position"),
-        F.lit(when_text).cast("timestamp_ntz").alias("last_contact"),
-        F.lit("000000").alias("icao24"), F.lit(None).cast("string").alias("callsign"),
-        F.lit(HEARTBEAT_COUNTRY).alias("origin_country"),
-        *[F.lit(None).cast("double").alias(c) for c in ("longitude", "latitude", "baro_altitude")],
-        F.lit(False).alias("on_ground"),
-        *[F.lit(None).cast("double").alias(c) for c in ("velocity", "true_track", "vertical_rate", "geo_altitude")],
-        F.lit(None).cast("string").alias("squawk"), F.lit(False).alias("spi"),
-        F.lit(None).cast("int").alias("position_source"))
-    return row.select(*[F.col(f.name).cast(f.dataType) for f in schemas.MART.fields])
-

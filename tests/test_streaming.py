@@ -7,7 +7,7 @@ from contrail.plans import catalog
 from contrail.sources import bronze as br
 from contrail.sources import fixtures, sinks
 from contrail import streaming as st
-from contrail.streaming.jobs import heartbeat_row, read_stream_bronze
+from contrail.streaming.jobs import read_stream_bronze
 from tests.conftest import SF_SMALL, sorted_rows
 
 
@@ -34,11 +34,9 @@ def test_stream_flatten_equals_batch_and_is_incremental(spark, tmp_dir):
 
 def test_stream_hourly_equals_batch(spark, tmp_dir):
     bf.backfill(spark, fixtures.snapshot_bronze(spark, SF_SMALL), f"{tmp_dir}/mart")
-    bf.write_mart(heartbeat_row(spark, "2030-01-01 00:00:00"), f"{tmp_dir}/mart")
-    catalog._await(st.hourly_stream(spark, f"{tmp_dir}/mart", f"{tmp_dir}/gold", f"{tmp_dir}/ckpt",
-                                    delay="60 days", trigger="available_now"))
+    catalog._close_all_hours(spark, tmp_dir)
     got = sinks.read_hourly(spark, f"{tmp_dir}/gold")
-    assert _rows(got) == _rows(hr.hourly(bf.read_mart(spark, f"{tmp_dir}/mart").where("origin_country <> '__heartbeat__'")))
+    assert _rows(got) == _rows(hr.hourly(bf.read_mart(spark, f"{tmp_dir}/mart")))
 
 
 def test_stream_bronze_numbers_like_batch(spark, tmp_dir):
@@ -74,16 +72,14 @@ def test_late_report_dropped_by_stream_and_recovered_by_hour_rerun(spark, tmp_di
     from pyspark.sql import functions as F
     mart_root = f"{tmp_dir}/mart"
     bf.backfill(spark, fixtures.snapshot_bronze(spark, SF_SMALL), mart_root)
-    bf.write_mart(heartbeat_row(spark, "2030-01-01 00:00:00"), mart_root)
-    args = (spark, mart_root, f"{tmp_dir}/gold", f"{tmp_dir}/ckpt")
-    catalog._await(st.hourly_stream(*args, delay="60 days", trigger="available_now"))
+    catalog._close_all_hours(spark, tmp_dir)
     before = {tuple(r[:3]): r["fly_count"] for r in sinks.read_hourly(spark, f"{tmp_dir}/gold").collect()}
     # A late report for an hour that was already emitted, from a new aircraft.
-    mart = bf.read_mart(spark, mart_root).where("on_ground = false AND origin_country <> '__heartbeat__'")
+    mart = bf.read_mart(spark, mart_root).where("on_ground = false")
     one = mart.where(F.col("time_position").isNotNull()).orderBy("time_position").first()
     late = mart.where(F.col("time_position") == one["time_position"]).limit(1).withColumn("icao24", F.lit("ffffff"))
     bf.write_mart(late, mart_root)
-    catalog._await(st.hourly_stream(*args, delay="60 days", trigger="available_now"))
+    catalog._close_all_hours(spark, tmp_dir)
     key = (one["origin_country"], one["time_position"].date(), one["time_position"].hour)
     after_stream = {tuple(r[:3]): r["fly_count"] for r in sinks.read_hourly(spark, f"{tmp_dir}/gold").collect()}
     assert after_stream == before  # late: never counted by the stream
@@ -109,7 +105,7 @@ def test_landing_to_mart_fully_streaming(spark, tmp_dir):
 def test_hourly_stream_state_is_keyed_by_aircraft(spark, tmp_dir):
     bf.backfill(spark, fixtures.snapshot_bronze(spark, SF_SMALL), f"{tmp_dir}/mart")
     q = st.hourly_stream(spark, f"{tmp_dir}/mart", f"{tmp_dir}/gold", f"{tmp_dir}/ckpt",
-                         delay="60 days", trigger="available_now")
+                         trigger="available_now")
     catalog._await(q)
     plan = q._jsq.explainInternal(False)  # physical plan of the last micro-batch
     assert plan.count("StateStoreSave") == 2, plan  # two chained stateful aggregations
