@@ -7,8 +7,10 @@ files not yet in bronze, one row each, with
   (file modification time, path) - or path only, for replayable numbering;
 * ``ingest_time``: the payload's own ``time`` (seconds), else the file time.
 
-Only the small (path, mtime) listing is sorted and numbered; payload rows are
-never sorted or funnelled through one task.
+Only the small listing (path, mtime, size) is sorted and numbered, and the plan
+of ids is the plan of reads: each task opens the files whose ids it holds. A
+payload is read once, where it is written; it is never shuffled. Files are listed
+as they are, hidden and empty ones too (``listing``).
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from contrail.functions.ids import dense_ids
 from contrail.functions.time import instant_to_ntz, seconds_to_ntz
 from contrail.operators.flatten import state_count
 from contrail.sources import fs
+from contrail.sources.fs import _by_value, arrow_fs
+from contrail.sources.listing import list_tree
 
 log = logging.getLogger("contrail.bronze")
 
@@ -33,10 +37,9 @@ BRONZE_STORED = T.StructType([
     T.StructField("ingest_date", T.DateType(), True),
 ])
 
-# New files are read by explicit path when they are few (at most this many,
-# and at most a quarter of the folder); otherwise the folder is scanned and
-# joined with the new-file list.
-EXPLICIT_PATHS_MAX = 10_000
+# Payload bytes a task reads in all, and holds at a time.
+TASK_BYTES = 64 << 20
+BATCH_BYTES = 8 << 20
 
 
 def land_snapshots(parts: DataFrame, landing_root: str) -> None:
@@ -48,7 +51,7 @@ def land_snapshots(parts: DataFrame, landing_root: str) -> None:
     deterministic, so a retried task rewrites the same files.
     """
     from contrail.sources.fixtures import write_named_files
-    root = landing_root.rstrip("/") + "/"
+    root = fs.resolved(parts.sparkSession, landing_root).rstrip("/") + "/"
     named = parts.select(
         F.concat(F.lit(root), F.lpad(F.col("load_id").cast("string"), 12, "0"), F.lit("-"),
                  F.lpad(F.col("part").cast("string"), 8, "0"), F.lit(".json")).alias("path"),
@@ -60,19 +63,52 @@ def read_bronze(spark: SparkSession, bronze_root: str) -> DataFrame:
     return spark.read.schema(BRONZE_STORED).parquet(bronze_root)
 
 
-def _listing(spark: SparkSession, landing_root: str) -> DataFrame:
-    # binaryFile with only metadata columns selected never reads file content.
-    # source_file is the plain path; _src the (URL-encoded) form that file
-    # readers report in _metadata.file_path, used to match payloads to ids.
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .load(landing_root).select(F.col("path").alias("source_file"),
-                                       F.col("_metadata.file_path").alias("_src"),
-                                       F.col("modificationTime").alias("mtime")))
+def number_files(files: DataFrame, order_by: str, after: int) -> DataFrame:
+    """(load_id, source_file, mtime_ms, file_size) of the files: ids go on from ``after``. Computed once and stored."""
+    keys = ["mtime_ms", "source_file"] if order_by == "mtime" else ["source_file"]
+    return dense_ids(files.select("source_file", "mtime_ms", "file_size"), keys, after).checkpoint()
 
 
-def _number(spark: SparkSession, new_files: DataFrame, order_by: str, start: int) -> DataFrame:
-    keys = ["mtime", "source_file"] if order_by == "mtime" else ["source_file"]
-    return dense_ids(new_files.select("source_file", "_src", "mtime"), keys, start).drop("mtime")
+def read_payloads(numbered: DataFrame) -> DataFrame:
+    """``numbered`` with ``data``, the text of each file, read by the tasks that hold the ids.
+
+    The ids are cut into consecutive ranges of about ``TASK_BYTES`` of payload,
+    so a task's rows belong to few days.
+    """
+    spark = numbered.sparkSession
+    size = numbered.agg(F.sum("file_size")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    to_fs, batch_bytes = _by_value(arrow_fs), BATCH_BYTES
+
+    def run(batches):  # runs in Python workers: references nothing of this package
+        import pyarrow as pa
+
+        def rows(batch, keep, texts):
+            data = pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())
+            return pa.RecordBatch.from_arrays([*batch.slice(keep, len(texts)).columns, data], [*batch.schema.names, "data"])
+
+        for batch in batches:
+            begin, held = 0, []
+            for i, key in enumerate(batch.column("source_file").to_pylist()):
+                filesystem, path = to_fs(key)
+                with filesystem.open_input_stream(path) as stream:
+                    held.append(stream.read())
+                if sum(map(len, held)) >= batch_bytes:
+                    yield rows(batch, begin, held)
+                    begin, held = i + 1, []
+            if held:
+                yield rows(batch, begin, held)
+
+    columns = "load_id long, source_file string, mtime_ms long, file_size long"
+    plan = numbered.select("load_id", "source_file", "mtime_ms", "file_size").repartitionByRange(tasks, "load_id")
+    return plan.mapInArrow(run, f"{columns}, data string")
+
+
+def bronze_rows(payloads: DataFrame, time_source: str = "payload") -> DataFrame:
+    """Stored bronze rows of read payloads."""
+    file_time = instant_to_ntz(F.timestamp_millis("mtime_ms"))
+    t = F.coalesce(payload_time(F.col("data")), file_time) if time_source == "payload" else file_time
+    return payloads.select("load_id", t.alias("ingest_time"), "data", "source_file", F.to_date(t).alias("ingest_date"))
 
 
 def load_landing(spark: SparkSession, landing_root: str, bronze_root: str,
@@ -86,51 +122,23 @@ def load_landing(spark: SparkSession, landing_root: str, bronze_root: str,
     """
     if order_by not in ("mtime", "path") or time_source not in ("payload", "file"):
         raise ValueError("order_by in (mtime, path), time_source in (payload, file)")
-    if not fs.exists(spark, landing_root):
-        return 0  # nothing has landed yet
-    listing = _listing(spark, landing_root)
-    have_bronze = fs.exists(spark, bronze_root)
-    new_files = listing
-    if have_bronze:
+    new_files = list_tree(spark, landing_root).withColumnRenamed("file_key", "source_file")
+    prev_max = 0
+    if fs.exists(spark, bronze_root):
         bronze = read_bronze(spark, bronze_root)
-        new_files = listing.join(bronze.select("source_file"), "source_file", "left_anti")
+        new_files = new_files.join(bronze.select("source_file"), "source_file", "left_anti")
         prev_max = bronze.agg(F.max("load_id")).first()[0] or 0
-    else:
-        prev_max = 0
-    # Reliable checkpoint (shared checkpoint dir): the numbering is computed
-    # once and survives executor loss; never recomputed with other ids.
-    ids = _number(spark, new_files, order_by, prev_max).checkpoint()
-    n_new = ids.count()
+    numbered = number_files(new_files, order_by, prev_max)
+    n_new = numbered.count()
     if n_new == 0:
         return 0
-    n_all = listing.count() if have_bronze else n_new
-    reader = spark.read
-    if n_new <= EXPLICIT_PATHS_MAX and n_new * 4 <= n_all:
-        # A few new files in a big folder: name them (paths only on the driver).
-        paths = [fs.literal_path(r[0]) for r in ids.select("source_file").collect()]
-        raw = reader.text(paths, wholetext=True)
-    else:
-        # Mostly new: one folder scan; the join below keeps the new files only.
-        raw = reader.option("recursiveFileLookup", "true").text(landing_root, wholetext=True)
-    raw = raw.select(F.col("_metadata.file_path").alias("_src"),
-                     F.col("_metadata.file_modification_time").alias("_mtime"),
-                     F.col("value").alias("data"))
-    rows = raw.join(ids, "_src")  # AQE broadcasts ids when they are small
-    file_time = instant_to_ntz(F.col("_mtime"))
-    if time_source == "payload":
-        t = F.coalesce(payload_time(F.col("data")), file_time)
-    else:
-        t = file_time
-    out = rows.select("load_id", t.alias("ingest_time"), "data", "source_file",
-                      F.to_date(t).alias("ingest_date"))
+    out = bronze_rows(read_payloads(numbered), time_source)
     # Counts of this load, gathered during the write itself.
     obs = Observation("landing_load")
     metrics = [F.count(F.lit(1)).alias("snapshots")]
     if count_states:
         metrics.append(F.sum(state_count(F.col("data"))).alias("states"))
-    out = out.observe(obs, *metrics)
-    # rebalance: AQE sizes files per date folder and splits a hot day.
-    out.hint("rebalance", "ingest_date").write.mode("append").partitionBy("ingest_date").parquet(bronze_root)
+    out.observe(obs, *metrics).write.mode("append").partitionBy("ingest_date").parquet(bronze_root)
     stats = obs.get
     if count_states:
         log.info("bronze load: %s snapshots holding %s states", stats.get("snapshots"), stats.get("states"))

@@ -33,18 +33,17 @@ from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.storagelevel import StorageLevel
 
 from contrail import schemas
 from contrail.functions.casts import exact_part, mean_of, other_part, round_ch
-from contrail.functions.ids import dense_ids
 from contrail.functions.time import instant_to_ntz, ntz_literal, ntz_to_instant
 from contrail.operators import mart_index as ix
 from contrail.operators.backfill import not_in_mart, read_latest_day, read_positions, write_mart_batch
 from contrail.operators.flatten import flatten
 from contrail.operators.hourly import hourly
+from contrail.session import ensure_checkpoint_dir
 from contrail.sources import fs, sinks
-from contrail.sources.bronze import BRONZE_STORED, payload_time
+from contrail.sources.bronze import BRONZE_STORED, bronze_rows, number_files, read_payloads
 
 
 def run_trigger(writer, trigger: str):
@@ -55,9 +54,10 @@ def run_trigger(writer, trigger: str):
 
 # --- landing -> bronze --------------------------------------------------------
 
-def _bronze_batch(spark: SparkSession, bronze_root: str, order_by: str):
-    keys = ["_mtime", "source_file"] if order_by == "mtime" else ["source_file"]
+FILES = "path string, modificationTime timestamp, length long, content binary"
+
 
+def _bronze_batch(spark: SparkSession, bronze_root: str, order_by: str):
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if fs.is_committed(spark, f"{bronze_root}/batch_id={batch_id}"):
             return  # a replay: new file names would reach the mart a second time
@@ -72,33 +72,22 @@ def _bronze_batch(spark: SparkSession, bronze_root: str, order_by: str):
                 prev = spark.read.parquet(path).agg(F.max("load_id")).first()[0] or prev
                 if prev:
                     break
-        # The batch is used three times (file list, numbering, join): keep it
-        # (memory, then disk) so its files are read once; lost blocks are
-        # recomputed from the files.
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            files = batch.select("source_file", "_mtime").distinct()
-            ids = dense_ids(files, keys, prev).select("source_file", "load_id")
-            t = F.coalesce(payload_time(F.col("data")), instant_to_ntz(F.col("_mtime")))
-            out = batch.join(ids, "source_file").select(
-                "load_id", t.alias("ingest_time"), "data", "source_file", F.to_date(t).alias("ingest_date"))
-            out.write.mode("overwrite").parquet(f"{bronze_root}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        # The batch holds names, times and sizes only; the tasks that hold the ids read the payloads.
+        out = bronze_rows(read_payloads(number_files(batch, order_by, prev)))
+        out.write.mode("overwrite").parquet(f"{bronze_root}/batch_id={batch_id}")
     return on_batch
 
 
 def bronze_stream(spark: SparkSession, landing_root: str, bronze_root: str, checkpoint: str,
                   trigger: str = "300 seconds", max_files_per_trigger: int | None = None,
                   order_by: str = "mtime") -> StreamingQuery:
-    reader = spark.readStream.format("text").option("wholetext", "true").option("recursiveFileLookup", "true")
+    ensure_checkpoint_dir(spark)
+    reader = spark.readStream.format("binaryFile").schema(FILES).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.load(landing_root).select(
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_modification_time").alias("_mtime"),
-        F.col("value").alias("data"))
-    w = raw.writeStream.foreachBatch(_bronze_batch(spark, bronze_root, order_by)).option("checkpointLocation", checkpoint)
+    files = reader.load(landing_root).select(  # without ``content``, so no file is read here
+        F.col("path").alias("source_file"), F.unix_millis("modificationTime").alias("mtime_ms"), F.col("length").alias("file_size"))
+    w = files.writeStream.foreachBatch(_bronze_batch(spark, bronze_root, order_by)).option("checkpointLocation", checkpoint)
     return run_trigger(w, trigger).start()
 
 
