@@ -7,12 +7,15 @@ Only when that setting is absent (local tests) do we create one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from contrail.sources import fs
+
+_MADE: dict[str, list[str]] = {}  # work folders by application
+
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -69,10 +72,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str, fresh: bool = True) -> str:
-    """A folder under the shared checkpoint dir; a new one per call if fresh."""
-    base = _shared_base(spark)
+    """A folder under the shared checkpoint dir, with its scheme; a new one per call if fresh. Whoever writes creates it."""
+    base = fs.resolved(spark, _shared_base(spark))
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if fresh else name
     path = f"{base}/contrail/{leaf}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
+
+
+def clear_work(spark: SparkSession) -> int:
+    """Delete the work folders this session was given so far; returns how many.
+
+    For when the results that read them have been used: frames made before read nothing afterwards.
+    """
+    made = _MADE.pop(spark.sparkContext.applicationId, [])
+    return sum(fs.delete(spark, path) for path in made)

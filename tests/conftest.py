@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from contrail import get_session  # noqa: E402
+from contrail.session import clear_work  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
@@ -15,6 +16,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     s = get_session("local[*]", app="contrail-tests", shuffle_partitions=8)
     yield s
+    clear_work(s)
     s.stop()
 
 
