@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from contrail.functions.ids import dense_ids
 from contrail.llm.batches import map_pieces
 from contrail.llm.components import components
 from contrail.llm.hashing import mix, shingles
@@ -284,10 +285,25 @@ def classes(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` with one document per class: the one whose id names it.
 
-    Rows that repeat that id and text come down to one; rows of a null id stay.
+    Unlike texts that share an id are documents of their own here. Rows that
+    repeat id and text come down to one, as do null texts of one id; rows of a
+    null id stay.
     """
-    found = classes(docs)
-    spare = found.where("doc_id <> class_id").select(F.col("doc_id").alias("_dm_doc"))
-    kept = docs.join(spare, docs["doc_id"] == F.col("_dm_doc"), "left_anti")
-    numbered = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return numbered.unionByName(kept.where("doc_id IS NULL"))
+    # Rows travel as one value, so none of their columns can meet a name of this module.
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc"), "text", row.alias("row"))
+    rows = rows.withColumn("same", F.unhex(F.md5(F.col("text").cast("binary"))))
+    named = rows.where("doc IS NOT NULL AND text IS NOT NULL").select("doc", "same").distinct()
+    first = named.groupBy("doc").agg(F.min("same").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    more = stored(named.join(first, "doc").where("same <> first").select("doc", "same"), "id-repeats")
+    top = rows.agg(F.coalesce(F.max("doc"), F.lit(0))).first()[0]
+    # The second and later texts of an id get numbers of their own behind all ids, so an id of the table names its class.
+    own = stored(dense_ids(more, ["doc", "same"], max(top, 0), name="own"), "own-ids")
+    rows = rows.join(own, ["doc", "same"], "left").select(F.coalesce("own", "doc").alias("doc"), "text", "row")
+    known = rows.where("doc IS NOT NULL AND text IS NOT NULL")
+    found = classes(known.select(F.col("doc").alias("doc_id"), "text"))
+    spare = found.where("doc_id <> class_id").select(F.col("doc_id").alias("doc"))
+    kept = (known.join(spare, "doc", "left_anti").dropDuplicates(["doc"]).select("row")
+            .union(rows.where("doc IS NOT NULL AND text IS NULL").dropDuplicates(["doc"]).select("row"))
+            .union(rows.where("doc IS NULL").select("row")))
+    return kept.select(*[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns)])

@@ -145,10 +145,12 @@ def url_at(text: str, colon: int, floor: int) -> tuple[int, int] | None:
         start -= 1
     while start < colon and not text[start].isalpha():
         start += 1
+    if start == colon:  # no scheme: the tail, which may be the rest of the text, is not looked at
+        return None
     end = _URL_TAIL.match(text, colon + 3).end()
     while end > colon + 3 and text[end - 1] in ".,;:!?)":
         end -= 1
-    return (start, end) if start < colon and end > colon + 3 else None
+    return (start, end) if end > colon + 3 else None
 
 
 def iban_valid(value: str) -> bool:

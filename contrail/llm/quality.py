@@ -203,9 +203,11 @@ def report(docs: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with exactly its columns."""
-    measured = with_features(docs)
+    # The row travels as one value, so none of its columns can meet the measures' names.
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    measured = with_features(docs.select("text", row.alias("row")))
     scored = judged(measured, fit(measured))
     # Through a generated column: a filter on a plain one would be moved below the intermediate
     # columns, their expressions nested into one another.
     passed = scored.withColumn("_wq_pass", F.explode_outer(F.array("_wq_kept")))
-    return passed.where(F.col("_wq_pass")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return passed.where(F.col("_wq_pass")).select(*[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns)])
