@@ -271,16 +271,18 @@ def members(head: DataFrame, placed: DataFrame) -> DataFrame:
 
 
 def open_groups(member: DataFrame) -> DataFrame:
-    """(row, comp, size_class, part): the groups of other components that a row's overlap bound lets it open."""
-    tokens = member.select(F.explode("head").alias("token"), "row", "n", "comp", "size", "size_class", "part")
+    """(row, own, comp, size_class, part, shared): the groups of other components that a row's overlap bound lets it open."""
+    tokens = member.select(F.explode("head").alias("token"), "row", "comp")
     live = (tokens.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token"))
-    tokens = stored(tokens.join(_few(stored(live, "join-live")), "token"), "join-tokens")
+    # Of the many tokens only those of several components go on, and only then with what is known of their rows.
+    met = stored(tokens.select("token", "row").join(stored(live, "join-live"), "token"), "join-met")
+    tokens = stored(met.join(member.drop("head"), "row"), "join-tokens")
     matrix = tokens.groupBy("token", *GROUP, "size").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     ask = tokens.select("token", "row", "n", F.col("comp").alias("own"), F.col("size").alias("own_size"))
     met = (ask.join(matrix, "token")
            .where("own <> comp AND (own_size < size OR own_size = size AND own < comp) AND 5 * most >= 4 * n AND 4 * least <= 5 * n"))
-    return stored(met.groupBy("row", "n", *GROUP).agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= _wanted("n"))
-                  .select("row", *GROUP), "join-open")
+    return stored(met.groupBy("row", "own", "n", *GROUP).agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= _wanted("n"))
+                  .select("row", "own", *GROUP, "shared"), "join-open")
 
 
 def _opened(cell: pa.Table) -> pa.Table:
@@ -293,7 +295,7 @@ def _opened(cell: pa.Table) -> pa.Table:
 
 
 def group_links(texts: DataFrame, member: DataFrame, opened: DataFrame) -> DataFrame:
-    """(row, comp): rows linked with a member of another component.
+    """(own, comp): components of which a row is linked with a member of another that it opened.
 
     A group that many rows open is read in several cells.
     """
@@ -304,7 +306,34 @@ def group_links(texts: DataFrame, member: DataFrame, opened: DataFrame) -> DataF
               .select("row", *GROUP, F.pmod(F.xxhash64("row"), "cells").alias("cell"), F.lit(True).alias("asks")))
     rows = stored(held.union(asking), "join-cells")
     sets = _sets_of(texts, stored(rows.select("row").distinct(), "join-cell-rows"))
-    return stored(rows.join(sets, "row").groupBy(*GROUP, "cell").applyInArrow(_opened, "row long, comp long"), "join-more-links")
+    found = rows.join(sets, "row").groupBy(*GROUP, "cell").applyInArrow(_opened, "row long, comp long")
+    return stored(found.join(opened.select("row", "own").distinct(), "row").select("own", "comp").distinct(), "join-more-links")
+
+
+def _tops(between: DataFrame) -> DataFrame:
+    """(root, top) of the components that ``between`` joins to a smaller one."""
+    links = stored(between.select(F.col("own").alias("a"), F.col("comp").alias("b")), "join-between")
+    return components(links).select(F.col("doc").alias("root"), F.col("root").alias("top"))
+
+
+def join_components(texts: DataFrame, member: DataFrame, opened: DataFrame) -> DataFrame:
+    """(root, top): components joined by links between them.
+
+    Of two components first the one row and group of the largest overlap are
+    tried. Most that belong together are then joined, and what is left to open
+    lies between components that are still apart.
+    """
+    best = (opened.groupBy("own", "comp").agg(F.max(F.struct("shared", "row", "size_class", "part")).alias("b"))
+            .select("b.row", "own", "comp", "b.size_class", "b.part"))
+    between = group_links(texts, member, stored(best, "join-best"))
+    tops = _tops(between)
+    seen = opened
+    for side in ("own", "comp"):
+        seen = seen.join(tops.select(F.col("root").alias(side), F.col("top").alias(f"top_{side}")), side, "left")
+    rest = stored(seen.where("coalesce(top_own, own) <> coalesce(top_comp, comp)").select(*opened.columns), "join-rest")
+    if rest.isEmpty():
+        return tops
+    return _tops(between.union(group_links(texts, member, rest)).distinct())
 
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -321,9 +350,7 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     roots = comp.select(F.col("doc").alias("row"), "root")
     opened = open_groups(member)
     if not opened.isEmpty():
-        more = group_links(texts, member, opened)
-        between = member.select("row", F.col("comp").alias("own")).join(more, "row").select(F.col("own").alias("a"), F.col("comp").alias("b")).distinct()
-        top = components(stored(between, "join-between")).select(F.col("doc").alias("root"), F.col("root").alias("top"))
+        top = join_components(texts, member, opened)
         joined = roots.join(top, "root", "left").select("row", F.coalesce("top", "root").alias("root"))
         # Components that are joined to a smaller one have their own root linked as well.
         roots = stored(joined.union(top.select(F.col("root").alias("row"), F.col("top").alias("root"))).distinct(), "join-roots")
