@@ -12,6 +12,8 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from contrail.operators import serving
+
 # The view names published by ``register_views``.
 MART_VIEW = "flight_mart"
 LATEST_VIEW = "latest_flight"
@@ -37,12 +39,6 @@ def register_views(spark: SparkSession, mart: DataFrame, hourly: DataFrame | Non
 def country_day_sql(spark: SparkSession, country: str, day: date | str,
                     table: str = HOURLY_VIEW) -> DataFrame:
     """The served day rows of one country, via SQL with named parameters."""
-    return spark.sql(f"""
-        SELECT fly_date,
-               CAST(round(fly_hour, 0) AS INT) AS fly_hour,
-               fly_count AS flights,
-               round(hourly_avg_altitude, 2) AS avg_altitude,
-               round(hourly_avg_velocity, 2) AS avg_velocity
-        FROM {table}
-        WHERE origin_country = :country AND fly_date = CAST(:day AS DATE)
-        ORDER BY fly_hour ASC""", args={"country": country, "day": str(day)})
+    rows = spark.sql(f"SELECT * FROM {table} WHERE origin_country = :country AND fly_date = CAST(:day AS DATE)",
+                     args={"country": country, "day": str(day)})
+    return serving.country_day(rows, country, day)

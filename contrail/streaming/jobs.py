@@ -16,7 +16,7 @@
   totals - state is spread by aircraft, never one set per hot country. Marks of
   a clock, a source of their own, move the watermark where reports pause, so
   the last hours close with a delay of minutes; no mark enters the mart or a state.
-* ``late_hours_stream``: reports for hours that are exported already (the
+* ``late_hours_stream``: reports for hours that are closed already (the
   watermark drops them above) are noted in a side table, and exactly their
   hours are worked out again from the mart and overwritten.
 * ``latest_refresh_stream``: after each mart micro-batch, re-export the
@@ -42,7 +42,7 @@ from contrail.operators.backfill import not_in_mart, read_latest_day, read_posit
 from contrail.operators.flatten import flatten
 from contrail.operators.hourly import hourly
 from contrail.session import ensure_checkpoint_dir
-from contrail.sources import fs, sinks
+from contrail.sources import fs, manifest, sinks
 from contrail.sources.bronze import BRONZE_STORED, bronze_rows, number_files, read_payloads
 
 
@@ -136,10 +136,25 @@ def _mart_stream(spark: SparkSession, mart_root: str, max_files_per_trigger: int
 def advance_clock(spark: SparkSession, clock_root: str, when: datetime) -> None:
     """Leave a mark: no report of before ``when`` (UTC) less the stream's delay is still to come.
 
-    One small file; the stream deletes marks it has read.
+    One small file; the stream deletes marks it has read. The newest mark stays known for late reports.
     """
     mark = spark.range(1).select(ntz_to_instant(ntz_literal(when)).alias("event_time"))
     mark.write.mode("append").parquet(clock_root)
+    manifest.publish(spark, f"{clock_root}/_newest", manifest.newest(spark, f"{clock_root}/_newest"), {"mark": when.isoformat(sep=" ")})
+
+
+def closed_until(spark: SparkSession, gold_root: str, clock_root: str | None, delay: timedelta) -> datetime | None:
+    """Up to when hours are closed: the end of the newest exported one, or the clock's newest mark less the delay."""
+    ends = []
+    if fs.exists(spark, gold_root):
+        begin = F.col("fly_date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("fly_hour"))
+        newest = sinks.read_hourly(spark, gold_root).agg(F.max(begin)).first()[0]  # folder names only
+        if newest is not None:
+            ends.append(newest + timedelta(hours=1))
+    mark = manifest.newest(spark, f"{clock_root}/_newest").state.get("mark") if clock_root else None
+    if mark:
+        ends.append(datetime.fromisoformat(mark) - delay)
+    return max(ends, default=None)
 
 
 def _with_clock(spark: SparkSession, reports: DataFrame, clock_root: str, delay: str) -> DataFrame:
@@ -203,20 +218,21 @@ def recompute_hours(spark: SparkSession, mart_root: str, gold_root: str, hours:
 
 
 def late_hours_stream(spark: SparkSession, mart_root: str, gold_root: str, late_root: str, checkpoint: str,
-                      trigger: str = "300 seconds", max_files_per_trigger: int | None = None) -> StreamingQuery:
+                      trigger: str = "300 seconds", max_files_per_trigger: int | None = None,
+                      clock_root: str | None = None, delay: timedelta = timedelta(minutes=10)) -> StreamingQuery:
     """Side table ``late_root`` (fly_date, fly_hour, reports; one folder a micro-batch) and the hours in it redone.
 
-    An hour is late when its export exists as the report arrives. Redoing one
-    needlessly gives the same rows, so a replayed micro-batch is harmless.
+    A report is late when its hour has been closed as it arrives, be the hour
+    exported or without any report so far. Redoing an hour needlessly gives the
+    same rows, so a replayed micro-batch is harmless.
     """
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if not fs.exists(spark, gold_root):
+        until = closed_until(spark, gold_root, clock_root, delay)
+        if until is None:
             return
-        airborne = batch.where((F.col("on_ground") == F.lit(False)) & F.col("time_position").isNotNull())
-        touched = (airborne.groupBy(F.to_date("time_position").alias("fly_date"), F.hour("time_position").alias("fly_hour"))
-                   .agg(F.count(F.lit(1)).alias("reports")))
-        exported = sinks.read_hourly(spark, gold_root).select("fly_date", "fly_hour").distinct()  # folder names only
-        late = touched.join(exported, ["fly_date", "fly_hour"], "left_semi")
+        airborne = batch.where((F.col("on_ground") == F.lit(False)) & (F.col("time_position") < ntz_literal(_hour_of(until))))
+        late = (airborne.groupBy(F.to_date("time_position").alias("fly_date"), F.hour("time_position").alias("fly_hour"))
+                .agg(F.count(F.lit(1)).alias("reports")))
         path = f"{late_root}/batch_id={batch_id}"
         late.write.mode("overwrite").parquet(path)
         late = spark.read.schema("fly_date date, fly_hour int, reports long").parquet(path)
@@ -227,6 +243,10 @@ def late_hours_stream(spark: SparkSession, mart_root: str, gold_root: str, late_
     return run_trigger(w, trigger).start()
 
 
+def _hour_of(t: datetime) -> datetime:
+    return t.replace(minute=0, second=0, microsecond=0)
+
+
 # --- mart -> latest gold ------------------------------------------------------
 
 def latest_refresh_stream(spark: SparkSession, mart_root: str, gold_root: str, checkpoint: str,

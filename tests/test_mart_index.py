@@ -129,7 +129,7 @@ def test_streams_pass_over_merged_folders(spark, flights, tmp_dir):
 def test_late_report_changes_exactly_its_hour(spark, flights, tmp_dir):
     mart = f"{tmp_dir}/mart"
     watch = lambda: catalog._await(st.late_hours_stream(spark, mart, f"{tmp_dir}/gold", f"{tmp_dir}/late", f"{tmp_dir}/lck",
-                                                        trigger="available_now"))
+                                                        trigger="available_now", clock_root=f"{tmp_dir}/clock"))
     bf.write_mart(flights, mart)
     watch()
     catalog._close_all_hours(spark, tmp_dir)
@@ -148,6 +148,11 @@ def test_late_report_changes_exactly_its_hour(spark, flights, tmp_dir):
     assert len(new) == 1 and f"fly_date={key[1]}/fly_hour={key[2]}/" in new.pop()  # no other hour was written
     noted = [tuple(r) for r in spark.read.schema("fly_date date, fly_hour int, reports long").parquet(f"{tmp_dir}/late").select("fly_date", "fly_hour", "reports").collect()]
     assert noted == [(key[1], key[2], 1)]
+    # An hour without any report so far is closed too: a report for it is late and makes its hour.
+    empty = late.withColumns({"time_position": F.lit("2020-02-02 02:20:00").cast("timestamp_ntz"), "load_id": F.col("load_id") + 1})
+    bf.write_mart(empty, mart)
+    watch()
+    assert sinks.read_hourly(spark, f"{tmp_dir}/gold").where("fly_date = DATE'2020-02-02'").select("fly_hour", "fly_count").collect() == [(2, 1)]
 
 
 def test_failing_stream_leaves_a_critical_row(spark, flights, tmp_dir):
