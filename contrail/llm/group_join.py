@@ -10,7 +10,8 @@ heads. Similar documents are partitioned into groups:
 2. a group is a bounded part of one provisional component, of one size class;
 3. the token-group matrix holds the union of a group's head tokens, with the
    sizes of the sets that hold each. Tokens met in one component only are left
-   out beforehand, by a minimum and a maximum per token;
+   out beforehand, by a minimum and a maximum per token, and components of many
+   groups are first joined with their neighbours by single links;
 4. a document's overlap with a group's union bounds its overlap with any member.
    Only groups of other components whose overlap reaches what a linked member
    would give are opened, and the sets are compared.
@@ -270,17 +271,42 @@ def members(head: DataFrame, placed: DataFrame) -> DataFrame:
                           F.pmod(F.xxhash64("row"), F.coalesce("parts", one)).alias("part"), "head"), "join-members")
 
 
-def open_groups(member: DataFrame) -> DataFrame:
-    """(row, own, comp, size_class, part, shared): the groups of other components that a row's overlap bound lets it open."""
+def shared_tokens(member: DataFrame) -> DataFrame:
+    """(token, row, n, comp, size, size_class, part) of the head tokens that several components have."""
     tokens = member.select(F.explode("head").alias("token"), "row", "comp")
-    live = (tokens.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token"))
+    live = tokens.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
     # Of the many tokens only those of several components go on, and only then with what is known of their rows.
     met = stored(tokens.select("token", "row").join(stored(live, "join-live"), "token"), "join-met")
-    tokens = stored(met.join(member.drop("head"), "row"), "join-tokens")
-    matrix = tokens.groupBy("token", *GROUP, "size").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    ask = tokens.select("token", "row", "n", F.col("comp").alias("own"), F.col("size").alias("own_size"))
-    met = (ask.join(matrix, "token")
-           .where("own <> comp AND (own_size < size OR own_size = size AND own < comp) AND 5 * most >= 4 * n AND 4 * least <= 5 * n"))
+    return stored(met.join(member.drop("head"), "row"), "join-tokens")
+
+
+def join_large(texts: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(root, top) of components that are joined to large ones by a link between two documents that share a token.
+
+    A component of many groups would be asked in each of them by everyone near
+    it. So of each component that has tokens of a large one, the smallest rows
+    that have the first and the last such token are compared with the large one's.
+    """
+    held = tokens.groupBy("token", "comp", "size").agg(F.min("row").alias("row"))
+    large = held.where(F.col("size") > MEMBERS).select("token", F.col("comp").alias("to"), F.col("size").alias("to_size"), F.col("row").alias("with"))
+    met = held.join(large, "token").where("size < to_size OR size = to_size AND comp < to")
+    tried = met.groupBy("comp", "to").agg(*[f(F.struct("token", "row", "with")).alias(k) for k, f in (("lo", F.min), ("hi", F.max))])
+    pairs = tried.select("comp", "to", F.explode(F.array("lo", "hi")).alias("p")).select(
+        F.col("p.row").alias("row"), F.col("comp").alias("own"), F.col("to").alias("comp"), F.lit(0).alias("size_class"), F.col("p.with").alias("part"))
+    pairs = stored(pairs.distinct(), "join-large")
+    if pairs.isEmpty():
+        return _tops(pairs.select("own", "comp"))
+    return _tops(group_links(texts, pairs.select(F.col("part").alias("row"), *GROUP).distinct(), pairs))
+
+
+def open_groups(tokens: DataFrame, tops: DataFrame) -> DataFrame:
+    """(row, own, comp, size_class, part, shared): the groups of other components that a row's overlap bound lets it open."""
+    tokens = tokens.join(tops.withColumnRenamed("root", "comp"), "comp", "left").withColumn("top", F.coalesce("top", "comp"))
+    matrix = tokens.groupBy("token", *GROUP, "size", "top").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    ask = tokens.select("token", "row", "n", F.col("comp").alias("own"), F.col("size").alias("own_size"), F.col("top").alias("own_top"))
+    live = tokens.groupBy("token").agg(F.min("top").alias("lo"), F.max("top").alias("hi")).where("lo <> hi").select("token")
+    met = (ask.join(live, "token").join(matrix, "token")
+           .where("own_top <> top AND (own_size < size OR own_size = size AND own < comp) AND 5 * most >= 4 * n AND 4 * least <= 5 * n"))
     return stored(met.groupBy("row", "own", "n", *GROUP).agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= _wanted("n"))
                   .select("row", "own", *GROUP, "shared"), "join-open")
 
@@ -316,24 +342,30 @@ def _tops(between: DataFrame) -> DataFrame:
     return components(links).select(F.col("doc").alias("root"), F.col("root").alias("top"))
 
 
-def join_components(texts: DataFrame, member: DataFrame, opened: DataFrame) -> DataFrame:
+def join_components(texts: DataFrame, member: DataFrame) -> DataFrame:
     """(root, top): components joined by links between them.
 
-    Of two components first the one row and group of the largest overlap are
-    tried. Most that belong together are then joined, and what is left to open
-    lies between components that are still apart.
+    Large components are joined first. Then of two components the one row and
+    group of the largest overlap are tried; most that belong together are then
+    joined, and what is left to open lies between components that are still apart.
     """
+    tokens = shared_tokens(member)
+    tops = join_large(texts, tokens)
+    known = tops.select(F.col("root").alias("own"), F.col("top").alias("comp"))
+    opened = open_groups(tokens, tops)
+    if opened.isEmpty():
+        return tops
     best = (opened.groupBy("own", "comp").agg(F.max(F.struct("shared", "row", "size_class", "part")).alias("b"))
             .select("b.row", "own", "comp", "b.size_class", "b.part"))
-    between = group_links(texts, member, stored(best, "join-best"))
-    tops = _tops(between)
+    known = stored(known.union(group_links(texts, member, stored(best, "join-best"))), "join-known-links")
+    tops = _tops(known)
     seen = opened
     for side in ("own", "comp"):
         seen = seen.join(tops.select(F.col("root").alias(side), F.col("top").alias(f"top_{side}")), side, "left")
     rest = stored(seen.where("coalesce(top_own, own) <> coalesce(top_comp, comp)").select(*opened.columns), "join-rest")
     if rest.isEmpty():
         return tops
-    return _tops(between.union(group_links(texts, member, rest)).distinct())
+    return _tops(known.union(group_links(texts, member, rest)).distinct())
 
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -348,12 +380,10 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     common = common_tokens(texts.join(_few(one_each), "row", "left_anti"), counted)
     member = members(heads(texts, common), placed)
     roots = comp.select(F.col("doc").alias("row"), "root")
-    opened = open_groups(member)
-    if not opened.isEmpty():
-        top = join_components(texts, member, opened)
-        joined = roots.join(top, "root", "left").select("row", F.coalesce("top", "root").alias("root"))
-        # Components that are joined to a smaller one have their own root linked as well.
-        roots = stored(joined.union(top.select(F.col("root").alias("row"), F.col("top").alias("root"))).distinct(), "join-roots")
+    top = join_components(texts, member)
+    joined = roots.join(top, "root", "left").select("row", F.coalesce("top", "root").alias("root"))
+    # Components that are joined to a smaller one have their own root linked as well.
+    roots = stored(joined.union(top.select(F.col("root").alias("row"), F.col("top").alias("root"))).distinct(), "join-roots")
     return texts, first, roots
 
 
