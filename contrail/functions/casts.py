@@ -145,5 +145,7 @@ def exact_avg(col: Column | str, scale: int = AVG_SCALE) -> Column:
     decides a half-even rounding to 2 places. So values are summed as
     decimals of ``scale`` fractional digits, which is exact, and what that
     leaves of them (nothing, for ordinary measures) in a double sum beside it.
+    Of values of ``AVG_LIMIT`` or more only that double sum is made, so the order
+    of their sums decides the last bit.
     """
     return mean_of(F.sum(exact_part(col, scale)), F.sum(other_part(col, scale)), F.count(_c(col)))

@@ -2,9 +2,10 @@
 
 Spark's own readers leave out names that begin with ``_`` or ``.`` and files
 without bytes. An object store has no such names, so a listing that feeds a
-ledger must hold them. Folders are listed in tasks, level by level: the folders
-found on one level are spread over the tasks of the next, so a wide tree is
-listed in parallel and the driver sees counts only.
+ledger must hold them. Folders are listed in tasks, round by round: a task lists
+a folder and what lies under it until it has seen ``ENTRIES`` names, and the
+folders it has not come to are spread over the tasks of the next round. A large
+tree is listed in parallel, a small one in one round, and the driver sees counts only.
 """
 
 from __future__ import annotations
@@ -15,14 +16,17 @@ from contrail.session import ensure_checkpoint_dir
 from contrail.sources import fs
 from contrail.sources.fs import _by_value, arrow_fs
 
+ENTRIES = 5_000
 SCHEMA = "file_key string, is_file boolean, file_size long, mtime_ms long, content_md5 string"
 
 
 def _lister(digest: bool):
-    to_fs = _by_value(arrow_fs)
+    """Files under the given folders, and the folders (``is_file`` false) still to be listed."""
+    to_fs, entries = _by_value(arrow_fs), ENTRIES
 
     def run(batches):  # runs in Python workers: references nothing of this package
         import hashlib
+        from collections import deque
 
         import pyarrow as pa
         from pyarrow import fs as pafs
@@ -35,18 +39,27 @@ def _lister(digest: bool):
             return h.hexdigest()
 
         for batch in batches:
-            for key in batch.column("file_key").to_pylist():
+            folders, seen = deque(batch.column("file_key").to_pylist()), 0
+            while folders and seen < entries:
+                key = folders.popleft().rstrip("/")
                 filesystem, top = to_fs(key)
-                top = top.rstrip("/") or "/"
                 rows = []
-                for info in filesystem.get_file_info(pafs.FileSelector(top, allow_not_found=True)):
-                    is_file = info.type == pafs.FileType.File
-                    rows.append((key.rstrip("/") + "/" + info.base_name, is_file, info.size or 0, (info.mtime_ns or 0) // 1_000_000,
-                                 content_md5(filesystem, info.path) if digest and is_file else None))
-                columns = list(zip(*rows)) or [[]] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (
-                    pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.string()))],
-                    ["file_key", "is_file", "file_size", "mtime_ms", "content_md5"])
+                for info in filesystem.get_file_info(pafs.FileSelector(top or "/", allow_not_found=True)):
+                    name = f"{key}/{info.base_name}"
+                    if info.type != pafs.FileType.File:
+                        folders.append(name)
+                        continue
+                    rows.append((name, True, info.size or 0, (info.mtime_ns or 0) // 1_000_000,
+                                 content_md5(filesystem, info.path) if digest else None))
+                seen += len(rows) + 1
+                yield table(pa, rows)
+            yield table(pa, [(key, False, 0, 0, None) for key in folders])
+
+    def table(pa, rows):
+        kinds = (pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.string())
+        columns = list(zip(*rows)) or [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
+                                          ["file_key", "is_file", "file_size", "mtime_ms", "content_md5"])
     return run
 
 
@@ -61,9 +74,9 @@ def list_tree(spark: SparkSession, root: str, digest: bool = False) -> DataFrame
     found = None
     while True:
         width = spark.sparkContext.defaultParallelism
-        level = folders.repartition(width).mapInArrow(_lister(digest), SCHEMA).checkpoint()
-        found = level if found is None else found.unionByName(level)
-        folders = level.where("NOT is_file").select("file_key")
+        listed = folders.repartition(width).mapInArrow(_lister(digest), SCHEMA).checkpoint()
+        found = listed if found is None else found.unionByName(listed)
+        folders = listed.where("NOT is_file").select("file_key")
         if folders.isEmpty():
             return found.where("is_file").drop("is_file")
 

@@ -44,16 +44,16 @@ def main() -> None:
     items = [
         ("flatten (bronze -> mart)", catalog.flatten_states(spark, sf),
          "JSON parsed once, explode, positional casts: no exchange after the snapshot build."),
-        ("hourly_prev on the stored mart", hr.hourly_previous(mart, P.AS_OF),
-         "Hour range and airborne filter pushed to Parquet; ReadSchema has only the 6 needed columns; "
+        ("hourly_prev on the stored mart", hr.hourly_previous(bf.read_positions(spark, root, *hr.hour_bounds(P.AS_OF)), P.AS_OF),
+         "The zone map turns the hour range into upload dates (PartitionFilters); hour range and airborne filter pushed to Parquet; ReadSchema has only the 6 needed columns; "
          "distinct count in two phases."),
         ("hourly_all on the stored mart", hourly, "Same two-phase aggregate, no range."),
         ("latest snapshot (newest day folder)", lt.latest_by_watermark(bf.read_latest_day(spark, root)),
          "PartitionFilters select one upload_date; the max subquery is pushed to the scan."),
-        ("latest by rank", lt.latest_by_rank(mart),
-         "Max subquery + pushed equality filter: no Window, no sort."),
-        ("country day with total", sv.with_total(sv.country_day(hourly, P.COUNTRY, P.DAY)),
-         "Country and date filters pushed through the aggregate to the scan."),
+        ("latest by rank", lt.latest_by_rank(bf.read_top_load(spark, root)),
+         "One folder by its zone. Max subquery + pushed equality filter: no Window, no sort."),
+        ("country day with total", catalog.country_day_total(spark, sf),
+         "Reads the exported hours: the date is a partition filter."),
         ("lenient casts", catalog.cast_lenient(spark, sf), "Narrow projection; no Python."),
     ]
     out = ["# Physical plans of the headline queries",

@@ -11,7 +11,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from contrail.sources import csv_blocks, manifest
+from contrail.sources import csv_blocks, listing, manifest
 from contrail.sources import ingest as ig
 from contrail.sources.listing import list_tree
 
@@ -74,7 +74,7 @@ def test_of_two_runs_at_once_one_starts_over(spark, tmp_dir, monkeypatch):
     assert rows(spark, tmp_dir) == [(1, "x")]
 
 
-def test_hidden_and_empty_files_count(spark, tmp_dir):
+def test_hidden_and_empty_files_count(spark, tmp_dir, monkeypatch):
     put(tmp_dir, {"good.json": '[{"id": 1, "name": "a"}]', "_x.json": '[{"id": 2, "name": "b"}]', ".y.csv": "id,name\n3,c\n", "empty.json": ""})
     assert load(spark, tmp_dir) == (3, 0, 1)
     assert rows(spark, tmp_dir) == [(1, "a"), (2, "b"), (3, "c")]
@@ -83,6 +83,8 @@ def test_hidden_and_empty_files_count(spark, tmp_dir):
     assert load(spark, tmp_dir) == (3, 3, 2)
     assert rows(spark, tmp_dir)[-1] == (4, "d")
     assert list_tree(spark, f"{tmp_dir}/src").count() == 9
+    monkeypatch.setattr(listing, "ENTRIES", 1)  # a round for each folder
+    assert list_tree(spark, f"{tmp_dir}/src").count() == 9
     assert list_tree(spark, f"{tmp_dir}/nowhere").count() == 0
 
 
