@@ -1,14 +1,19 @@
 """Quality rules by weak supervision, in DataFrame expressions only.
 
-Every rule votes good (+1), bad (-1) or abstains (0) on a document. The
-number of documents per vote pattern (at most 3^rules rows, whatever the
-corpus size) is aggregated by Spark; expectation-maximisation over that
-table estimates, per class, how often each rule casts each vote. The
-posterior is then a plain column expression.
+Eleven rules look at one measure each and vote good (+1), bad (-1) or abstain
+(0) on a document; no rule decides alone. The number of documents per vote
+pattern (at most 3^rules rows, whatever the corpus size) is aggregated by
+Spark; expectation-maximisation over that table estimates, per class, how
+often each rule casts each vote. The posterior is then a plain column
+expression. Two assumptions hold the classes in place: an abstention says
+nothing, and no vote speaks against its meaning (where the data say otherwise,
+its rates in the two classes are pooled, so that it counts for nothing).
 
 Defined results: a null text counts as empty; an empty text has no words and
 fails the base rule; an empty table gives an empty result; repeated rows each
-count and each come back; extra columns are not read.
+count and each come back; extra columns are not read. A text is measured in
+one task, its words held as an array; no work is more than linear in its
+length but for a sort of its repeated windows.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from contrail.llm.store import stored
@@ -26,6 +32,9 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
+# A word of letters with marks, hyphens and apostrophes, punctuation around it. Possessive: linear in any word.
+CLEAN_WORD = r"""^["'(\u201c\u00ab]*+\p{L}[\p{L}\p{M}'\u2019-]*+[.,;:!?)"'\u2019\u201d\u00bb\u2026]*+$"""
+STOPS = ".!?\u3002\u0964"
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -71,6 +80,9 @@ def with_features(df: DataFrame, text_col: str = "text", prefix: str = "_wq_") -
         f"{p}n_symbols": _count_of(text, SYMBOLS),
         f"{p}n_upper": _count_of(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
         f"{p}n_bang": _count_of(text, "!"),
+        f"{p}n_letters": F.length(F.regexp_replace(text, r"[^\p{L}\p{M}]+", "")).cast("long"),
+        f"{p}n_clean": F.size(F.filter(f"{p}words", lambda w: w.rlike(CLEAN_WORD))).cast("long"),
+        f"{p}n_stops": _count_of(text, STOPS),
         f"{p}n_lines": F.size(lines).cast("long"),
         f"{p}n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
         f"{p}n_repeat_words": F.coalesce(repeat, F.lit(0).cast("long")),
@@ -87,26 +99,26 @@ def base_failed(prefix: str = "_wq_") -> Column:
 def votes(prefix: str = "_wq_") -> dict[str, Column]:
     """Rule name -> vote column. Integer comparisons only, so votes are exact.
 
-    Each symptom rule votes bad or abstains: the absence of one symptom says
-    little. ``prose`` votes good for a text with none of them.
+    Each rule has one measure and two bounds; between them it abstains.
     """
     c = {k: F.col(f"{prefix}{k}") for k in (
-        "n_words", "n_distinct", "word_chars", "n_symbols", "n_upper", "n_bang", "n_lines",
-        "n_dup_lines", "n_repeat_words")}
+        "n_words", "n_distinct", "word_chars", "n_symbols", "n_upper", "n_bang", "n_letters", "n_clean",
+        "n_stops", "n_lines", "n_dup_lines", "n_repeat_words")}
     n, chars = c["n_words"], c["word_chars"]
-    bad = {
-        "symbols": 20 * c["n_symbols"] > n,
-        "shouting": (2 * c["n_upper"] > chars) | (5 * c["n_bang"] > n),
-        "repeats": 100 * c["n_repeat_words"] > 15 * n,
-        "lines": (c["n_lines"] >= 4) & (2 * c["n_dup_lines"] > c["n_lines"]),
-        "length": n < MIN_WORDS,
-        "word_size": (chars > 20 * n) | (chars < 2 * n),
-        "variety": (n >= 50) & (10 * c["n_distinct"] < n),
+    rules = {  # rule: (bad if, good if)
+        "symbols": (10 * c["n_symbols"] > n, 50 * c["n_symbols"] <= n),
+        "letters": (10 * c["n_letters"] < 7 * chars, 20 * c["n_letters"] >= 17 * chars),
+        "clean_words": (10 * c["n_clean"] < 6 * n, 10 * c["n_clean"] >= 8 * n),
+        "capitals": (5 * c["n_upper"] > 2 * chars, 20 * c["n_upper"] <= 3 * chars),
+        "exclaiming": (5 * c["n_bang"] > n, 20 * c["n_bang"] <= n),
+        "repeats": (20 * c["n_repeat_words"] > 3 * n, 20 * c["n_repeat_words"] <= n),
+        "lines": (10 * c["n_dup_lines"] > 3 * c["n_lines"], (c["n_lines"] >= 3) & (c["n_dup_lines"] == 0)),
+        "length": (n < MIN_WORDS, n >= 50),
+        "word_size": ((chars < 2 * n) | (chars > 20 * n), (chars >= 3 * n) & (chars <= 10 * n)),
+        "variety": ((n >= 50) & (10 * c["n_distinct"] < n), 5 * c["n_distinct"] >= 2 * n),
+        "sentences": ((n >= 100) & (200 * c["n_stops"] < n), (60 * c["n_stops"] >= n) & (3 * c["n_stops"] <= n)),
     }
-    prose = ((50 * c["n_symbols"] <= n) & (5 * c["n_upper"] <= chars) & (20 * c["n_bang"] <= n)
-             & (10 * c["n_repeat_words"] <= n) & (n >= MIN_WORDS) & (chars <= 15 * n) & (chars >= 2 * n))
-    out = {k: F.when(v, F.lit(-1)).otherwise(F.lit(0)) for k, v in bad.items()}
-    return out | {"prose": F.when(prose, F.lit(1)).otherwise(F.lit(0))}
+    return {k: F.when(bad, F.lit(-1)).when(good, F.lit(1)).otherwise(F.lit(0)) for k, (bad, good) in rules.items()}
 
 
 @dataclass(frozen=True)
@@ -116,6 +128,7 @@ class VoteModel:
     rules: tuple[str, ...]
     prior: float
     prob: tuple[tuple[tuple[float, float, float], ...], ...]  # [class][rule][vote + 1]
+    silence: bool = True  # an abstention counts as evidence too
 
     def accuracy(self) -> dict[str, float]:
         """P(vote is right | the rule votes), per rule."""
@@ -126,48 +139,60 @@ class VoteModel:
             out[name] = right / (right + (1 - self.prior) * b[2] + self.prior * g[0])
         return out
 
+    def weights(self, rule: int) -> tuple[float, float, float]:
+        """What a bad vote, an abstention and a good vote of the rule add to the log-odds of good."""
+        down, none, up = (math.log(g / b) for b, g in zip(self.prob[0][rule], self.prob[1][rule]))
+        return down, none if self.silence else 0.0, up
+
     def log_odds(self, vote: Sequence[int]) -> float:
-        total = math.log(self.prior / (1 - self.prior))
-        for j, v in enumerate(vote):
-            total += math.log(self.prob[1][j][v + 1] / self.prob[0][j][v + 1])
-        return total
+        return math.log(self.prior / (1 - self.prior)) + sum(self.weights(j)[v + 1] for j, v in enumerate(vote))
 
     def log_odds_column(self, vote: dict[str, Column]) -> Column:
         total = F.lit(math.log(self.prior / (1 - self.prior)))
         for j, name in enumerate(self.rules):
-            down, none, up = (math.log(self.prob[1][j][k] / self.prob[0][j][k]) for k in range(3))
+            down, none, up = self.weights(j)
             total = total + F.when(vote[name] < 0, F.lit(down)).when(vote[name] > 0, F.lit(up)).otherwise(F.lit(none))
         return total
 
 
 def estimate(patterns: list[tuple[tuple[int, ...], int]], rules: Sequence[str],
-             rounds: int = 50, smooth: float = 1.0) -> VoteModel:
+             rounds: int = 200, smooth: float = 1.0, silence: bool = True) -> VoteModel:
     """EM over (vote pattern, number of documents) rows.
 
     Starts from the reading "any bad vote means bad". Add-``smooth`` counts
     (bad texts expected to draw bad votes, good texts good ones) keep every
     probability inside (0, 1), and the prior is kept 1e-3 away from 0 and 1,
-    so an empty or one-sided corpus still gives a usable model.
+    so an empty or one-sided corpus still gives a usable model. Where good
+    texts draw more of a rule's bad votes than bad ones do (or fewer of its
+    good votes), both classes get the rate of all texts. ``silence`` says
+    whether abstentions are evidence: rules that only ever cast one kind of
+    vote need it, rules that cast both do not.
     """
     patterns = sorted(patterns)  # the same sums in the same order on every run
-    start = [[0.4, 0.5, 0.1], [0.1, 0.5, 0.4]]
-    post = [0.05 if -1 in v else 0.95 for v, _ in patterns]
+    vote = np.array([v for v, _ in patterns], np.int64).reshape(len(patterns), len(rules))
+    cast = np.stack([vote == k for k in (-1, 0, 1)], axis=2).astype(np.float64)  # [pattern, rule, vote + 1]
+    n = np.array([c for _, c in patterns], np.float64)
+    start = smooth * np.array([[0.4, 0.5, 0.1], [0.1, 0.5, 0.4]])
+    good = np.where((vote < 0).any(axis=1), 0.05, 0.95)
     model = None
     for _ in range(rounds):
-        mass = [smooth, smooth]
-        count = [[[smooth * x for x in start[y]] for _ in rules] for y in range(2)]
-        for (v, n), p in zip(patterns, post):
-            for y, w in ((0, n * (1 - p)), (1, n * p)):
-                mass[y] += w
-                for j, x in enumerate(v):
-                    count[y][j][x + 1] += w
-        prior = min(max(mass[1] / (mass[0] + mass[1]), 1e-3), 1 - 1e-3)
-        prob = tuple(tuple(tuple(c / sum(row) for c in row) for row in count[y]) for y in range(2))
-        model = VoteModel(tuple(rules), prior, prob)
-        new = [1 / (1 + math.exp(-max(-700.0, min(700.0, model.log_odds(v))))) for v, _ in patterns]
-        if max((abs(a - b) for a, b in zip(new, post)), default=0.0) < 1e-9:
+        share = np.stack([n * (1 - good), n * good])  # [class, pattern]
+        mass = share.sum(axis=1) + smooth
+        count = np.einsum("yp,pjk->yjk", share, cast) + start[:, None, :]
+        prob = count / mass[:, None, None]
+        pooled = count.sum(axis=0) / mass.sum()
+        for k, turned in ((0, prob[1, :, 0] > prob[0, :, 0]), (2, prob[1, :, 2] < prob[0, :, 2])):
+            prob[:, :, k] = np.where(turned, pooled[:, k], prob[:, :, k])
+        prob[:, :, 1] = 1 - prob[:, :, 0] - prob[:, :, 2]
+        prior = float(np.clip(mass[1] / mass.sum(), 1e-3, 1 - 1e-3))
+        model = VoteModel(tuple(rules), prior, tuple(tuple(map(tuple, y)) for y in prob.tolist()), silence)
+        weight = np.array([model.weights(j) for j in range(len(rules))])
+        log_odds = math.log(prior / (1 - prior)) + np.einsum("jk,pjk->p", weight, cast)
+        new = 1 / (1 + np.exp(-np.clip(log_odds, -700, 700)))
+        moved = np.abs(new - good).max(initial=0.0)
+        good = new
+        if moved < 1e-9:
             break
-        post = new
     return model
 
 
@@ -177,7 +202,7 @@ def fit(measured: DataFrame, prefix: str = "_wq_") -> VoteModel:
     rules = list(named)
     rows = (measured.select(*[v.alias(k) for k, v in named.items()])
             .groupBy(*rules).agg(F.count(F.lit(1)).alias("n")).collect())
-    return estimate([(tuple(r[k] for k in rules), r["n"]) for r in rows], rules)
+    return estimate([(tuple(r[k] for k in rules), r["n"]) for r in rows], rules, silence=False)
 
 
 def judged(measured: DataFrame, model: VoteModel, prefix: str = "_wq_", threshold: float = 0.5) -> DataFrame:
@@ -203,11 +228,9 @@ def report(docs: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with exactly its columns."""
-    # The row travels as one value, so none of its columns can meet the measures' names.
+    # The row travels as one value, so none of its columns can meet the measures' names; rows and
+    # measures are written once, so each text is worked through once.
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    measured = with_features(docs.select("text", row.alias("row")))
-    scored = judged(measured, fit(measured))
-    # Through a generated column: a filter on a plain one would be moved below the intermediate
-    # columns, their expressions nested into one another.
-    passed = scored.withColumn("_wq_pass", F.explode_outer(F.array("_wq_kept")))
-    return passed.where(F.col("_wq_pass")).select(*[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns)])
+    measured = stored(with_features(docs.select("text", row.alias("row"))).drop("text"), "measured")
+    passed = judged(measured, fit(measured)).where(F.col("_wq_kept"))
+    return passed.select(*[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns)])
