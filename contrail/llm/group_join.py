@@ -13,8 +13,9 @@ heads. Similar documents are partitioned into groups:
    out beforehand, by a minimum and a maximum per token, and components of many
    groups are first joined with their neighbours by single links;
 4. a document's overlap with a group's union bounds its overlap with any member.
-   Only groups of other components whose overlap reaches what a linked member
-   would give are opened, and the sets are compared.
+   Tokens count where their places in the two orders, given the sizes, leave room
+   for a link. Only groups of other components whose overlap reaches what a linked
+   member would give are opened, and the sets are compared.
 
 Pairs inside one component need no further check, so copies and near copies, be
 they a third of all rows, never meet all pairs. Of two components the documents
@@ -55,7 +56,7 @@ BUCKET_TOKENS = 1 << 22
 MEMBERS = 32
 MEMBER_BYTES = 4 << 20
 ASKING = 128
-EXTRA = 32
+EXTRA = 64
 GROUP = ["comp", "size_class", "part"]
 
 
@@ -73,6 +74,20 @@ def _wanted(n: str) -> Column:
     return F.expr(f"1 + ((4 * {n} + 4) div 5) div {EXTRA}")
 
 
+def _may_link(n: str, place: str, least: str, most: str, first: str) -> Column:
+    """Whether a shared token may be one of those that a link asks for.
+
+    Sets of ``n`` and ``m`` tokens that link share at least 4/9 of ``n + m``, so
+    their first tokens up to that, and as many more as :func:`_wanted` adds, share
+    that many. The token is at ``place`` in the one; in the others, of ``least`` to
+    ``most`` tokens, it is at ``first`` or later.
+    """
+    low, high = f"greatest({least}, (4 * {n} + 4) div 5)", f"least({most}, 5 * {n} div 4)"
+    more = f"((4 * {n} + 4) div 5) div {EXTRA}"
+    return F.expr(f"{low} <= {high} AND {place} <= {n} - (4 * ({n} + {low}) + 8) div 9 + {more}"
+                  f" AND {first} <= {high} - (4 * ({n} + {high}) + 8) div 9 + {more}")
+
+
 def _shingles(piece) -> tuple[np.ndarray, np.ndarray]:
     return shingles([t.encode().lower() for t in piece.column("text").to_pylist()])
 
@@ -272,11 +287,11 @@ def members(head: DataFrame, placed: DataFrame) -> DataFrame:
 
 
 def shared_tokens(member: DataFrame) -> DataFrame:
-    """(token, row, n, comp, size, size_class, part) of the head tokens that several components have."""
-    tokens = member.select(F.explode("head").alias("token"), "row", "comp")
+    """(token, place, row, n, comp, size, size_class, part) of the head tokens that several components have."""
+    tokens = member.select(F.posexplode("head").alias("place", "token"), "row", "comp")
     live = tokens.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
     # Of the many tokens only those of several components go on, and only then with what is known of their rows.
-    met = stored(tokens.select("token", "row").join(stored(live, "join-live"), "token"), "join-met")
+    met = stored(tokens.select("token", "place", "row").join(stored(live, "join-live"), "token"), "join-met")
     return stored(met.join(member.drop("head"), "row"), "join-tokens")
 
 
@@ -302,11 +317,12 @@ def join_large(texts: DataFrame, tokens: DataFrame) -> DataFrame:
 def open_groups(tokens: DataFrame, tops: DataFrame) -> DataFrame:
     """(row, own, comp, size_class, part, shared): the groups of other components that a row's overlap bound lets it open."""
     tokens = tokens.join(tops.withColumnRenamed("root", "comp"), "comp", "left").withColumn("top", F.coalesce("top", "comp"))
-    matrix = tokens.groupBy("token", *GROUP, "size", "top").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    ask = tokens.select("token", "row", "n", F.col("comp").alias("own"), F.col("size").alias("own_size"), F.col("top").alias("own_top"))
+    matrix = tokens.groupBy("token", *GROUP, "size", "top").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("place").alias("first"))
+    ask = tokens.select("token", "place", "row", "n", F.col("comp").alias("own"), F.col("size").alias("own_size"), F.col("top").alias("own_top"))
     live = tokens.groupBy("token").agg(F.min("top").alias("lo"), F.max("top").alias("hi")).where("lo <> hi").select("token")
     met = (ask.join(live, "token").join(matrix, "token")
-           .where("own_top <> top AND (own_size < size OR own_size = size AND own < comp) AND 5 * most >= 4 * n AND 4 * least <= 5 * n"))
+           .where("own_top <> top AND (own_size < size OR own_size = size AND own < comp)")
+           .where(_may_link("n", "place", "least", "most", "first")))
     return stored(met.groupBy("row", "own", "n", *GROUP).agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= _wanted("n"))
                   .select("row", "own", *GROUP, "shared"), "join-open")
 

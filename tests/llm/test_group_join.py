@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from contrail.llm import group_join
 
@@ -101,6 +102,44 @@ def test_heads_share_what_the_bound_asks():
             assert len(head[0] & head[1]) >= 1 + group_join._least_shared(len(s)) // group_join.EXTRA
 
 
+def test_places_of_shared_tokens_keep_every_link(spark):
+    """Of two linked sets enough shared tokens are where the sizes ask for them, also seen through a group."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for pair in range(1500):
+        n = int(rng.integers(1, 260))
+        m = int(rng.integers((4 * n + 4) // 5, 5 * n // 4 + 1))
+        least = -(-4 * (n + m) // 9)
+        both = least if pair % 2 else int(rng.integers(least, min(n, m) + 1))
+        pool = rng.permutation(1000)
+        x, y = sorted(pool[:n]), sorted([*pool[:both], *pool[n:n + m - both]])
+        assert 5 * both >= 4 * (n + m - both)
+        at = [{t: i for i, t in enumerate(s[:group_join.head_length(len(s))])} for s in (x, y)]
+        low, high = m - int(rng.integers(0, 3)), m + int(rng.integers(0, 3))  # of other members of a group
+        rows += [(pair, n, at[0][t], low, high, max(0, at[1][t] - int(rng.integers(0, 3)))) for t in at[0].keys() & at[1].keys()]
+    df = spark.createDataFrame(rows, "pair int, n long, place int, least long, most long, first int")
+    kept = (df.where(group_join._may_link("n", "place", "least", "most", "first")).groupBy("pair", "n").count()
+            .where(F.col("count") >= group_join._wanted("n")))
+    assert kept.count() == 1500
+
+
+def test_near_copies_below_the_threshold_do_not_meet(spark, monkeypatch):
+    """Copies of one text with four words changed in each: no two link, and few of their tokens are held together."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(4000)}" for _ in range(150)]
+    rows = []
+    for i in range(300):
+        words = base[:]
+        for j in rng.sample(range(5, 140, 10), 4):
+            words[j] = f"v{i}x{j}"
+        rows.append((i, " ".join(words)))
+    seen = []
+    inner = group_join.open_groups
+    monkeypatch.setattr(group_join, "open_groups", lambda tokens, tops: seen.append(inner(tokens, tops)) or seen[-1])
+    assert got(spark, rows) == brute(rows)
+    assert sum(df.count() for df in seen) == 0
+
+
 def test_common_tokens_are_counted_exactly_and_bounded(spark):
     texts = spark.createDataFrame([(i, f"one two three four five six n{i} m{i} " + ("a b c d e " * 3 if i % 20 == 0 else "")) for i in range(200)],
                                   "row long, text string").repartition(5)
