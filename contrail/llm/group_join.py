@@ -10,8 +10,8 @@ heads. Similar documents are partitioned into groups:
 2. a group is a bounded part of one provisional component, of one size class;
 3. the token-group matrix holds the union of a group's head tokens, with the
    sizes of the sets that hold each. Tokens met in one component only are left
-   out beforehand, by a minimum and a maximum per token, and components of many
-   groups are first joined with their neighbours by single links;
+   out beforehand, by a minimum and a maximum per token, and components are first
+   joined by links between their central documents;
 4. a document's overlap with a group's union bounds its overlap with any member.
    Tokens count where their places in the two orders, given the sizes, leave room
    for a link. Only groups of other components whose overlap reaches what a linked
@@ -295,20 +295,24 @@ def shared_tokens(member: DataFrame) -> DataFrame:
     return stored(met.join(member.drop("head"), "row"), "join-tokens")
 
 
-def join_large(texts: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(root, top) of components that are joined to large ones by a link between two documents that share a token.
+def join_hubs(texts: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(root, top) of components that a link between two central documents joins.
 
-    A component of many groups would be asked in each of them by everyone near
-    it. So of each component that has tokens of a large one, the smallest rows
-    that have the first and the last such token are compared with the large one's.
+    A component's central document is the one that shares most of its head. It is
+    held against that of the largest component which has one of the same tokens in
+    its central head, if the overlap of the two lets it. That is at most one
+    partner a token, and most of what belongs to a large family is joined by it.
     """
-    held = tokens.groupBy("token", "comp", "size").agg(F.min("row").alias("row"))
-    large = held.where(F.col("size") > MEMBERS).select("token", F.col("comp").alias("to"), F.col("size").alias("to_size"), F.col("row").alias("with"))
-    met = held.join(large, "token").where("size < to_size OR size = to_size AND comp < to")
-    tried = met.groupBy("comp", "to").agg(*[f(F.struct("token", "row", "with")).alias(k) for k, f in (("lo", F.min), ("hi", F.max))])
-    pairs = tried.select("comp", "to", F.explode(F.array("lo", "hi")).alias("p")).select(
-        F.col("p.row").alias("row"), F.col("comp").alias("own"), F.col("to").alias("comp"), F.lit(0).alias("size_class"), F.col("p.with").alias("part"))
-    pairs = stored(pairs.distinct(), "join-large")
+    central = (tokens.groupBy("comp", "row").agg(F.count(F.lit(1)).alias("tokens"))
+               .groupBy("comp").agg(F.min_by("row", F.struct(-F.col("tokens"), "row")).alias("row")).select("row"))
+    held = stored(tokens.join(central, "row").select("token", "place", "row", "n", "comp", "size"), "join-central")
+    hub = held.groupBy("token").agg(F.max_by(F.struct("comp", "row", "n", "place"), F.struct("size", -F.col("comp"))).alias("hub"))
+    met = (held.join(hub, "token").where("comp <> hub.comp")
+           .select("row", "n", "place", F.col("comp").alias("own"), F.col("hub.comp").alias("comp"), F.col("hub.row").alias("with"),
+                   F.col("hub.n").alias("m"), F.col("hub.place").alias("first"))
+           .where(_may_link("n", "place", "m", "m", "first")))
+    pairs = stored(met.groupBy("row", "own", "n", "comp", "with").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= _wanted("n"))
+                   .select("row", "own", "comp", F.lit(0).alias("size_class"), F.col("with").alias("part")), "join-hubs")
     if pairs.isEmpty():
         return _tops(pairs.select("own", "comp"))
     return _tops(group_links(texts, pairs.select(F.col("part").alias("row"), *GROUP).distinct(), pairs))
@@ -361,12 +365,12 @@ def _tops(between: DataFrame) -> DataFrame:
 def join_components(texts: DataFrame, member: DataFrame) -> DataFrame:
     """(root, top): components joined by links between them.
 
-    Large components are joined first. Then of two components the one row and
+    Central documents are tried first. Then of two components the one row and
     group of the largest overlap are tried; most that belong together are then
     joined, and what is left to open lies between components that are still apart.
     """
     tokens = shared_tokens(member)
-    tops = join_large(texts, tokens)
+    tops = join_hubs(texts, tokens)
     known = tops.select(F.col("root").alias("own"), F.col("top").alias("comp"))
     opened = open_groups(tokens, tops)
     if opened.isEmpty():
