@@ -63,7 +63,7 @@ class Bpe:
     divide: Callable[[str], list[str]] | None = None  # the library's own division into words
     made: dict[str, tuple[int, str, str] | None] = field(default_factory=dict)
     fits: dict[tuple[str, str], bool] = field(default_factory=dict)
-    words: dict[str, tuple[bytes, str]] = field(default_factory=dict)
+    words: dict[str, bytes] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         import regex
@@ -76,6 +76,7 @@ class Bpe:
         self.special = regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))) if self.added else None
         self.text_of = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.added.items()}
         self.longest = max(map(len, self.vocab), default=1)
+        self.byte_map = dict(enumerate(self.symbols))
 
     def parts(self, token: str) -> list[str]:
         if token.endswith(END):
@@ -145,19 +146,9 @@ class Bpe:
         before it is the path that stays. ``last[d]`` and ``back[d]`` are the
         last token of the path's first ``d`` symbols and where it starts.
         """
-        table = {b: c for b, c in enumerate(self.symbols)}
-        trie = sorted((w.encode().decode("latin-1").translate(table), w) for w in words)
-        vocab, follows, longest = self.vocab, self.follows, self.longest
-        made, last_merge, ids_of = self.made, self.last_merge, self.vocab
-
-        def state(path: str, depth: int) -> tuple[str, int]:
-            # The one token that ends here and may follow what is before it.
-            for start in range(max(0, depth - longest), depth):
-                token = path[start:]
-                if token in vocab and (made[token] if token in made else last_merge(token)) \
-                        and (start == 0 or follows(last[start], token)):
-                    return token, start
-            raise ValueError(f"no token of the vocabulary ends {path!r}")
+        trie = sorted([(w.encode().decode("latin-1").translate(self.byte_map), w) for w in words])
+        vocab, longest, made, fits = self.vocab, self.longest, self.made, self.fits
+        follows, last_merge = self.follows, self.last_merge
 
         last: list[str] = [""]
         back: list[int] = [0]
@@ -168,19 +159,31 @@ class Bpe:
             while keep < most and path[keep] == before[keep]:
                 keep += 1
             del last[keep + 1:], back[keep + 1:]
-            for depth in range(keep + 1, inner + 1):
-                token, start = state(path[:depth], depth)
-                last.append(token)
-                back.append(start)
+            whole = path + END
+            for depth in range(keep + 1, inner + 2):
+                shown = whole if depth > inner else path[:depth]
+                # The one token that ends here and may follow what is before it.
+                for start in range(depth - longest if depth > longest else 0, depth):
+                    token = shown[start:]
+                    if token in vocab and (made[token] if token in made else last_merge(token)):
+                        if not start:
+                            break
+                        left = last[start]
+                        fit = fits.get((left, token))
+                        if follows(left, token) if fit is None else fit:
+                            break
+                else:
+                    raise ValueError(f"no token of the vocabulary ends {shown!r}")
+                if depth <= inner:
+                    last.append(token)
+                    back.append(start)
             before = path
-            token, at = state(path + END, inner + 1)
-            tokens = [token]
-            while at > 0:
-                tokens.append(last[at])
-                at = back[at]
-            tokens.reverse()
-            ids = [ids_of[t] for t in tokens]
-            self.words[word] = (struct.pack(f"<{len(ids)}I", *ids), " ".join(tokens))
+            ids = [vocab[token]]
+            while start > 0:
+                ids.append(vocab[last[start]])
+                start = back[start]
+            ids.reverse()
+            self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
 
     def split_text(self, text: str) -> list[tuple[bool, str]]:
         """(is an added token, piece) in order."""
@@ -192,9 +195,9 @@ class Bpe:
             at = m.end()
         return [*out, (False, text[at:])]
 
-    def encode_batch(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """Per text: its ids as little-endian unsigned 32-bit integers, and its decoding."""
-        split, found = [], {}
+    def encode_ids(self, texts: list[str]) -> list[bytes]:
+        """Per text: its ids as little-endian unsigned 32-bit integers."""
+        split, found = [], set()
         for text in texts:
             row = []
             for added, piece in self.split_text(text):
@@ -203,7 +206,7 @@ class Bpe:
                 else:
                     words = self.words_of(piece)
                     row.append((None, words))
-                    found.update(dict.fromkeys(words))
+                    found.update(words)
             split.append(row)
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
@@ -212,22 +215,22 @@ class Bpe:
             self.encode_words(fresh)
         get, out = self.words.__getitem__, []
         for row in split:
-            ids, shown = [], []
+            ids = []
             for added, words in row:
                 if added is not None:
                     ids.append(struct.pack("<I", self.added[added]))
-                    shown.append(added)
-                elif words:
-                    pairs = list(map(get, words))
-                    ids += [p[0] for p in pairs]
-                    shown += [p[1] for p in pairs]
-            out.append((b"".join(ids), " ".join(shown)))
+                else:
+                    ids += map(get, words)
+            out.append(b"".join(ids))
         return out
 
+    def encode_batch(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        """Per text: its ids, and their decoding."""
+        return [(ids, self.decode(ids)) for ids in self.encode_ids(texts)]
+
     def decode(self, ids: bytes) -> str:
         """Tokens of the ids with a space between: what the tokenizer without a decoder gives."""
-        text_of = self.text_of
-        return " ".join([text_of[i] for (i,) in struct.iter_unpack("<I", ids)])
+        return " ".join(map(self.text_of.__getitem__, struct.unpack(f"<{len(ids) // 4}I", ids)))
 
 
 def load(path: str) -> Bpe:
@@ -251,8 +254,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or tokenizer_path()
 
     def one(piece, bpe: Bpe) -> dict:
-        rows = bpe.encode_batch([t or "" for t in piece.column("text").to_pylist()])
-        return {"doc_id": piece.column("doc_id"), "ids": [r[0] for r in rows]}
+        return {"doc_id": piece.column("doc_id"), "ids": bpe.encode_ids([t or "" for t in piece.column("text").to_pylist()])}
     return map_pieces(docs.select(F.col("doc_id").cast("long"), "text"), one, "doc_id long, ids binary",
                       setup=lambda: load(path))
 
@@ -262,7 +264,7 @@ def report(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or tokenizer_path()
 
     def one(piece, bpe: Bpe) -> dict:
-        rows = [ids for ids, _ in bpe.encode_batch([t or "" for t in piece.column("text").to_pylist()])]
+        rows = bpe.encode_ids([t or "" for t in piece.column("text").to_pylist()])
         return {"doc_id": piece.column("doc_id"), "n_tokens": [len(ids) // 4 for ids in rows],
                 "ids_sha256": [hashlib.sha256(ids).hexdigest() for ids in rows],
                 "decoded_sha256": [hashlib.sha256(bpe.decode(ids).encode()).hexdigest() for ids in rows]}

@@ -95,6 +95,16 @@ def test_bpe_odd_texts(own, library, docs, corpus, none):
     assert bpe.report(none).count() == 0
 
 
+def test_bpe_ids_are_made_without_decoding(library, monkeypatch):
+    fresh = bpe.load(bpe.tokenizer_path())
+    monkeypatch.setattr(bpe.Bpe, "decode", lambda *_: pytest.fail("decoded"))
+    texts = ["The river, the rivers <|endoftext|> the", "", "Flüsse " * 50, "the"]
+    for _ in range(2):  # words not seen before, then held ones
+        got = [list(struct.unpack(f"<{len(ids) // 4}I", ids)) for ids in fresh.encode_ids(texts)]
+        assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert all(isinstance(ids, bytes) for ids in fresh.words.values())  # no decoded text beside them
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "a\nb\\", "<|im_end|>"]),
                           st.text(alphabet="<|\\>im_end\na ", max_size=25)), max_size=5))
