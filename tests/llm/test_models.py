@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -46,6 +47,44 @@ def test_probabilities_sum_to_one():
     assert np.allclose(flat, -math.log10(log_bilinear.SYMBOLS), atol=1e-5)
 
 
+def test_training_weighs_every_triple():
+    n = log_bilinear.SYMBOLS
+    code = np.array([(1 * n + 2) * n + 3, (4 * n + 5) * n + 6, (8 * n + 9) * n + 10])
+    table = log_bilinear.train(code, np.array([10 ** 8, 5, 5])).table().reshape(n, n, n)
+    assert (table[4, 5, 6] - table[4, 5, 10]) + (table[8, 9, 10] - table[8, 9, 6]) > 1
+
+
+def test_words_of_one_symbol_follow_their_contexts(spark):
+    """Two words of one symbol and one count, each with its own left neighbour; fillers take the other own symbols."""
+    rng, held = random.Random(3), [i for i in range(10_000, 10_100) if zlib.crc32(str(i).encode()) % 5 == 1]
+    fillers = [f"f{i:02}" for i in range(log_bilinear.OWN + 5)] * 2
+    texts = []
+    for _ in range(60):
+        rng.shuffle(fillers)
+        texts.append(" ".join(["the zoned and boned the f00 and", *fillers, "the and"]))
+    asked = ["the zoned", "the boned", "and zoned", "and boned"]
+    docs = spark.createDataFrame([*enumerate(texts), *zip(held, asked)], "doc_id long, text string")
+    score = {r["doc_id"]: r["score"] for r in log_bilinear.report(docs).collect()}
+    the_zoned, the_boned, and_zoned, and_boned = (score[i] for i in held[:4])
+    assert the_zoned > the_boned + 1 and and_boned > and_zoned + 1
+
+    lb = log_bilinear
+    training = docs.where(~lb.held_out()).selectExpr("doc_id row", "doc_id", "false held_out", "CAST(text AS binary) text")
+    vocab = lb.vocabulary(lb.word_counts(training.select("text")))
+    encoded = lb.encode(training, vocab).select("ids")
+    code, count = lb.triple_counts(encoded, vocab)
+    model, pairs = lb.train(code, count), lb.pair_counts(code, count)
+    feats = lb.features(model, pairs)
+    vectors = lb.word_vectors(lb.word_sums(encoded, vocab, feats), vocab, feats, pairs)
+    scorer, ids = lb.token_scorer(vocab, model, feats, vectors), vocab.ids()
+    assert vocab.words == len(vocab.counts) + 1  # all shipped, and the end
+    last = [*range(len(vocab.counts) + 1), *range(len(vocab.counts) + 1 + lb.OWN, len(vocab.symbols))]
+    for before in (b"the", b"zoned", b"never seen"):  # all words, the end, one unknown word a symbol
+        logs = np.array([scorer(np.array([ids[before], i]), np.zeros(2, int))[1] for i in last])
+        logs[len(vocab.counts) + 1:] += math.log10(0.5)
+        assert abs((10 ** logs).sum() - 1) < 1e-4
+
+
 def exact(rows, k=20, every=20):
     width = max(len(v) for _, v in rows)
     ids = np.array([i for i, _ in rows])
